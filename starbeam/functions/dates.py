@@ -19,7 +19,7 @@ def _lit_date(d: dt.date | Column) -> Column:
 def parse_yyyymmdd(c: Column | str) -> Column:
     """Integer or text ``yyyymmdd`` to DATE; anything else (``0``, bad day) is null."""
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, F.lit("yyyyMMdd")))
+    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
 
 
 def parse_date(c: Column | str) -> Column:

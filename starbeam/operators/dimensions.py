@@ -88,7 +88,8 @@ def attach_categories(prd: DataFrame, categories: DataFrame, p: Params) -> DataF
     """DIM8: left join the category table on the stripped category id."""
     cats = categories.select(text.strip("id").alias("_cat_id"), "cat", "subcat", "maintenance")
     keep = [c for c in cats.columns if c == "_cat_id" or c not in set(prd.columns)]
-    cats = cats.select(*keep)
+    # one row per category id keeps the join 1:1 (the source de-duplicates after it)
+    cats = keep_first_by_key(cats.select(*keep), "_cat_id")
     side = F.broadcast(cats) if fits_broadcast(cats, p.broadcast_bytes) else cats
     return prd.join(side, text.strip("cat_id") == side["_cat_id"], "left").drop("_cat_id")
 

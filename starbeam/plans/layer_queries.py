@@ -1,16 +1,380 @@
-"""Registered queries for the cleaning, dimension and data-quality operators.
+"""Registered queries for the cleaning (CLN), dimension (DIM) and data-quality (DQ)
+operators, run over the raw inputs derived from the test tables
+(``sources.raw_adapter``), plus their DuckDB oracle SQL.
 
-(Filled in as the operators land.)
+Money columns are returned as DOUBLE (exact DECIMAL inside), so both engines hand
+over the same values.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starbeam import config
 from starbeam.config import Params
+from starbeam.operators import cleaning, dimensions, quality, reports
+from starbeam.plans import warehouse
+from starbeam.session import apply_required_conf
+from starbeam.sources import raw_adapter
+
+# ---------------------------------------------------------------- Spark side
+
+
+class _Layers:
+    """Lazily built bronze / silver / gold frames over one test-data directory."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, p: Params):
+        apply_required_conf(spark)
+        self.p = p
+        self.raw = raw_adapter.raw_tables(spark, sf_dir)
+        self.silver = {}
+        for name, df in self.raw.items():
+            target, cleaned = cleaning.clean(name, df, p.as_of)
+            self.silver[target] = cleaned
+
+    def dim_customers(self) -> DataFrame:
+        s = self.silver
+        return dimensions.dim_customers(s["clean_cust_info"], s["clean_cust_az12"], s["clean_loc_a101"], self.p)
+
+    def dim_products(self) -> DataFrame:
+        return dimensions.dim_products(self.silver["clean_prd_info"], self.silver["clean_px_cat_g1v2"], self.p)
+
+    def fact(self) -> DataFrame:
+        return warehouse.fact_from_silver(self.silver["clean_sales_details"])
+
+    def gold(self) -> dict[str, DataFrame]:
+        return {"dim_customers": self.dim_customers(), "dim_products": self.dim_products(),
+                "fact_sales": self.fact()}
+
+
+def _dbl(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
+def _q(build):
+    def make(p: Params):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(_Layers(spark, sf_dir, p))
+        return run
+    return make
+
+
+def _cln16(L: _Layers) -> DataFrame:
+    renamed = cleaning.normalise_headers(L.raw["raw_cust_info"]).withColumnsRenamed(
+        {"cst_id": "customer_id", "cst_gndr": "gender", "cst_marital_status": "marital_status"})
+    out = cleaning.clean_cust_info(renamed)
+    return out.select("customer_id", "cst_key", "marital_status", "gender")
+
+
+def _dq1(L: _Layers) -> DataFrame:
+    return quality.union_all(quality.duplicates_removed(df, name) for name, df in L.raw.items())
+
+
+def _dq7(L: _Layers) -> DataFrame:
+    star = warehouse.star_from_gold(L.gold())
+    rc, rp = reports.report_customers(star, L.p), reports.report_products(star, L.p)
+    return quality.segment_distribution(rc, "customer_segment", "cst_id", "report_customers").unionByName(
+        quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
+
+
+_SALES_MONEY = ("sls_sales", "sls_price", "sales_amount")
+
+BUILDERS = {
+    "cln01_header_normalise": lambda L: cleaning.normalise_headers(L.raw["raw_cust_info"]),
+    "cln02_exact_dedup": lambda L: cleaning.drop_exact_duplicates(cleaning.normalise_headers(L.raw["raw_cust_info"])),
+    "cln03_recode_gender": lambda L: L.silver["clean_cust_info"].select("cst_id", "cst_key", "cst_gndr"),
+    "cln04_recode_marital": lambda L: L.silver["clean_cust_info"].select("cst_id", "cst_key", "cst_marital_status"),
+    "cln05_integer_key": lambda L: L.silver["clean_cust_info"].select("cst_key", "cst_id"),
+    "cln06_numeric_fill_zero": lambda L: _dbl(L.silver["clean_sales_details"].select(
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sls_sales"), "sls_price", "sls_sales"),
+    "cln07_split_product_key": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_key", "cat_id"),
+    "cln08_coerce_dates": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_start_dt", "prd_end_dt"),
+    "cln09_parse_compact_dates": lambda L: L.silver["clean_sales_details"].select(
+        "sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_due_dt"),
+    "cln10_sales_amount": lambda L: _dbl(L.silver["clean_sales_details"].select(
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sales_amount"), "sls_price", "sales_amount"),
+    "cln11_drop_null_keys": lambda L: _dbl(L.silver["clean_sales_details"], *_SALES_MONEY),
+    "cln12_future_dates": lambda L: L.silver["clean_cust_az12"].select("cid", "bdate"),
+    "cln13_recode_erp_gender": lambda L: L.silver["clean_cust_az12"].select("cid", "gen"),
+    "cln14_country": lambda L: L.silver["clean_loc_a101"],
+    "cln15_fill_text": lambda L: L.silver["clean_px_cat_g1v2"],
+    "cln16_schema_tolerant": _cln16,
+    "dim01_keep_latest_customer": lambda L: dimensions.keep_latest_customer(L.silver["clean_cust_info"]),
+    "dim02_keep_first_by_key": lambda L: dimensions.keep_first_by_key(
+        dimensions.normalise_erp_key(L.silver["clean_cust_az12"], "cid"), "cid"),
+    "dim03_normalise_erp_key": lambda L: dimensions.normalise_erp_key(L.silver["clean_cust_az12"], "cid"),
+    "dim04_dim_customers": lambda L: L.dim_customers(),
+    "dim05_match_rate": lambda L: dimensions.customer_match_rate(L.dim_customers()),
+    "dim06_active_products": lambda L: _dbl(dimensions.active_products(L.silver["clean_prd_info"]), "prd_cost"),
+    "dim07_latest_versions": lambda L: _dbl(dimensions.latest_product_versions(L.silver["clean_prd_info"]),
+                                            "prd_cost"),
+    "dim08_attach_categories": lambda L: _dbl(dimensions.attach_categories(
+        dimensions.latest_product_versions(L.silver["clean_prd_info"]), L.silver["clean_px_cat_g1v2"], L.p),
+        "prd_cost"),
+    "dim09_product_surrogate_key": lambda L: L.dim_products(),
+    "dim10_product_line_decode": lambda L: dimensions.latest_product_versions(L.silver["clean_prd_info"]).select(
+        "prd_key", "prd_line", dimensions.decode_product_line("prd_line").alias("product_line")),
+    "dim11_dim_date": lambda L: dimensions.dim_date(L.fact()),
+    "dim13_fact_sales": lambda L: _dbl(L.fact(), *_SALES_MONEY),
+    "dim14_profit": lambda L: _dbl(dimensions.add_profit(
+        L.fact(), warehouse.star_products_view(L.dim_products()), L.p).select(
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sales_amount", "profit"), "sales_amount", "profit"),
+    "dim15_fact_totals": lambda L: dimensions.fact_totals(L.fact()),
+    "dim16_orphans": lambda L: dimensions.orphan_counts(
+        L.fact(), L.dim_customers(), warehouse.star_products_view(L.dim_products()), L.p),
+    "dim17_date_range": lambda L: dimensions.date_range(dimensions.dim_date(L.fact())),
+    "dq1_duplicates_removed": _dq1,
+    "dq2_null_key_rows": lambda L: quality.null_key_rows(L.raw["raw_sales_details"]),
+    "dq3_future_dates": lambda L: quality.future_dates(L.raw["raw_cust_az12"], L.p.as_of),
+    "dq4_orphans": lambda L: quality.orphans(L.fact(), L.dim_customers(),
+                                             warehouse.star_products_view(L.dim_products()), L.p),
+    "dq5_match_rate": lambda L: quality.match_rate(L.dim_customers()),
+    "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), warehouse.star_products_view(L.dim_products())),
+    "dq7_segment_distribution": _dq7,
+}
 
 
 def queries(p: Params) -> dict:
-    return {}
+    return {name: _q(build)(p) for name, build in BUILDERS.items()}
+
+
+# ---------------------------------------------------------------- DuckDB side
+
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+
+
+def _strip(x: str) -> str:
+    return f"trim({x}, {WS})"
+
+
+def _recode(x: str, mapping: dict, nulls=()) -> str:
+    k = f"upper({_strip(x)})"
+    parts = []
+    if nulls:
+        parts.append(f"WHEN {k} IN ({', '.join(repr(n) for n in nulls)}) THEN NULL")
+    parts += [f"WHEN {k} = '{a}' THEN '{b}'" for a, b in mapping.items()]
+    return f"CASE {' '.join(parts)} ELSE {k} END"
+
+
+def _try_int(x: str) -> str:
+    d = f"TRY_CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+    return f"CASE WHEN {d} = floor({d}) THEN CAST({d} AS BIGINT) END"
+
+
+def _money0(x: str) -> str:
+    return f"COALESCE(TRY_CAST({_strip(x)} AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)))"
+
+
+def _qty0(x: str) -> str:
+    return f"COALESCE({_try_int(x)}, CAST(0 AS BIGINT))"
+
+
+def _date(x: str) -> str:
+    return f"CAST(TRY_CAST(trim({x}) AS TIMESTAMP) AS DATE)"
+
+
+def _compact(x: str) -> str:
+    return f"CASE WHEN regexp_full_match(trim({x}), '[0-9]{{8}}') THEN CAST(TRY_STRPTIME(trim({x}), '%Y%m%d') AS DATE) END"
+
+
+def _line_decode(x: str) -> str:
+    k = f"upper({_strip(x)})"
+    whens = " ".join(f"WHEN {k} = '{a}' THEN '{b}'" for a, b in config.PRODUCT_LINES.items())
+    return f"CASE {whens} ELSE '{config.PRODUCT_LINE_MISSING}' END"
+
+
+def _first(table: str, key: str, order: str) -> str:
+    return (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn "
+            f"FROM {table}) z WHERE rn = 1)")
+
+
+def _countries(x: str) -> str:
+    s = _strip(x)
+    whens = " ".join(f"WHEN {s} = '{a}' THEN '{b}'" for a, b in config.COUNTRY_CODES.items())
+    return f"CASE WHEN {s} IS NULL OR {s} = '' THEN 'Unknown' {whens} ELSE {s} END"
+
+
+def silver_ctes(p: Params) -> str:
+    g = config.GENDER_CODES
+    return f"""clean_cust_info AS (
+  SELECT {_try_int('cst_id')} AS cst_id, cst_key, cst_firstname, cst_lastname,
+         {_recode('cst_marital_status', config.MARITAL_CODES)} AS cst_marital_status,
+         {_recode('cst_gndr', g, config.GENDER_NULL_CODES)} AS cst_gndr, cst_create_date
+  FROM (SELECT DISTINCT * FROM raw_cust_info) d
+),
+clean_prd_info AS (
+  SELECT {_try_int('prd_id')} AS prd_id,
+         array_to_string(string_split(prd_key, '-')[3:], '-') AS prd_key,
+         prd_nm, {_money0('prd_cost')} AS prd_cost, prd_line,
+         {_date('prd_start_dt')} AS prd_start_dt, {_date('prd_end_dt')} AS prd_end_dt,
+         array_to_string(string_split(prd_key, '-')[1:2], '_') AS cat_id
+  FROM (SELECT DISTINCT * FROM raw_prd_info) d
+),
+clean_sales_details AS (
+  SELECT * FROM (
+    SELECT sls_ord_num, sls_prd_key, {_try_int('sls_cust_id')} AS sls_cust_id,
+           {_compact('sls_order_dt')} AS sls_order_dt, {_compact('sls_ship_dt')} AS sls_ship_dt,
+           {_compact('sls_due_dt')} AS sls_due_dt,
+           {_money0('sls_sales')} AS sls_sales, {_qty0('sls_quantity')} AS sls_quantity,
+           {_money0('sls_price')} AS sls_price,
+           CAST({_qty0('sls_quantity')} * {_money0('sls_price')} AS DECIMAL(18,2)) AS sales_amount
+    FROM (SELECT DISTINCT * FROM raw_sales_details) d
+  ) x WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT NULL
+),
+clean_cust_az12 AS (
+  SELECT cid, CASE WHEN {_date('bdate')} <= DATE '{p.as_of.isoformat()}' THEN {_date('bdate')} END AS bdate,
+         {_recode('gen', g, config.GENDER_NULL_CODES)} AS gen
+  FROM (SELECT DISTINCT * FROM raw_cust_az12) d
+),
+clean_loc_a101 AS (
+  SELECT cid, {_countries('cntry')} AS cntry FROM (SELECT DISTINCT * FROM raw_loc_a101) d
+),
+clean_px_cat_g1v2 AS (
+  SELECT id, {_strip("COALESCE(cat, 'Unknown')")} AS cat, {_strip("COALESCE(subcat, 'Unknown')")} AS subcat,
+         {_strip("COALESCE(maintenance, 'Unknown')")} AS maintenance
+  FROM (SELECT DISTINCT * FROM raw_px_cat_g1v2) d
+)"""
+
+
+def gold_ctes() -> str:
+    crm_order = ("cst_key DESC NULLS LAST, cst_firstname ASC NULLS FIRST, cst_lastname ASC NULLS FIRST, "
+                 "cst_marital_status ASC NULLS FIRST, cst_gndr ASC NULLS FIRST, cst_create_date ASC NULLS FIRST")
+    prd_order = ("prd_start_dt DESC NULLS LAST, prd_id ASC NULLS FIRST, prd_nm ASC NULLS FIRST, "
+                 "prd_cost ASC NULLS FIRST, prd_line ASC NULLS FIRST, prd_end_dt ASC NULLS FIRST, cat_id ASC NULLS FIRST")
+    nas = _strip("replace(CAST(cid AS VARCHAR), 'NAS', '')")
+    return f"""norm_cust_az12 AS (SELECT {nas} AS cid, bdate, gen FROM clean_cust_az12),
+crm AS {_first('clean_cust_info', 'cst_id', crm_order)},
+demo AS {_first('norm_cust_az12', 'cid', 'bdate ASC NULLS FIRST, gen ASC NULLS FIRST')},
+loc AS {_first(f'(SELECT {nas} AS cid, cntry FROM clean_loc_a101)', 'cid', 'cntry ASC NULLS FIRST')},
+dim_customers AS (
+  SELECT crm.*, demo.cid, demo.bdate, demo.gen, loc.cid AS loc_cid, loc.cntry
+  FROM crm LEFT JOIN demo ON CAST(crm.cst_id AS VARCHAR) = demo.cid
+           LEFT JOIN loc ON CAST(crm.cst_id AS VARCHAR) = loc.cid
+),
+latest_prd AS {_first('clean_prd_info', 'prd_key', prd_order)},
+cats AS {_first(f"(SELECT {_strip('id')} AS _cat_id, cat, subcat, maintenance FROM clean_px_cat_g1v2)", '_cat_id',
+                'cat ASC NULLS FIRST, subcat ASC NULLS FIRST, maintenance ASC NULLS FIRST')},
+prd_with_cat AS (
+  SELECT l.*, c.cat, c.subcat, c.maintenance FROM latest_prd l LEFT JOIN cats c ON {_strip('l.cat_id')} = c._cat_id
+),
+dim_products AS (
+  SELECT row_number() OVER (ORDER BY start_date NULLS FIRST, product_number NULLS FIRST, product_id NULLS FIRST)
+           AS product_key, *
+  FROM (SELECT prd_id AS product_id, prd_key AS product_number, prd_nm AS product_name, cat_id AS category_id,
+               cat AS category, subcat AS subcategory, maintenance, CAST(prd_cost AS BIGINT) AS cost,
+               {_line_decode('prd_line')} AS product_line, prd_start_dt AS start_date
+        FROM prd_with_cat) x
+),
+star_products AS (
+  SELECT product_number AS prd_key, product_name AS prd_nm, category AS cat, subcategory AS subcat,
+         CAST(cost AS DECIMAL(18,2)) AS prd_cost FROM dim_products
+),
+fact AS (
+  SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt, sls_quantity,
+         sls_price, sls_sales, sales_amount FROM clean_sales_details
+),
+dim_date AS (
+  SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+         CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name,
+         CAST(weekofyear(date) AS INTEGER) AS week, CAST(day(date) AS INTEGER) AS day,
+         dayname(date) AS weekday, dayname(date) IN ('Saturday', 'Sunday') AS is_weekend
+  FROM (SELECT DISTINCT sls_order_dt AS date FROM fact WHERE sls_order_dt IS NOT NULL) d
+)"""
+
+
+def _dq_rows(check_id: str, name: str, table: str, source: str, metrics: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{check_id}' AS check_id, '{name}' AS check_name, '{table}' AS table_name, '{m}' AS metric, "
+        f"CAST({expr} AS BIGINT) AS value FROM {source}" for m, expr in metrics)
 
 
 def oracle_sql(p: Params) -> dict[str, str]:
-    return {}
+    from starbeam.plans.oracle import report_customers_cte, report_products_cte
+
+    head = "WITH " + raw_adapter.sql_ctes() + ",\n" + silver_ctes(p) + ",\n" + gold_ctes()
+    money = "CAST(sls_sales AS DOUBLE) AS sls_sales, CAST(sls_price AS DOUBLE) AS sls_price, " \
+            "CAST(sales_amount AS DOUBLE) AS sales_amount"
+    dq1 = " UNION ALL ".join(
+        _dq_rows("DQ1", "duplicates_removed", t,
+                 f"(SELECT (SELECT COUNT(*) FROM {t}) AS n, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {t}) d) AS m) q",
+                 [("rows_in", "n"), ("rows_out", "m"), ("rows_removed", "n - m")])
+        for t in raw_adapter.RAW_BUILDERS)
+    staged_sales = f"(SELECT sls_ord_num, sls_prd_key, {_try_int('sls_cust_id')} AS sls_cust_id FROM (SELECT DISTINCT * FROM raw_sales_details) d)"
+    star = ("fact_sales AS (SELECT * FROM fact), dim_customers_star AS (SELECT cst_id, cst_key, cst_firstname, "
+            "cst_lastname, cst_gndr, cntry, bdate FROM dim_customers)")
+    rc = report_customers_cte(p).replace("JOIN dim_customers c", "JOIN dim_customers_star c")
+    rp = report_products_cte(p).replace("JOIN dim_products pr", "JOIN star_products pr")
+    orphan_src = """(SELECT (SELECT COUNT(*) FROM fact) AS fact_rows,
+  (SELECT COUNT(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_customers c WHERE c.cst_id = f.sls_cust_id)) AS oc,
+  (SELECT COUNT(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM star_products s WHERE s.prd_key = f.sls_prd_key)) AS op) q"""
+    return {
+        "cln01_header_normalise": f"{head} SELECT * FROM raw_cust_info",
+        "cln02_exact_dedup": f"{head} SELECT DISTINCT * FROM raw_cust_info",
+        "cln03_recode_gender": f"{head} SELECT cst_id, cst_key, cst_gndr FROM clean_cust_info",
+        "cln04_recode_marital": f"{head} SELECT cst_id, cst_key, cst_marital_status FROM clean_cust_info",
+        "cln05_integer_key": f"{head} SELECT cst_key, cst_id FROM clean_cust_info",
+        "cln06_numeric_fill_zero": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_quantity,
+  CAST(sls_price AS DOUBLE) AS sls_price, CAST(sls_sales AS DOUBLE) AS sls_sales FROM clean_sales_details""",
+        "cln07_split_product_key": f"{head} SELECT prd_id, prd_key, cat_id FROM clean_prd_info",
+        "cln08_coerce_dates": f"{head} SELECT prd_id, prd_start_dt, prd_end_dt FROM clean_prd_info",
+        "cln09_parse_compact_dates": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_order_dt, sls_ship_dt, sls_due_dt
+FROM clean_sales_details""",
+        "cln10_sales_amount": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_quantity, CAST(sls_price AS DOUBLE) AS sls_price,
+  CAST(sales_amount AS DOUBLE) AS sales_amount FROM clean_sales_details""",
+        "cln11_drop_null_keys": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt,
+  sls_due_dt, sls_quantity, {money} FROM clean_sales_details""",
+        "cln12_future_dates": f"{head} SELECT cid, bdate FROM clean_cust_az12",
+        "cln13_recode_erp_gender": f"{head} SELECT cid, gen FROM clean_cust_az12",
+        "cln14_country": f"{head} SELECT * FROM clean_loc_a101",
+        "cln15_fill_text": f"{head} SELECT * FROM clean_px_cat_g1v2",
+        "cln16_schema_tolerant": f"""{head} SELECT cst_id AS customer_id, cst_key, cst_marital_status AS marital_status,
+  cst_gndr AS gender FROM clean_cust_info""",
+        "dim01_keep_latest_customer": f"{head} SELECT * FROM crm",
+        "dim02_keep_first_by_key": f"{head} SELECT * FROM demo",
+        "dim03_normalise_erp_key": f"{head} SELECT * FROM norm_cust_az12",
+        "dim04_dim_customers": f"{head} SELECT * FROM dim_customers",
+        "dim05_match_rate": f"""{head} SELECT rows_after_merge, rows_matched,
+  ROUND(CAST(rows_matched AS DOUBLE) / rows_after_merge, 4) AS match_rate
+FROM (SELECT COUNT(*) AS rows_after_merge, COUNT(*) FILTER (WHERE cid IS NOT NULL) AS rows_matched FROM dim_customers) t""",
+        "dim06_active_products": f"""{head} SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost)
+FROM clean_prd_info WHERE prd_end_dt IS NULL""",
+        "dim07_latest_versions": f"{head} SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost) FROM latest_prd",
+        "dim08_attach_categories": f"{head} SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost) FROM prd_with_cat",
+        "dim09_product_surrogate_key": f"{head} SELECT * FROM dim_products",
+        "dim10_product_line_decode": f"""{head} SELECT prd_key, prd_line, {_line_decode('prd_line')} AS product_line
+FROM latest_prd""",
+        "dim11_dim_date": f"{head} SELECT * FROM dim_date",
+        "dim13_fact_sales": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt,
+  sls_quantity, {money} FROM fact""",
+        "dim14_profit": f"""{head} SELECT f.sls_ord_num, f.sls_prd_key, f.sls_quantity,
+  CAST(f.sales_amount AS DOUBLE) AS sales_amount,
+  CAST(CAST(f.sales_amount - s.prd_cost * f.sls_quantity AS DECIMAL(20,2)) AS DOUBLE) AS profit
+FROM fact f LEFT JOIN star_products s ON s.prd_key = f.sls_prd_key""",
+        "dim15_fact_totals": f"""{head} SELECT CAST(SUM(sales_amount) AS DOUBLE) AS total_revenue,
+  COUNT(*) AS total_rows FROM fact""",
+        "dim16_orphans": f"""{head} SELECT fact_rows, oc AS orphan_customer_rows, op AS orphan_product_rows
+FROM {orphan_src}""",
+        "dim17_date_range": f"{head} SELECT MIN(date) AS min_date, MAX(date) AS max_date FROM dim_date",
+        "dq1_duplicates_removed": f"{head} {dq1}",
+        "dq2_null_key_rows": f"""{head} {_dq_rows('DQ2', 'null_key_rows_dropped', 'clean_sales_details',
+            f"(SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE sls_ord_num IS NULL OR sls_prd_key IS NULL OR sls_cust_id IS NULL) AS dropped FROM {staged_sales} s) q",
+            [('rows_in', 'n'), ('rows_dropped', 'dropped')])}""",
+        "dq3_future_dates": f"""{head} {_dq_rows('DQ3', 'future_birthdates_nulled', 'clean_cust_az12',
+            f"(SELECT COUNT(*) FILTER (WHERE b > DATE '{p.as_of.isoformat()}') AS future, COUNT(*) FILTER (WHERE b IS NULL) AS bad FROM (SELECT {_date('bdate')} AS b FROM (SELECT DISTINCT * FROM raw_cust_az12) d) x) q",
+            [('future_dates', 'future'), ('unparseable_or_missing', 'bad')])}""",
+        "dq4_orphans": f"""{head} {_dq_rows('DQ4', 'orphan_fact_rows', 'fact_sales', orphan_src,
+            [('fact_rows', 'fact_rows'), ('orphan_customer_rows', 'oc'), ('orphan_product_rows', 'op')])}""",
+        "dq5_match_rate": f"""{head} {_dq_rows('DQ5', 'customer_erp_match', 'dim_customers',
+            "(SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE cid IS NOT NULL) AS m FROM dim_customers) q",
+            [('rows_after_merge', 'n'), ('rows_matched', 'm')])}""",
+        "dq6_nonempty_join": f"""{head} {_dq_rows('DQ6', 'sales_product_join_nonempty', 'report_products',
+            "(SELECT COUNT(*) AS n FROM fact f WHERE f.sls_order_dt IS NOT NULL AND EXISTS (SELECT 1 FROM star_products s WHERE s.prd_key = f.sls_prd_key)) q",
+            [('matched_rows', 'n'), ('passed', 'CASE WHEN n > 0 THEN 1 ELSE 0 END')])}""",
+        "dq7_segment_distribution": f"""{head}, {star}, {rc}, {rp}
+SELECT 'DQ7' AS check_id, 'segment_distribution' AS check_name, 'report_customers' AS table_name,
+       customer_segment AS metric, CAST(COUNT(cst_id) AS BIGINT) AS value FROM report_customers GROUP BY customer_segment
+UNION ALL
+SELECT 'DQ7', 'segment_distribution', 'report_products', product_segment, CAST(COUNT(prd_key) AS BIGINT)
+FROM report_products GROUP BY product_segment""",
+    }
