@@ -1,9 +1,11 @@
 """Star joins: size-checked broadcast, and aggregation over a dimension.
 
-A dimension is broadcast only when the planner's size estimate of the (pruned,
-filtered) dimension is under a limit. Above the limit the fact is aggregated to the
-join key first, so the shuffle carries one row per key instead of one per sale, and
-the join then runs on two aggregated inputs (sort-merge, with AQE's skew split).
+A dimension is broadcast only when its size is shown to be under a limit: by the
+optimizer's estimate of the pruned, filtered dimension (with an allowance for
+compression), or else by measuring it in one aggregate pass. Above the limit the
+fact is aggregated to the join key first, so the shuffle carries at most one row
+per key and map task instead of one per sale (a hot key collapses map-side), and
+the join runs on aggregated input (sort-merge, with AQE's skew split).
 """
 
 from __future__ import annotations
@@ -15,19 +17,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# On-disk (compressed, columnar) sizes understate the in-memory size of a table;
+# an optimizer estimate only counts as a bound when it is this many times smaller
+# than the limit.
+COMPRESSION_ALLOWANCE = 8
+
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (after pruning and filters), if known."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # no JVM handle (e.g. Spark Connect): treat as unknown
         return None
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Exact in-memory payload of ``df``: one aggregate pass (rows, text lengths).
+
+    Used for dimensions whose estimate is not conclusive: without table statistics
+    the optimizer multiplies the sizes of joined inputs, so a dimension enriched
+    from a small code table looks as large as the product of both.
+    """
+    parts = [F.count(F.lit(1)).alias("_rows")]
+    fixed = 0
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t in _FIXED_WIDTH:
+            fixed += _FIXED_WIDTH[t]
+        elif t.startswith("decimal"):
+            fixed += 16
+        else:  # strings and other variable-width values: their text length
+            parts.append(F.coalesce(F.sum(F.length(F.col(f.name).cast("string"))), F.lit(0)).alias(f"_w{len(parts)}"))
+    row = df.agg(*parts).first()
+    rows = row["_rows"]
+    return int(rows * (fixed + 8) + sum(row[i] for i in range(1, len(parts))))
+
+
 def fits_broadcast(df: DataFrame, limit_bytes: int) -> bool:
-    """True only when the estimate exists and is under ``limit_bytes``."""
+    """True only when ``df`` is shown to be under ``limit_bytes``: by a small
+    optimizer estimate, or else by measuring it."""
     size = estimated_bytes(df)
-    return size is not None and size <= limit_bytes
+    if size is not None and size * COMPRESSION_ALLOWANCE <= limit_bytes:
+        return True
+    try:
+        return measured_bytes(df) <= limit_bytes
+    except Exception:
+        return False
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
