@@ -10,6 +10,7 @@ the join runs on aggregated input (sort-merge, with AQE's skew split).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -57,12 +58,26 @@ def measured_bytes(df: DataFrame) -> int:
     return int(rows * (fixed + 8) + sum(row[i] for i in range(1, len(parts))))
 
 
+def needs_shuffle(df: DataFrame) -> bool:
+    """Whether computing ``df`` itself shuffles (aggregation, window, large join)."""
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:
+        return True
+    return re.search(r"(?<!Broadcast)Exchange ", plan) is not None
+
+
 def fits_broadcast(df: DataFrame, limit_bytes: int) -> bool:
     """True only when ``df`` is shown to be under ``limit_bytes``: by a small
-    optimizer estimate, or else by measuring it."""
+    optimizer estimate, or else by measuring it when that costs no more than a
+    scan. A dimension that needs a shuffle to compute is not measured; callers
+    then take the plan that is safe at any size (and AQE may still broadcast it
+    at run time from the shuffle's real size)."""
     size = estimated_bytes(df)
     if size is not None and size * COMPRESSION_ALLOWANCE <= limit_bytes:
         return True
+    if needs_shuffle(df):
+        return False
     try:
         return measured_bytes(df) <= limit_bytes
     except Exception:
@@ -117,7 +132,7 @@ def rollup_over_dimension(
     """
     fact_by = list(fact_by)
     if fact_by:
-        fact = fact.select("*", *[expr.alias(name) for name, expr in fact_by])
+        fact = fact.withColumns(dict(fact_by))
     by_names = [name for name, _ in fact_by] + list(by)
     dim_cols = [dim_key] + [c for c in by if c != dim_key]
     dim = dim.select(*dim_cols)

@@ -21,17 +21,32 @@ from starbeam.sources import raw_adapter
 # ---------------------------------------------------------------- Spark side
 
 
+class _Lazy(dict):
+    """A dict whose values are built on first access."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        value = self._builders[key]()
+        self[key] = value
+        return value
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+
 class _Layers:
-    """Lazily built bronze / silver / gold frames over one test-data directory."""
+    """Bronze / silver / gold frames over one test-data directory, each built only
+    when a query uses it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params):
         apply_required_conf(spark)
         self.p = p
-        self.raw = raw_adapter.raw_tables(spark, sf_dir)
-        self.silver = {}
-        for name, df in self.raw.items():
-            target, cleaned = cleaning.clean(name, df, p.as_of)
-            self.silver[target] = cleaned
+        self.raw = _Lazy({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in raw_adapter.RAW_BUILDERS.items()})
+        self.silver = _Lazy({cleaning.CLEANERS[name][0]: (lambda name=name: cleaning.clean(
+            name, self.raw[name], p.as_of)[1]) for name in raw_adapter.RAW_BUILDERS})
 
     def dim_customers(self) -> DataFrame:
         s = self.silver

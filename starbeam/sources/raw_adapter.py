@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from starbeam import config
 from starbeam.sources.csv_source import na_tokens_to_null
-from starbeam.sources.testdata import table
+from starbeam.sources.testdata import balanced
+from starbeam.sources.testdata import table as _table
 
 FIRST_VERSION = dt.date(2010, 1, 1)
 SECOND_VERSION = dt.date(2012, 7, 1)
@@ -39,6 +40,12 @@ SUPPLIER_BIRTH_EPOCH = dt.date(1950, 1, 1)
 FUTURE_BIRTH = "2030-05-05"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source table, spread over the cores when its file has too few splits
+    (every raw field is built by text expressions: heavy per-row work)."""
+    return balanced(_table(spark, sf_dir, name))
+
+
 def _s(c) -> F.Column:
     return c.cast("string")
 
