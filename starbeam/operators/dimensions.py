@@ -164,19 +164,16 @@ def fact_totals(fact: DataFrame) -> DataFrame:
 
 def orphan_counts(fact: DataFrame, customers: DataFrame, products: DataFrame, p: Params) -> DataFrame:
     """DIM16: fact rows without a customer / product (a null key is an orphan).
-    Anti joins against the dimension keys; non-blocking, returns counts."""
-    cust_keys = customers.select(F.col("cst_id").alias("_k")).where(F.col("_k").isNotNull())
-    prod_keys = products.select(F.col("prd_key").alias("_k")).where(F.col("_k").isNotNull())
-
-    def anti(keys: DataFrame, fk: str) -> DataFrame:
-        side = F.broadcast(keys) if fits_broadcast(keys, p.broadcast_bytes) else keys
-        return fact.select(fk).join(side, F.col(fk) == side["_k"], "left_anti")
-
-    rows = fact.agg(F.count(F.lit(1)).alias("fact_rows"))
-    oc = anti(cust_keys, "sls_cust_id").agg(F.count(F.lit(1)).alias("orphan_customer_rows"))
-    op = anti(prod_keys, "sls_prd_key").agg(F.count(F.lit(1)).alias("orphan_product_rows"))
-    # three one-row aggregates folded into one row
-    return (rows.unionByName(oc, allowMissingColumns=True).unionByName(op, allowMissingColumns=True)
-            .agg(F.max("fact_rows").alias("fact_rows"),
-                 F.max("orphan_customer_rows").alias("orphan_customer_rows"),
-                 F.max("orphan_product_rows").alias("orphan_product_rows")))
+
+    One pass over the fact: each dimension's distinct keys are left-joined (a
+    missing match leaves the key null) and both conditions are counted in the same
+    aggregate. Non-blocking: returns counts.
+    """
+    cust_keys = customers.select(F.col("cst_id").alias("_ck")).where(F.col("_ck").isNotNull()).distinct()
+    prod_keys = products.select(F.col("prd_key").alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
+    f = fact.select("sls_cust_id", "sls_prd_key")
+    f = join_dimension(f, cust_keys, "sls_cust_id", "_ck", "left", p.broadcast_bytes)
+    f = join_dimension(f, prod_keys, "sls_prd_key", "_pk", "left", p.broadcast_bytes)
+    return f.agg(F.count(F.lit(1)).alias("fact_rows"),
+                 F.count_if(F.col("_ck").isNull()).alias("orphan_customer_rows"),
+                 F.count_if(F.col("_pk").isNull()).alias("orphan_product_rows"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbeam.config import Params
-from starbeam.functions import dates, numeric
+from starbeam.functions import dates
 from starbeam.operators import cleaning, dimensions
 from starbeam.sources.schemas import resolve
 
@@ -33,9 +33,10 @@ def _rows(df: DataFrame, check_id: str, check_name: str, table_name: str, metric
 def duplicates_removed(raw: DataFrame, table_name: str) -> DataFrame:
     """DQ1: rows before and after exact de-duplication, and the difference."""
     base = cleaning.normalise_headers(raw)
-    before = base.agg(F.count(F.lit(1)).alias("n"))
-    after = cleaning.drop_exact_duplicates(base).agg(F.count(F.lit(1)).alias("m"))
-    both = before.unionByName(after, allowMissingColumns=True).agg(F.max("n").alias("n"), F.max("m").alias("m"))
+    # one pass: group equal rows (nulls equal, as in de-duplication), then count
+    # the groups and their sizes
+    groups = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_n"))
+    both = groups.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("m"))
     return _rows(both, "DQ1", "duplicates_removed", table_name,
                  {"rows_in": F.col("n"), "rows_out": F.col("m"), "rows_removed": F.col("n") - F.col("m")})
 
@@ -103,7 +104,3 @@ def union_all(parts) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def money_total(df: DataFrame, col: str) -> F.Column:  # pragma: no cover - helper for audits
-    return F.sum(numeric.money(col))
