@@ -170,6 +170,21 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
     return res
 
 
+def publish_extracts(res: RunResult, out_dir: str) -> dict[str, str]:
+    """SNK4: CSV extracts (header row) of the product dimension and product report.
+
+    Written as a folder of part files by the executors; nothing passes through the
+    driver, whatever the table size.
+    """
+    paths = {}
+    for key, name in (("gold.dim_products", "gold.dim_products"), ("gold.report_products", "gold.report_products")):
+        if key in res.tables:
+            path = os.path.join(out_dir, name)
+            res.tables[key].write.mode("overwrite").option("header", "true").csv(path)
+            paths[name] = path
+    return paths
+
+
 def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, DataFrame],
                reps: dict[str, DataFrame] | None, p: Params) -> DataFrame:
     """All data-quality checks of a run as one DataFrame."""
