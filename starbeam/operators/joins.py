@@ -67,6 +67,21 @@ def needs_shuffle(df: DataFrame) -> bool:
     return re.search(r"(?<!Broadcast)Exchange ", plan) is not None
 
 
+_MEASURED: dict[tuple[int, int], int] = {}
+
+
+def _measured_once(df: DataFrame) -> int:
+    """``measured_bytes`` remembered per session and optimized plan (the plan names
+    its input files), like table statistics gathered once and reused."""
+    try:
+        key = (id(df.sparkSession), int(df._jdf.queryExecution().optimizedPlan().semanticHash()))
+    except Exception:
+        return measured_bytes(df)
+    if key not in _MEASURED:
+        _MEASURED[key] = measured_bytes(df)
+    return _MEASURED[key]
+
+
 def fits_broadcast(df: DataFrame, limit_bytes: int) -> bool:
     """True only when ``df`` is shown to be under ``limit_bytes``: by a small
     optimizer estimate, or else by measuring it when that costs no more than a
@@ -79,7 +94,7 @@ def fits_broadcast(df: DataFrame, limit_bytes: int) -> bool:
     if needs_shuffle(df):
         return False
     try:
-        return measured_bytes(df) <= limit_bytes
+        return _measured_once(df) <= limit_bytes
     except Exception:
         return False
 

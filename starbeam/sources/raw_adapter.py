@@ -40,10 +40,13 @@ SUPPLIER_BIRTH_EPOCH = dt.date(1950, 1, 1)
 FUTURE_BIRTH = "2030-05-05"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table, spread over the cores when its file has too few splits
-    (every raw field is built by text expressions: heavy per-row work)."""
-    return balanced(_table(spark, sf_dir, name))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A source table. ``spread`` marks the streamed (large) side of a derivation:
+    it is spread over the cores when its file has too few splits, since every raw
+    field is built by text expressions (heavy per-row work). Small sides that are
+    broadcast are left as they are."""
+    df = _table(spark, sf_dir, name)
+    return balanced(df) if spread else df
 
 
 def _s(c) -> F.Column:
@@ -64,7 +67,8 @@ def _product_number(key: F.Column) -> F.Column:
 
 
 def raw_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    o = table(spark, sf_dir, "orders", spread=True).select("o_custkey", "o_orderdate", "o_orderstatus",
+                                                           "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
     key = _s(F.col("c_custkey"))
@@ -106,7 +110,7 @@ def raw_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+    li = table(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                                                  "l_extendedprice", "l_returnflag", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
