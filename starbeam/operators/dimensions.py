@@ -99,12 +99,12 @@ def decode_product_line(c) -> F.Column:
     return text.lookup(text.upper_strip(c), config.PRODUCT_LINES, F.lit(config.PRODUCT_LINE_MISSING))
 
 
-def dim_products(prd_clean: DataFrame, categories: DataFrame, p: Params) -> DataFrame:
-    """Product dimension in the published layout: latest version per product number,
-    category attached, line decoded, surrogate key 1..n by (start date, number)."""
+def product_rows(prd_clean: DataFrame, categories: DataFrame, p: Params) -> DataFrame:
+    """Product dimension rows in the published layout, without the surrogate key:
+    latest version per product number, category attached, line decoded."""
     latest = latest_product_versions(prd_clean)
     with_cat = attach_categories(latest, categories, p)
-    shaped = with_cat.select(
+    return with_cat.select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
         F.col("prd_nm").alias("product_name"),
@@ -116,9 +116,14 @@ def dim_products(prd_clean: DataFrame, categories: DataFrame, p: Params) -> Data
         decode_product_line("prd_line").alias("product_line"),
         F.col("prd_start_dt").alias("start_date"),
     )
-    keyed = surrogate_key(shaped, [F.asc_nulls_first("start_date"), F.asc_nulls_first("product_number"),
-                                   F.asc_nulls_first("product_id")], "product_key")
-    return keyed
+
+
+def dim_products(prd_clean: DataFrame, categories: DataFrame, p: Params) -> DataFrame:
+    """DIM9: the product dimension with its surrogate key 1..n by (start date,
+    product number), product id last as a tie-break."""
+    return surrogate_key(product_rows(prd_clean, categories, p),
+                         [F.asc_nulls_first("start_date"), F.asc_nulls_first("product_number"),
+                          F.asc_nulls_first("product_id")], "product_key")
 
 
 # ---------------------------------------------------------------- dates and fact

@@ -55,12 +55,19 @@ class _Layers:
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.silver["clean_prd_info"], self.silver["clean_px_cat_g1v2"], self.p)
 
+    def products(self) -> DataFrame:
+        """Product dimension under the query names, without the surrogate key
+        (for operators that do not use it: no key-assignment job)."""
+        rows = dimensions.product_rows(self.silver["clean_prd_info"], self.silver["clean_px_cat_g1v2"], self.p)
+        return warehouse.star_products_view(rows)
+
     def fact(self) -> DataFrame:
         return warehouse.fact_from_silver(self.silver["clean_sales_details"])
 
-    def gold(self) -> dict[str, DataFrame]:
-        return {"dim_customers": self.dim_customers(), "dim_products": self.dim_products(),
-                "fact_sales": self.fact()}
+    def star(self):
+        customers = self.dim_customers().select("cst_id", "cst_key", "cst_firstname", "cst_lastname",
+                                                "cst_gndr", "cntry", "bdate")
+        return warehouse.Star(fact=self.fact(), customers=customers, products=self.products())
 
 
 def _dbl(df: DataFrame, *cols: str) -> DataFrame:
@@ -87,7 +94,7 @@ def _dq1(L: _Layers) -> DataFrame:
 
 
 def _dq7(L: _Layers) -> DataFrame:
-    star = warehouse.star_from_gold(L.gold())
+    star = L.star()
     rc, rp = reports.report_customers(star, L.p), reports.report_products(star, L.p)
     return quality.segment_distribution(rc, "customer_segment", "cst_id", "report_customers").unionByName(
         quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
@@ -133,19 +140,19 @@ BUILDERS = {
     "dim11_dim_date": lambda L: dimensions.dim_date(L.fact()),
     "dim13_fact_sales": lambda L: _dbl(L.fact(), *_SALES_MONEY),
     "dim14_profit": lambda L: _dbl(dimensions.add_profit(
-        L.fact(), warehouse.star_products_view(L.dim_products()), L.p).select(
+        L.fact(), L.products(), L.p).select(
         "sls_ord_num", "sls_prd_key", "sls_quantity", "sales_amount", "profit"), "sales_amount", "profit"),
     "dim15_fact_totals": lambda L: dimensions.fact_totals(L.fact()),
     "dim16_orphans": lambda L: dimensions.orphan_counts(
-        L.fact(), L.dim_customers(), warehouse.star_products_view(L.dim_products()), L.p),
+        L.fact(), L.dim_customers(), L.products(), L.p),
     "dim17_date_range": lambda L: dimensions.date_range(dimensions.dim_date(L.fact())),
     "dq1_duplicates_removed": _dq1,
     "dq2_null_key_rows": lambda L: quality.null_key_rows(L.raw["raw_sales_details"]),
     "dq3_future_dates": lambda L: quality.future_dates(L.raw["raw_cust_az12"], L.p.as_of),
     "dq4_orphans": lambda L: quality.orphans(L.fact(), L.dim_customers(),
-                                             warehouse.star_products_view(L.dim_products()), L.p),
+                                             L.products(), L.p),
     "dq5_match_rate": lambda L: quality.match_rate(L.dim_customers()),
-    "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), warehouse.star_products_view(L.dim_products())),
+    "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), L.products()),
     "dq7_segment_distribution": _dq7,
 }
 
