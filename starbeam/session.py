@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
     Only when nothing is configured (local tests) a fresh scratch folder is taken.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -70,11 +70,10 @@ def balanced(df: DataFrame) -> DataFrame:
     heavy per-row work (text cleaning); for light numeric work the extra shuffle
     costs more than it saves.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:
+    except Exception:  # no JVM-side context (e.g. Spark Connect): leave the scan as is
         return df
     return df.repartition(cores) if splits < cores and cores > 1 else df
 
