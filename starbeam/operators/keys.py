@@ -22,13 +22,16 @@ def surrogate_key(df: DataFrame, order: Sequence[Column], name: str, partitions:
     """Add ``name`` = 1..n in ``order`` (a total order), without a single-task window.
 
     Range-partition and sort by ``order``, cut lineage with a reliable checkpoint
-    (the partitions' contents are then fixed), count rows per partition (one row per
-    partition, broadcast), and add each partition's offset to the row position.
+    (the partitions' contents are then fixed, also when a task is retried on another
+    executor), count rows per partition (one row per partition, broadcast), and add
+    each partition's offset to the row position.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # Without an explicit count AQE sizes the range partitions from the data and
+    # may merge neighbours, which keeps them in key order.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     pos = ordered.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

@@ -106,3 +106,10 @@ def test_report_two_distinct_counts_aggregate_fact_before_join(star):
     text = plan(report_customers(star, FIXTURE))
     join_at = min(i for i in (text.find("BroadcastHashJoin"), text.find("SortMergeJoin")) if i >= 0)
     assert "HashAggregate" in text[join_at:], "fact is aggregated per customer before the join"
+
+
+def test_surrogate_key_with_aqe_sized_partitions(spark):
+    df = spark.range(0, 20000, numPartitions=5).select((F.col("id") * 104729 % 20000).alias("v"))
+    keyed = surrogate_key(df, [F.asc("v")], "k")
+    bad = keyed.where(F.col("k") != F.col("v") + 1).count()
+    assert bad == 0 and keyed.count() == 20000
