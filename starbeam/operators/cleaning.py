@@ -145,19 +145,20 @@ def fill_missing_text(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- table cleaners
 
 
-def _base(df: DataFrame) -> DataFrame:
+def base_clean(df: DataFrame) -> DataFrame:
+    """CLN1 + CLN2, the first two steps of every table cleaner."""
     return drop_exact_duplicates(normalise_headers(df))
 
 
-def clean_cust_info(df: DataFrame) -> DataFrame:
-    out = _base(df)
+def clean_cust_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    out = base_clean(df)
     out = recode_gender(out, "customer_gender")
     out = recode_marital(out)
     return coerce_integer_key(out, "customer_id")
 
 
-def clean_prd_info(df: DataFrame) -> DataFrame:
-    out = _base(df)
+def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    out = base_clean(df)
     cost = resolve(out.columns, "product_cost")
     out = coerce_money_or_zero(out, [cost] if cost else [])
     out = split_compound_product_key(out)
@@ -166,8 +167,8 @@ def clean_prd_info(df: DataFrame) -> DataFrame:
     return coerce_dates(out, ("product_start", "product_end"))
 
 
-def clean_sales_details(df: DataFrame) -> DataFrame:
-    out = _base(df)
+def clean_sales_details(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    out = base_clean(df)
     out = parse_compact_dates(out, ("sales_order_date", "sales_ship_date", "sales_due_date"))
     qty = resolve(out.columns, "sales_quantity")
     out = coerce_quantity_or_zero(out, [qty] if qty else [])
@@ -179,18 +180,18 @@ def clean_sales_details(df: DataFrame) -> DataFrame:
 
 
 def clean_cust_az12(df: DataFrame, as_of: dt.date) -> DataFrame:
-    out = _base(df)
+    out = base_clean(df)
     out = coerce_dates(out, ("erp_birthdate",))
     out = null_future_dates(out, as_of)
     return recode_gender(out, "erp_gender")
 
 
-def clean_loc_a101(df: DataFrame) -> DataFrame:
-    return standardise_country(_base(df))
+def clean_loc_a101(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    return standardise_country(base_clean(df))
 
 
-def clean_px_cat_g1v2(df: DataFrame) -> DataFrame:
-    return fill_missing_text(_base(df))
+def clean_px_cat_g1v2(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    return fill_missing_text(base_clean(df))
 
 
 CLEANERS = {
@@ -205,4 +206,4 @@ CLEANERS = {
 
 def clean(name: str, df: DataFrame, as_of: dt.date) -> tuple[str, DataFrame]:
     target, fn = CLEANERS[name]
-    return target, (fn(df, as_of) if fn is clean_cust_az12 else fn(df))
+    return target, fn(df, as_of)

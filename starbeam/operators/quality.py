@@ -43,7 +43,7 @@ def duplicates_removed(raw: DataFrame, table_name: str) -> DataFrame:
 
 def null_key_rows(raw_sales: DataFrame) -> DataFrame:
     """DQ2: de-duplicated, coerced sales rows that miss an order, product or customer key."""
-    staged = cleaning.coerce_integer_key(cleaning._base(raw_sales), "sales_customer")
+    staged = cleaning.coerce_integer_key(cleaning.base_clean(raw_sales), "sales_customer")
     keys = cleaning.sales_key_columns(staged)
     missing = F.lit(False)
     for k in keys:
@@ -55,7 +55,7 @@ def null_key_rows(raw_sales: DataFrame) -> DataFrame:
 
 def future_dates(raw_demographics: DataFrame, as_of: dt.date) -> DataFrame:
     """DQ3: birth dates after ``as_of`` (set to null by cleaning)."""
-    staged = cleaning._base(raw_demographics)
+    staged = cleaning.base_clean(raw_demographics)
     c = resolve(staged.columns, "erp_birthdate", required=True)
     parsed = dates.parse_date(c)
     agg = staged.agg(F.count_if(parsed > F.lit(as_of)).alias("future"), F.count_if(parsed.isNull()).alias("bad"))
