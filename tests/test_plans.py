@@ -113,3 +113,17 @@ def test_surrogate_key_with_aqe_sized_partitions(spark):
     keyed = surrogate_key(df, [F.asc("v")], "k")
     bad = keyed.where(F.col("k") != F.col("v") + 1).count()
     assert bad == 0 and keyed.count() == 20000
+
+
+def test_single_partition_exchanges_only_over_aggregates(spark, sf_small):
+    """A single-partition exchange (global aggregate, unpartitioned window) may only
+    receive aggregated rows, never the raw rows of a table."""
+    for name, fn in entry.queries().items():
+        lines = plan(fn(spark, sf_small)).splitlines()
+        for i, ln in enumerate(lines):
+            if "Exchange SinglePartition" not in ln:
+                continue
+            j = i + 1
+            while j < len(lines) and re.search(r"\+- (Project|Filter) ", lines[j]):
+                j += 1
+            assert j < len(lines) and "HashAggregate" in lines[j], (name, lines[j] if j < len(lines) else "")
