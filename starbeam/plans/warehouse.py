@@ -1,4 +1,4 @@
-"""Layered batch run: bronze -> silver -> gold [-> reports [-> analytics]] (SNK1-SNK3).
+"""Layered batch run: bronze -> silver -> gold [-> reports] -> quality [-> analytics] (SNK1-SNK3).
 
 One Spark application; every layer reads the previous layer's written tables, so
 each layer's plan starts from parquet files (lineage is cut at every layer, and a
@@ -155,6 +155,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
              ("gold", lambda st: wh.gold(st["silver"]))]
     if run_reports:
         steps.append(("reports", lambda st: wh.reports(st["gold"])))
+    steps.append(("quality", lambda st: {"dq_results": wh.write("quality", "dq_results", dq_results(
+        spark, st["bronze"], st["gold"], st.get("reports"), p))}))
     if run_analytics:
         steps.append(("analytics", lambda st: wh.analytics(st["gold"], st["reports"])))
     state: dict[str, dict] = {}

@@ -24,11 +24,12 @@ def run_result(spark, sf_small):
 def test_full_run_succeeds_and_audits_every_table(run_result):
     res, _, _ = run_result
     assert res.ok, res.error
-    assert list(res.layer_seconds) == ["bronze", "silver", "gold", "reports", "analytics"]
+    assert list(res.layer_seconds) == ["bronze", "silver", "gold", "reports", "quality", "analytics"]
     written = {(layer, t) for layer, t, *_ in res.audit}
     for t in ("dim_customers", "dim_products", "dim_date", "fact_sales", "report_customers", "report_products"):
         assert ("gold", t) in written
     assert sum(1 for layer, *_ in res.audit if layer == "analytics") == 27
+    assert ("quality", "dq_results") in written
     assert all(rows >= 0 for _, _, rows, *_ in res.audit)
 
 
@@ -81,3 +82,16 @@ def test_incremental_sales_append_matches_batch_cleaning(spark, sf_small):
     want = cleaning.clean_sales_details(raw)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_command_line_run_with_extracts(sf_small, spark, capsys):
+    from starbeam.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="starbeam-test-cli-", dir="/tmp")
+    code = main(["--source", "testdata", "--sf-dir", sf_small, "--out", os.path.join(root, "wh"),
+                 "--with-reports", "--extracts", os.path.join(root, "ext")])
+    out = capsys.readouterr().out
+    assert code == 0 and "OK" in out
+    ext = spark.read.option("header", "true").csv(os.path.join(root, "ext", "gold.dim_products"))
+    assert ext.count() == spark.read.parquet(os.path.join(root, "wh", "gold", "dim_products")).count()
+    assert "product_key" in ext.columns
