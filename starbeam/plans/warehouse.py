@@ -174,6 +174,23 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
     return res
 
 
+def register_views(star: Star, reports: dict[str, DataFrame] | None = None,
+                   extra: dict[str, DataFrame] | None = None) -> list[str]:
+    """SRC5: expose the star under the source system's table names, so analytic SQL
+    text runs unchanged through ``spark.sql`` (temporary views, this session only).
+
+    ``dim_products`` carries the query column names (prd_key, prd_nm, cat, subcat,
+    prd_cost); the date dimension is derived from the fact when not given.
+    """
+    views = {"fact_sales": star.fact, "dim_customers": star.customers, "dim_products": star.products,
+             "dim_date": star.dates if star.dates is not None else dimensions.dim_date(star.fact)}
+    views.update(reports or {})
+    views.update(extra or {})
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def publish_extracts(res: RunResult, out_dir: str) -> dict[str, str]:
     """SNK4: CSV extracts (header row) of the product dimension and product report.
 
