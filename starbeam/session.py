@@ -50,8 +50,10 @@ def apply_required_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a fresh scratch folder is taken.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    a cluster without one is an error (a machine-local folder would not be seen by
+    the executors). Only a local master with nothing configured (tests) gets a fresh
+    scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -62,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (surrogate keys checkpoint there)")
         configured = tempfile.mkdtemp(prefix="starbeam-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
