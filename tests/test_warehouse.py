@@ -95,3 +95,17 @@ def test_command_line_run_with_extracts(sf_small, spark, capsys):
     ext = spark.read.option("header", "true").csv(os.path.join(root, "ext", "gold.dim_products"))
     assert ext.count() == spark.read.parquet(os.path.join(root, "wh", "gold", "dim_products")).count()
     assert "product_key" in ext.columns
+
+
+def test_dq1_from_counts_equals_recount(spark, run_result):
+    res, _, _ = run_result
+    bronze = {k.split(".", 1)[1]: v for k, v in res.tables.items() if k.startswith("bronze.")}
+    silver = {k.split(".", 1)[1]: v for k, v in res.tables.items() if k.startswith("silver.")}
+    gold = {k.split(".", 1)[1]: v for k, v in res.tables.items() if k.startswith("gold.")}
+    for k in ("report_customers", "report_products"):
+        gold.pop(k)
+    fast = warehouse.dq_results(spark, bronze, gold, None, FIXTURE, silver=silver).where(F.col("check_id") == "DQ1")
+    slow = warehouse.dq_results(spark, bronze, gold, None, FIXTURE).where(F.col("check_id") == "DQ1")
+    assert sorted(fast.collect()) == sorted(slow.collect())
+    stored = res.tables["quality.dq_results"].where(F.col("check_id") == "DQ1")
+    assert sorted(stored.collect()) == sorted(slow.collect())
