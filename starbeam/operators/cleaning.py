@@ -167,7 +167,10 @@ def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return coerce_dates(out, ("product_start", "product_end"))
 
 
-def clean_sales_details(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation=None) -> DataFrame:
+    """Sales cleaner. With a ``pyspark.sql.Observation`` it also records, during
+    whatever action runs the result, the rows after de-duplication and the rows
+    dropped for a missing key (no extra pass over the data)."""
     out = base_clean(df)
     out = parse_compact_dates(out, ("sales_order_date", "sales_ship_date", "sales_due_date"))
     qty = resolve(out.columns, "sales_quantity")
@@ -176,6 +179,12 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None) -> DataFram
     out = coerce_money_or_zero(out, money)
     out = add_sales_amount(out)
     out = coerce_integer_key(out, "sales_customer")
+    if observation is not None:
+        missing = F.lit(False)
+        for k in sales_key_columns(out):
+            missing = missing | F.col(k).isNull()
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows_deduped"),
+                          F.count_if(missing).alias("rows_null_key"))
     return drop_null_keys(out)
 
 

@@ -50,6 +50,13 @@ def duplicates_removed_from_counts(spark, table_name: str, rows_in: int, rows_ou
                  {"rows_in": F.col("n"), "rows_out": F.col("m"), "rows_removed": F.col("n") - F.col("m")})
 
 
+def null_key_rows_from_counts(spark, rows_in: int, rows_dropped: int) -> DataFrame:
+    """DQ2 from counts observed while the silver sales table was written."""
+    one = spark.createDataFrame([(rows_in, rows_dropped)], "n bigint, dropped bigint")
+    return _rows(one, "DQ2", "null_key_rows_dropped", "clean_sales_details",
+                 {"rows_in": F.col("n"), "rows_dropped": F.col("dropped")})
+
+
 def null_key_rows(raw_sales: DataFrame) -> DataFrame:
     """DQ2: de-duplicated, coerced sales rows that miss an order, product or customer key."""
     staged = cleaning.coerce_integer_key(cleaning.base_clean(raw_sales), "sales_customer")

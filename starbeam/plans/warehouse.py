@@ -32,6 +32,7 @@ class RunResult:
     audit: list[tuple] = field(default_factory=list)
     layer_seconds: dict[str, float] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    observed: dict[str, dict] = field(default_factory=dict)
 
     def audit_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -67,8 +68,17 @@ class Warehouse:
         return {name: self.write("bronze", name, df) for name, df in raw.items()}
 
     def silver(self, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        from pyspark.sql import Observation
+
         out = {}
         for name, df in bronze.items():
+            if name == "raw_sales_details":
+                # counts for the quality checks, observed during the write itself
+                obs = Observation("sales_cleaning")
+                target, cleaned = "clean_sales_details", cleaning.clean_sales_details(df, observation=obs)
+                out[target] = self.write("silver", target, cleaned)
+                self.result.observed["sales"] = dict(obs.get)
+                continue
             target, cleaned = cleaning.clean(name, df, self.p.as_of)
             out[target] = self.write("silver", target, cleaned)
         return out
@@ -156,7 +166,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
     if run_reports:
         steps.append(("reports", lambda st: wh.reports(st["gold"])))
     steps.append(("quality", lambda st: {"dq_results": wh.write("quality", "dq_results", dq_results(
-        spark, st["bronze"], st["gold"], st.get("reports"), p, silver=st["silver"]))}))
+        spark, st["bronze"], st["gold"], st.get("reports"), p, silver=st["silver"],
+        observed=res.observed))}))
     if run_analytics:
         steps.append(("analytics", lambda st: wh.analytics(st["gold"], st["reports"])))
     state: dict[str, dict] = {}
@@ -213,22 +224,30 @@ DEDUP_ONLY = ("raw_cust_info", "raw_prd_info", "raw_cust_az12", "raw_loc_a101",
 
 def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, DataFrame],
                reps: dict[str, DataFrame] | None, p: Params,
-               silver: dict[str, DataFrame] | None = None) -> DataFrame:
+               silver: dict[str, DataFrame] | None = None, observed: dict | None = None) -> DataFrame:
     """All data-quality checks of a run as one DataFrame.
 
     With the written ``silver`` tables, DQ1 of the de-duplicate-only tables comes
-    from stored row counts instead of a second de-duplication of the raw input.
+    from stored row counts instead of a second de-duplication of the raw input;
+    with the counts ``observed`` while the sales were cleaned, DQ1 and DQ2 of the
+    sales need no pass of their own either.
     """
     star = star_from_gold(gold)
+    sales = (observed or {}).get("sales")
     parts = []
     for name, df in raw.items():
         target = cleaning.CLEANERS[name][0]
         if silver is not None and name in DEDUP_ONLY and target in silver:
             parts.append(quality.duplicates_removed_from_counts(spark, name, df.count(), silver[target].count()))
+        elif name == "raw_sales_details" and sales is not None:
+            parts.append(quality.duplicates_removed_from_counts(spark, name, df.count(), sales["rows_deduped"]))
         else:
             parts.append(quality.duplicates_removed(df, name))
-    parts += [quality.null_key_rows(raw["raw_sales_details"]),
-              quality.future_dates(raw["raw_cust_az12"], p.as_of),
+    if sales is not None:
+        parts.append(quality.null_key_rows_from_counts(spark, sales["rows_deduped"], sales["rows_null_key"]))
+    else:
+        parts.append(quality.null_key_rows(raw["raw_sales_details"]))
+    parts += [quality.future_dates(raw["raw_cust_az12"], p.as_of),
               quality.orphans(star.fact, star.customers, star.products, p),
               quality.match_rate(gold["dim_customers"]),
               quality.nonempty_join(star.fact, star.products)]

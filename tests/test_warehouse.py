@@ -104,8 +104,10 @@ def test_dq1_from_counts_equals_recount(spark, run_result):
     gold = {k.split(".", 1)[1]: v for k, v in res.tables.items() if k.startswith("gold.")}
     for k in ("report_customers", "report_products"):
         gold.pop(k)
-    fast = warehouse.dq_results(spark, bronze, gold, None, FIXTURE, silver=silver).where(F.col("check_id") == "DQ1")
-    slow = warehouse.dq_results(spark, bronze, gold, None, FIXTURE).where(F.col("check_id") == "DQ1")
+    fast = warehouse.dq_results(spark, bronze, gold, None, FIXTURE, silver=silver, observed=res.observed).where(
+        F.col("check_id").isin("DQ1", "DQ2"))
+    slow = warehouse.dq_results(spark, bronze, gold, None, FIXTURE).where(F.col("check_id").isin("DQ1", "DQ2"))
+    assert res.observed["sales"]["rows_deduped"] > 0
     assert sorted(fast.collect()) == sorted(slow.collect())
-    stored = res.tables["quality.dq_results"].where(F.col("check_id") == "DQ1")
+    stored = res.tables["quality.dq_results"].where(F.col("check_id").isin("DQ1", "DQ2"))
     assert sorted(stored.collect()) == sorted(slow.collect())
