@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbeam.llm import bpe, decontam, token_counts
+from starbeam.llm import bpe, decontam, exact_dedup, secret_scan, token_counts
 from starbeam.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -26,9 +30,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), keep_ids=False)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op5_decontamination, op7_byte_bpe, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op3_exact_dedup, op5_decontamination, op7_byte_bpe, op8_secret_scan, op10_token_counts)}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
