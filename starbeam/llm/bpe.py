@@ -283,4 +283,4 @@ def encode_texts(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if keep_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return common.map_arrow(docs.select(id_col, text_col), run, T.StructType(fields))

@@ -4,12 +4,38 @@ from __future__ import annotations
 
 import hashlib
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starbeam.session import ensure_checkpoint_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python path, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = os.path.join(tempfile.mkdtemp(prefix=f"{root.name}-"), f"{root.name}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(application)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow(function, schema)`` with this package on the executors' path."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -71,7 +71,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield block(ids, counts, hashes)
 
     schema = T.StructType([T.StructField("doc_ids", T.ArrayType(id_type)), *(T.StructField(c, T.BinaryType()) for c in ("doc_starts", "terms", "offsets", "postings"))])
-    return docs.select(id_col, text_col).mapInArrow(build, schema)
+    return common.map_arrow(docs.select(id_col, text_col), build, schema)
 
 
 def _phrases(items: Iterator, window: int):
@@ -163,7 +163,7 @@ def search(index: DataFrame, phrases: list, id_col: str = "doc_id", slop: int =
                 )
 
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType()))])
-    return index.mapInArrow(look, schema)
+    return common.map_arrow(index, look, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, slop: int = 0, keep_index: bool = True) -> DataFrame:

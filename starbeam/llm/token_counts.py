@@ -80,7 +80,7 @@ def frequent_runs(docs: DataFrame, text_col: str = "text", frequent: int = FREQU
             part = best[i : i + 4096]
             yield pa.record_batch({"run": pa.array(list(runs[part]), pa.binary()), "n": pa.array(counts[part])})
 
-    found = docs.select(text_col).mapInArrow(summarise, "run binary, n long")
+    found = common.map_arrow(docs.select(text_col), summarise, "run binary, n long")
     return found.groupBy("run").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "run").limit(frequent)
 
 
@@ -131,4 +131,4 @@ def count_tokens(
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(count, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return common.map_arrow(docs.select(id_col, text_col), count, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
