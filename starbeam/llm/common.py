@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -46,6 +47,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again, so that later plans know its size."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> int:
     """Partitions for a shuffle of derived rows: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
