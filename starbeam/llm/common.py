@@ -17,8 +17,13 @@ from starbeam.session import ensure_checkpoint_dir
 _shipped: set[str] = set()
 
 
+#: Most bytes of an Arrow batch: long texts make batches shorter than the default number of rows.
+BATCH_BYTES = 32 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python path, once per application."""
+    """Send this package to the executors' Python path, once per application, and bound the bytes of Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return

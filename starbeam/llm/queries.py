@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, secret_scan, token_counts, toxicity
+from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, near_dup, secret_scan, token_counts, toxicity
 from starbeam.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -54,5 +58,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op10_token_counts)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
