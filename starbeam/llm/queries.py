@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, near_dup, secret_scan, token_counts, toxicity
+from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, near_dup, secret_scan, substring_dedup, token_counts, toxicity
 from starbeam.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +54,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op10_token_counts)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_substring_dedup, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
