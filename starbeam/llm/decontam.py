@@ -177,7 +177,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows without a match, with all their columns. Rows without an id stay."""
     hit = common.written(decontaminate(docs, benchmark, id_col, text_col, window).where("n_hit > 0").select(F.col(id_col).alias("hit_id")).distinct())
-    return docs.join(hit, F.col(id_col) == F.col("hit_id"), "left_anti")
+    return docs.join(hit, docs[id_col] == hit["hit_id"], "left_anti")
 
 
 def report(matches: DataFrame) -> DataFrame:

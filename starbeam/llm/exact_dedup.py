@@ -77,5 +77,5 @@ def _content_hash(chunk: Column) -> Column:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = deduplicate(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("kept_id")) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == F.col("kept_sha"))
+    same = docs[id_col].eqNullSafe(kept["kept_id"]) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == kept["kept_sha"])
     return docs.join(kept, same, "left_semi")

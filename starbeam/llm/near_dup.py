@@ -261,4 +261,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that stay, one document of each class, with all their columns (rows without an id stay)."""
     gone = common.written(near_duplicates(docs, id_col, text_col, threshold).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
