@@ -1,9 +1,10 @@
 """Exact deduplication by content-defined chunk recipes, in DataFrame functions only.
 
-1. A text is cut into chunks where its own content says so: after a sentence end or a line break,
-   once a chunk has ``SMALLEST`` characters, and after ``LARGEST`` characters at the latest. The
-   chunks concatenate to the text again, so equal texts have equal chunk lists and equal chunk
-   lists mean equal texts.
+1. A text is cut into chunks where its own content says so: at white space between certain
+   characters (one blank in some tens), once a chunk has ``SMALLEST`` characters, and after
+   ``LARGEST`` characters at the latest. After an edit the cuts fall into step again within a chunk
+   or two. The chunks concatenate to the text again, so equal texts have equal chunk lists and
+   equal chunk lists mean equal texts.
 2. The chunks of all documents are deduplicated to identifiers. An identifier is the 64-bit hash
    of a chunk; it is verified by the SHA-256 of the chunks that carry it. If any identifier stands
    for two contents, the SHA-256 values themselves become the identifiers.
@@ -23,7 +24,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SMALLEST, LARGEST = 256, 2048
+SMALLEST, LARGEST = 64, 2048
+#: A cut is after white space that follows one of BEFORE and stands before one of AFTER.
+BEFORE, AFTER = "cgks.;!?#$", "adiqyADIQY0-9"
 
 ORACLE_SQL = """
 SELECT doc_id,
@@ -38,14 +41,14 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def chunks(text: Column, smallest: int = SMALLEST, largest: int = LARGEST) -> Column:
     """The content-defined chunks of a text, in order; they concatenate to the text."""
-    pattern = rf"(?s).{{{smallest},{largest}}}?(?:[.!?]\s|\n)|.{{1,{largest}}}"
+    pattern = rf"(?s).{{{smallest},{largest}}}?\s(?<=[{BEFORE}]\s)(?=[{AFTER}])|.{{1,{largest}}}"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def ambiguous_identifiers(docs: DataFrame, text_col: str = "text", smallest: int = SMALLEST, largest: int = LARGEST) -> DataFrame:
+def ambiguous_identifiers(docs: DataFrame, text_col: str = "text", smallest: int = SMALLEST, largest: int = LARGEST, identifier=F.xxhash64) -> DataFrame:
     """Identifiers that stand for more than one chunk content."""
     cut = docs.select(F.explode(chunks(F.coalesce(F.col(text_col), F.lit("")), smallest, largest)).alias("chunk"))
-    dictionary = cut.select(F.xxhash64("chunk").alias("id"), F.unhex(F.sha2("chunk", 256)).alias("content")).distinct()
+    dictionary = cut.select(identifier(F.col("chunk")).alias("id"), F.unhex(F.sha2("chunk", 256)).alias("content")).distinct()
     return dictionary.groupBy("id").count().where("count > 1")
 
 
@@ -61,7 +64,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sma
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", smallest: int = SMALLEST, largest: int = LARGEST, identifier=F.xxhash64) -> DataFrame:
     """Per row: id, ``keep_id`` (largest id of its group of equal texts), ``group_size``, ``kept``, ``text_sha256``."""
-    if not ambiguous_identifiers(docs, text_col, smallest, largest).isEmpty():
+    if not ambiguous_identifiers(docs, text_col, smallest, largest, identifier).isEmpty():
         identifier = _content_hash
     own = recipes(docs, id_col, text_col, smallest, largest, identifier)
     groups = own.groupBy("recipe").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
