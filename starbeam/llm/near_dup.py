@@ -17,10 +17,12 @@ weighted Jaccard similarity of multisets, sum of minima over sum of maxima, and
    only its smallest id takes part from here on.
 3. Verification. In every bucket all members are compared with the bucket's smallest id, on the
    whole texts, so a bucket gives one pair per member, not all pairs. Verified links make
-   components. Then, in buckets that still hold several components, members outside the component of
-   the bucket's smallest id are compared with the smallest id among them, and at last every pair
-   that shares a bucket but no component is compared; a bucket whose members are one component, as
-   large groups of copies are, gives no pair any more. No link between components is lost.
+   components. Members that share a bucket share its smallest id, so documents are then gathered
+   by that id; where such a group is one component, as large groups of copies are, all is known.
+   The other groups are dealt to pairs of blocks of at most ``BLOCK_DOCS`` documents and
+   ``BLOCK_BYTES`` bytes; a task computes the exact overlaps of two blocks as one matrix product over
+   the shingles that several of their documents have, and returns only links that join
+   components. No link between components is lost, and no list of all pairs is made.
 4. Components come from alternating large-star and small-star steps as joins and aggregates.
 
 Nothing is collected; a hot bucket or class is aggregated per task before the shuffle and joined
@@ -46,6 +48,7 @@ from starbeam.llm import textscan as ts
 SHINGLE, THRESHOLD = 5, 0.8
 SLOTS, ROWS = 80, 4
 CHUNK = 1 << 20
+BLOCK_DOCS, BLOCK_BYTES, COLUMNS = 512, 8 << 20, 4096
 #: Most documents of one slice (the upper bits of a sort key) and bits of a shingle's id.
 DOC_BITS, ID_BITS = 12, 52
 
@@ -158,20 +161,21 @@ def similarity(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.
     return both / total if total else 1.0
 
 
+def _multisets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for _, data, offsets in _slices(batch, column):
+        h, s, _ = ts.scan_words(data, offsets[:-1], ts.ALNUM_OR_WIDE, ts.LOWER)
+        doc, item, weight = shingles(h, ts.rows_of(s, offsets))
+        edge = np.searchsorted(doc, np.arange(len(offsets)))
+        for i in range(len(offsets) - 1):
+            yield item[edge[i] : edge[i + 1]], weight[edge[i] : edge[i + 1]]
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole texts reach the threshold; ``texts`` is (id, text)."""
 
-    def multisets(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for _, data, offsets in _slices(batch, column):
-            h, s, _ = ts.scan_words(data, offsets[:-1], ts.ALNUM_OR_WIDE, ts.LOWER)
-            doc, item, weight = shingles(h, ts.rows_of(s, offsets))
-            edge = np.searchsorted(doc, np.arange(len(offsets)))
-            for i in range(len(offsets) - 1):
-                yield item[edge[i] : edge[i + 1]], weight[edge[i] : edge[i + 1]]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [similarity(x, y) >= threshold for x, y in zip(multisets(batch, "a_text"), multisets(batch, "b_text"))]
+            near = [similarity(x, y) >= threshold for x, y in zip(_multisets(batch, "a_text"), _multisets(batch, "b_text"))]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     held = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
@@ -180,6 +184,56 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return common.map_arrow(held.select("a", "b", "a_text", "b_text"), run, f"a {kind}, b {kind}").distinct()
 
 
+def compared(dealt: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (``a``, ``b``) that join different components, from the exact comparison of pairs of blocks: rows of
+    (first, left, right, block, id, component, text) with one pair of blocks per (first, left, right)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, part, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
+        batch = pa.record_batch([table.column("text").combine_chunks()], names=["text"])
+        sets = list(_multisets(batch, "text"))
+        total = np.array([w.sum() for _, w in sets], np.int64)
+        doc = np.repeat(np.arange(len(sets)), total)
+        weight = np.concatenate([w for _, w in sets])
+        item = np.repeat(np.concatenate([i for i, _ in sets]), weight)
+        nth = np.arange(len(item)) - np.repeat(np.cumsum(weight) - weight, weight)
+        with np.errstate(over="ignore"):
+            _, column, count = np.unique(ts.mix(item + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+        several = count[column] > 1
+        doc, column = doc[several], (np.cumsum(count > 1) - 1)[column[several]]
+        order = np.argsort(column, kind="stable")
+        doc, column = doc[order], column[order]
+        overlap = np.zeros((len(ids), len(ids)), np.float32)
+        for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            own = slice(*np.searchsorted(column, [a, a + COLUMNS]))
+            matrix = np.zeros((len(ids), COLUMNS), np.float32)
+            matrix[doc[own], column[own] - a] = 1.0
+            overlap += matrix @ matrix.T
+        near = overlap >= threshold * (total[:, None] + total - overlap) - 1e-6
+        near &= (part[:, None] != part) & np.tri(len(ids), k=-1, dtype=bool)
+        if len(np.unique(block)) > 1:
+            near &= block[:, None] != block
+        parent = {p: p for p in part.tolist()}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for i, j in np.argwhere(near).tolist():
+            x, y = root(part[i].item()), root(part[j].item())
+            if x != y and similarity(sets[i], sets[j]) >= threshold:
+                parent[x] = y
+                out.append((ids[i], ids[j]))
+        return pa.table({c: pa.array([o[k] for o in out], table.schema.field("id").type) for k, c in enumerate("ab")})
+
+    common.ship(dealt.sparkSession)
+    kind = dealt.schema["id"].dataType.simpleString()
+    return dealt.groupBy("first", "left", "right").applyInArrow(run, f"a {kind}, b {kind}")
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(id, component): the smallest id of each connected component of edges (``a``, ``b``), for ids that have an edge."""
     links = common.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -202,10 +256,6 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
 
 
-def _with_component(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    return rows.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """((id, text_class) of all documents, verified links (a, b) between text classes that settle all components)."""
     own = common.stored(sketches(docs, id_col, text_col))
@@ -222,24 +272,16 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     tried = shared.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
     links = common.stored(verified(tried, texts, threshold))
-    # members that the bucket's first document did not take in: once against the first of these
-    parts = components(links)
-    rest = _with_component(shared, parts)
-    first = _with_component(shared.select(F.col("first").alias("id")).distinct(), parts).select(F.col("id").alias("first"), F.col("component").alias("first_component"))
-    rest = common.stored(rest.join(first, "first").where("component <> first_component").select("band", "id", "component", "first"))
-    if rest.isEmpty():
-        return membership, links
-    second = rest.groupBy("band").agg(F.min("id").alias("second"))
-    again = rest.join(second, "band").where("id <> second").select(F.col("id").alias("a"), F.col("second").alias("b")).distinct()
-    links = common.stored(links.unionByName(verified(again.subtract(tried), texts, threshold)).distinct())
-    # every pair that shares a bucket but no component
-    tried = tried.unionByName(again)
-    parts = components(links)
-    open_bands = rest.select("band").distinct()
-    placed = common.stored(_with_component(shared.join(open_bands, "band", "left_semi").select("band", "id"), parts))
-    left, right = placed.select("band", F.col("id").alias("a"), F.col("component").alias("ca")), placed.select("band", F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = left.join(right, "band").where("ca <> cb and a > b").select("a", "b").distinct().subtract(tried)
-    return membership, common.stored(links.unionByName(verified(across, texts, threshold)).distinct())
+    groups = shared.select("first", "id").distinct().join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    groups = groups.join(texts.select("id", F.octet_length("text").alias("size")), "id")
+    sizes = groups.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.min("component").alias("low"), F.max("component").alias("high"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    unsettled = sizes.where("n > 2 and low <> high").select("first", blocks.alias("blocks"))
+    dealt = groups.join(unsettled, "first").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("first", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("first", "id", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    more = compared(dealt.join(texts, "id"), threshold)
+    return membership, common.stored(links.unionByName(more).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
