@@ -202,16 +202,16 @@ def document_minimizers(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(least[new].view(np.int64)), part.column("id").take(doc), part.column("hash").take(doc)], names=["minimizer", "id", "hash"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return common.map_arrow(docs, run, f"minimizer long, id {kind}, hash long")
+    return common.map_arrow(docs, run, f"minimizer long, id {kind}, hash int")
 
 
 def segment_rows(held: DataFrame, shards: int, distinct: bool) -> DataFrame:
-    """Segments of documents with ``shared`` and ``hot`` minimizers: with their words and dealt to shards
+    """Segments of documents with ``shared`` and ``hot`` minimizers: with their text and dealt to shards
     (``distinct``: each distinct one of a batch once), or only where they stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, h, _, _, first in _words(batch, "text"):
+            for part, data, h, s, e, first in _words(batch, "text"):
                 doc, at, count, least = runs(h, first)
                 shared, hot = (_member(part.column(c), doc, least) for c in ("shared", "hot"))
                 alone = np.flatnonzero(shared & hot)
@@ -225,35 +225,30 @@ def segment_rows(held: DataFrame, shards: int, distinct: bool) -> DataFrame:
                     continue
                 size = windows + WINDOW - 1
                 with np.errstate(over="ignore"):
-                    flat = ts.take_ranges(h, place, size)
-                    edge = np.concatenate([[0], np.cumsum(size)])
-                    inside = (np.arange(len(flat)) - np.repeat(edge[:-1], size)).astype(np.uint64)
-                    own = ts.mix(np.add.reduceat(ts.mix(flat + inside * np.uint64(0x9E3779B97F4A7C15)), edge[:-1]) + size.astype(np.uint64))
-                    single = np.concatenate([np.zeros(len(whole), bool), np.ones(int(n.sum()), bool)])
+                    edge = np.cumsum(size) - size
+                    inside = (np.arange(int(size.sum())) - np.repeat(edge, size)).astype(np.uint64)
+                    flat = ts.mix(ts.take_ranges(h, place, size) + inside * np.uint64(0x9E3779B97F4A7C15))
+                    own = ts.mix(np.add.reduceat(flat, edge) + size.astype(np.uint64))
+                    single = np.arange(len(place)) >= len(whole)
                     shard = (ts.mix(np.where(single, own, least)) % np.uint64(shards)).astype(np.int32)
-                ids = part.column("id").to_numpy(zero_copy_only=False)
                 if not distinct:
-                    yield pa.record_batch(
-                        [part.column("id").take(pa.array(doc)), part.column("hash").take(pa.array(doc)), pa.array(place - first[doc]), pa.array(least.view(np.int64)), pa.array(own.view(np.int64))],
-                        names=["id", "hash", "place", "minimizer", "segment"],
-                    )
+                    at = pa.array(doc)
+                    columns = [part.column("id").take(at), part.column("hash").take(at), pa.array((place - first[doc]).astype(np.int32)), pa.array(shard), pa.array(own.view(np.int64))]
+                    yield pa.record_batch(columns, names=["id", "hash", "place", "shard", "segment"])
                     continue
-                order = np.lexsort((own, least))
-                new = np.ones(len(order), bool)
-                new[1:] = (own[order][1:] != own[order][:-1]) | (least[order][1:] != least[order][:-1])
-                heads = np.flatnonzero(new)
+                order = np.argsort(own, kind="stable")
+                heads = np.flatnonzero(np.concatenate([[True], own[order][1:] != own[order][:-1]]))
                 pick = order[heads]
-                value = ids[doc[order]]
-                words = ts.take_ranges(flat, edge[pick], size[pick])
-                ends = np.concatenate([[0], np.cumsum(size[pick] * 8)]).astype(np.int32)
-                packed = pa.Array.from_buffers(pa.binary(), len(pick), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(words))])
-                yield pa.record_batch(
-                    [pa.array(shard[pick]), pa.array(least[pick].view(np.int64)), pa.array(own[pick].view(np.int64)), pa.array(np.minimum.reduceat(value, heads)), pa.array(np.maximum.reduceat(value, heads)), packed],
-                    names=["shard", "minimizer", "segment", "first_doc", "last_doc", "words"],
-                )
+                value = part.column("id").to_numpy(zero_copy_only=False)[doc[order]]
+                begin = s[place[pick]]
+                length = e[place[pick] + size[pick] - 1] - begin
+                ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                text = pa.Array.from_buffers(pa.binary(), len(pick), [None, pa.py_buffer(ends), pa.py_buffer(ts.take_ranges(data, begin, length).tobytes())])
+                columns = [pa.array(shard[pick]), pa.array(own[pick].view(np.int64)), pa.array(np.minimum.reduceat(value, heads)), pa.array(np.maximum.reduceat(value, heads)), text]
+                yield pa.record_batch(columns, names=["shard", "segment", "first_doc", "last_doc", "text"])
 
     kind = held.schema["id"].dataType.simpleString()
-    schema = f"shard int, minimizer long, segment long, first_doc {kind}, last_doc {kind}, words binary" if distinct else f"id {kind}, hash long, place long, minimizer long, segment long"
+    schema = f"shard int, segment long, first_doc {kind}, last_doc {kind}, text binary" if distinct else f"id {kind}, hash int, place int, shard int, segment long"
     return common.map_arrow(held, run, schema)
 
 
@@ -270,33 +265,32 @@ def _member(lists: pa.Array, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def search_shards(segments: DataFrame) -> DataFrame:
-    """(minimizer, segment, firsts): the smallest document of each window of the segments that any document may lose words by."""
+    """(shard, segment, firsts): the smallest document of each window of the segments that any document may lose words by."""
+
     def search(table: pa.Table) -> pa.Table:
-        minimizer, segment, first, last = (table.column(c).to_numpy() for c in ("minimizer", "segment", "first_doc", "last_doc"))
-        order = np.lexsort((segment, minimizer))
-        new = np.ones(len(order), bool)
-        new[1:] = (segment[order][1:] != segment[order][:-1]) | (minimizer[order][1:] != minimizer[order][:-1])
-        heads = np.flatnonzero(new)
+        shard, segment, first, last = (table.column(c).to_numpy() for c in ("shard", "segment", "first_doc", "last_doc"))
+        order = np.argsort(segment, kind="stable")
+        heads = np.flatnonzero(np.concatenate([[True], segment[order][1:] != segment[order][:-1]]))
         pick = order[heads]
         least, most = np.minimum.reduceat(first[order], heads), np.maximum.reduceat(last[order], heads)
-        words = table.column("words").take(pa.array(pick)).to_pylist()
-        found = smallest_documents([np.frombuffer(w, np.uint64) for w in words], least)
+        text = table.column("text").take(pa.array(pick)).combine_chunks().cast(pa.string())
+        words = []
+        for _, _, h, _, _, at in _words(pa.record_batch([text], names=["text"]), "text"):
+            words += np.split(h, at[1:-1])
+        found = smallest_documents(words, least)
         keep = [i for i, f in enumerate(found) if f.min() < most[i]]
         return pa.table({
-            "minimizer": pa.array(minimizer[pick[keep]], pa.int64()),
+            "shard": pa.array(shard[pick[keep]], pa.int32()),
             "segment": pa.array(segment[pick[keep]], pa.int64()),
             "firsts": pa.array([found[i] for i in keep], pa.list_(pa.int64())),
         })
 
-    schema = T.StructType([T.StructField("minimizer", T.LongType()), T.StructField("segment", T.LongType()), T.StructField("firsts", T.ArrayType(T.LongType()))])
     common.ship(segments.sparkSession)
-    return segments.groupBy("shard").applyInArrow(search, schema)
+    return segments.groupBy("shard").applyInArrow(search, "shard int, segment long, firsts array<long>")
 
 
-def marked_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """((id, hash, text) of all rows, (id, hash, windows) with the marked window starts of those that have any)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    known = rows.where("id is not null")
+def marked_windows(known: DataFrame) -> DataFrame:
+    """(id, hash, windows) with the marked window starts of the rows (id, hash, text) that have any."""
     each = document_minimizers(known)
     shared = common.written(each.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     total = shared.agg(F.sum("n")).first()[0] or 0
@@ -304,21 +298,22 @@ def marked_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = (
         each.join(shared, "minimizer")
         .groupBy("id", "hash")
-        .agg(F.collect_set("minimizer").alias("shared"), F.collect_set(F.when(F.col("n") > HOT, F.col("minimizer"))).alias("hot"))
+        .agg(F.collect_list("minimizer").alias("shared"), F.collect_list(F.when(F.col("n") > HOT, F.col("minimizer"))).alias("hot"))
     )
-    held = known.join(lists, ["id", "hash"]).select("id", "hash", "text", "shared", "hot")
+    held = known.join(common.written(lists), ["id", "hash"]).select("id", "hash", "text", "shared", "hot")
     found = search_shards(segment_rows(held, shards, True))
-    places = segment_rows(held, shards, False)
-    marked = places.join(found, ["minimizer", "segment"]).select(
-        "id", "hash", F.transform(F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), i)), lambda i: i.isNotNull()), lambda i: i + F.col("place")).alias("windows")
-    )
-    return rows, marked.where(F.size("windows") > 0).groupBy("id", "hash").agg(F.flatten(F.collect_list("windows")).alias("windows"))
+    marked = segment_rows(held, shards, False).join(found, ["shard", "segment"])
+    below = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), i + F.col("place"))), lambda i: i.isNotNull())
+    windows = marked.select("id", "hash", below.alias("windows")).where(F.size("windows") > 0)
+    return windows.groupBy("id", "hash").agg(F.flatten(F.collect_list("windows")).alias("windows"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_words``, ``n_removed``, ``kept_text`` (the words that stay, joined by blanks)."""
-    rows, marked = marked_windows(docs, id_col, text_col)
-    joined = rows.join(marked.withColumnsRenamed({"id": "marked_id", "hash": "marked_hash"}), (F.col("id") == F.col("marked_id")) & (F.col("hash") == F.col("marked_hash")), "left")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("hash", F.hash("text"))
+    known, unknown = rows.where("id is not null"), rows.where("id is null")
+    joined = known.join(marked_windows(known), ["id", "hash"], "left").select("id", "text", "windows")
+    joined = joined.unionByName(unknown.select("id", "text"), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,7 +334,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.record_batch([part.column("id"), pa.array(np.diff(first)), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[id_col, "n_words", "n_removed", "kept_text"])
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return common.map_arrow(joined.select("id", "text", "windows"), run, schema)
+    return common.map_arrow(joined, run, schema)
 
 
 def report(result: DataFrame, id_col: str = "doc_id") -> DataFrame:
