@@ -37,6 +37,7 @@ def main(argv=None) -> int:
     ap.add_argument("--no-build", action="store_true", help="use the tables already under --out")
     ap.add_argument("--sql", help="SQL text to run over the warehouse views")
     ap.add_argument("--show", type=int, default=50, help="rows of the --sql result to show")
+    ap.add_argument("--sql-out", help="folder for the whole --sql result (Parquet); without it the first rows are shown")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -69,13 +70,17 @@ def main(argv=None) -> int:
     t0 = time.time()
     res = warehouse.run(spark, raw, args.out, params, with_reports=args.with_reports,
                         with_analytics=args.with_analytics, full=args.full, missing_sources=missing)
-    for layer, table, rows, cols, secs in res.audit:
-        print(f"{layer:10s} {table:32s} rows={rows:>12,d} cols={cols:3d} {secs:8.2f}s")
+    for layer, table, rows_in, rows, removed, cols, secs, error in res.audit:
+        if error:
+            print(f"{layer:10s} {table:32s} FAILED {error}")
+            continue
+        cleaned = f" in={rows_in:,d} removed={removed:,d}" if rows_in is not None else ""
+        print(f"{layer:10s} {table:32s} rows={rows:>12,d} cols={cols:3d} {secs:8.2f}s{cleaned}")
     for layer, secs in res.layer_seconds.items():
         print(f"layer {layer:10s} {secs:8.2f}s")
     print(f"total {time.time() - t0:.2f}s {'OK' if res.ok else 'FAILED at ' + str(res.failed_layer)}")
-    if res.error:
-        print(res.error)
+    for error in res.errors:
+        print(error)
     if args.extracts and res.ok:
         for name, path in warehouse.publish_extracts(res, args.extracts).items():
             print(f"extract {name}: {path}")
@@ -94,7 +99,11 @@ def _run_sql(spark, args) -> int:
             gold[name] = spark.read.parquet(path)
     reports = {k: gold.pop(k) for k in ("report_customers", "report_products") if k in gold}
     warehouse.register_views(warehouse.star_from_gold(gold), reports)
-    spark.sql(args.sql).show(args.show, truncate=False)
+    result = spark.sql(args.sql)
+    if args.sql_out:
+        result.write.mode("overwrite").parquet(args.sql_out)
+    else:
+        result.show(args.show, truncate=False)
     return 0
 
 

@@ -44,6 +44,9 @@ PRODUCT_LINE_MISSING = "n/a"
 
 UNKNOWN_TEXT = "Unknown"
 
+# Forms of date text tried in this order after the ISO forms.
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
+
 # Age bins: right-closed (lower, upper] with their labels.
 AGE_BINS = ((0, 19, "Under 20"), (19, 29, "20-29"), (29, 39, "30-39"),
             (39, 49, "40-49"), (49, 999, "50 and above"))
@@ -80,8 +83,6 @@ class Params:
     bottom_products: int = 5
     top_customers_ranked: int = 10
     fewest_order_customers: int = 10
-    # dimension size (bytes, planner estimate) under which a dimension is broadcast
-    broadcast_bytes: int = 64 * 1024 * 1024
     # minimum share of CRM customers that must find their ERP record
     min_customer_match_rate: float = 0.0
     role_overrides: dict = field(default_factory=dict)

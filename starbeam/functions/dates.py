@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starbeam.config import DATE_FORMATS
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -17,14 +21,15 @@ def _lit_date(d: dt.date | Column) -> Column:
 
 
 def parse_yyyymmdd(c: Column | str) -> Column:
-    """Integer or text ``yyyymmdd`` to DATE; anything else (``0``, bad day) is null."""
-    text = F.trim(_col(c).cast("string"))
+    """Integer or text ``yyyymmdd`` (also ``20110101.0``) to DATE; anything else (``0``, bad day) is null."""
+    text = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0*$", "")
     return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
 
 
-def parse_date(c: Column | str) -> Column:
-    """Free-form date or timestamp text (ISO forms) to DATE; invalid is null."""
-    return F.try_to_timestamp(F.trim(_col(c).cast("string"))).cast("date")
+def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Free-form date or timestamp text to DATE: ISO forms, then ``formats`` in order; invalid is null."""
+    text = F.trim(_col(c).cast("string"))
+    return F.coalesce(F.try_to_timestamp(text).cast("date"), *[F.try_to_date(text, f) for f in formats])
 
 
 def calendar_months(later: Column | str, earlier: Column | str) -> Column:

@@ -6,30 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# Silver and gold keep what the source gives; only results are rounded.
+QUANTITY = "decimal(18,4)"
+PRICE = "decimal(18,4)"
+AMOUNT = "decimal(20,4)"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def try_number(c: Column | str) -> Column:
-    """Text or number to DOUBLE; unparseable is null."""
-    return _col(c).cast("string").try_cast("double")
-
-
-def try_number_or_zero(c: Column | str) -> Column:
-    """Text or number to DOUBLE; unparseable or missing is 0."""
-    return F.coalesce(try_number(c), F.lit(0.0))
-
-
 def try_integer(c: Column | str) -> Column:
-    """Text or number to BIGINT. ``'11000.0'`` -> 11000; non-integral or bad -> null."""
-    d = try_number(c)
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
-
-
-def money(c: Column | str) -> Column:
-    return _col(c).cast(MONEY)
+    """Text or number to BIGINT, digit by digit (no float in between, so ids above 2^53
+    stay apart). ``'11000.0'`` -> 11000; non-integral, too large or bad -> null."""
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
 
 
 def half_even(c: Column | str, digits: int) -> Column:
@@ -37,11 +28,6 @@ def half_even(c: Column | str, digits: int) -> Column:
     return F.bround(_col(c), digits)
 
 
-def half_up(c: Column | str, digits: int) -> Column:
-    """SQL rounding (the analytic queries' rule)."""
-    return F.round(_col(c), digits)
-
-
 def ratio_or(num: Column | str, den: Column | str, fallback: Column) -> Column:
     """``num / den``; a zero or missing divisor gives ``fallback``."""
     num, den = _col(num), _col(den)

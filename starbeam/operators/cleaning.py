@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starbeam import config
 from starbeam.functions import dates, numeric, text
-from starbeam.functions.numeric import MONEY
+from starbeam.functions.numeric import AMOUNT, PRICE, QUANTITY
 from starbeam.sources.schemas import resolve, resolve_all
 
 # ---------------------------------------------------------------- generic rules
@@ -56,21 +56,13 @@ def coerce_integer_key(df: DataFrame, role: str = "customer_id") -> DataFrame:
     return df.withColumn(c, numeric.try_integer(c))
 
 
-def coerce_money_or_zero(df: DataFrame, columns) -> DataFrame:
-    """CLN6 (money): DECIMAL(18,2); unparseable or missing -> 0."""
+def coerce_decimal_or_zero(df: DataFrame, columns, kind: str = PRICE) -> DataFrame:
+    """CLN6: text to the exact DECIMAL ``kind`` (4 places by default; fractions stay);
+    unparseable or missing -> 0."""
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    return df.withColumns({c: F.coalesce(text.strip(c).try_cast(MONEY), F.lit(0).cast(MONEY))
-                           for c in present})
-
-
-def coerce_quantity_or_zero(df: DataFrame, columns) -> DataFrame:
-    """CLN6 (counts): BIGINT; unparseable, fractional or missing -> 0."""
-    present = [c for c in columns if c in df.columns]
-    if not present:
-        return df
-    return df.withColumns({c: F.coalesce(numeric.try_integer(c), F.lit(0).cast("bigint")) for c in present})
+    return df.withColumns({c: F.coalesce(text.strip(c).try_cast(kind), F.lit(0).cast(kind)) for c in present})
 
 
 def split_compound_product_key(df: DataFrame) -> DataFrame:
@@ -99,11 +91,12 @@ def parse_compact_dates(df: DataFrame, roles) -> DataFrame:
 
 
 def add_sales_amount(df: DataFrame) -> DataFrame:
-    """CLN10: sales_amount = quantity x price (the stated line total is not used)."""
+    """CLN10: sales_amount = quantity x price (the stated line total is not used). A
+    product too large for the type is null and counted by DQ8; it ends no job."""
     q, p = resolve(df.columns, "sales_quantity"), resolve(df.columns, "sales_price")
     if q is None or p is None:
         return df
-    return df.withColumn("sales_amount", (F.col(q) * F.col(p)).cast(MONEY))
+    return df.withColumn("sales_amount", (F.col(q) * F.col(p)).try_cast(AMOUNT))
 
 
 def sales_key_columns(df: DataFrame) -> list[str]:
@@ -160,7 +153,7 @@ def clean_cust_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     out = base_clean(df)
     cost = resolve(out.columns, "product_cost")
-    out = coerce_money_or_zero(out, [cost] if cost else [])
+    out = coerce_decimal_or_zero(out, [cost] if cost else [])
     out = split_compound_product_key(out)
     if "prd_id" in out.columns:
         out = out.withColumn("prd_id", numeric.try_integer("prd_id"))
@@ -174,9 +167,9 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation
     out = base_clean(df)
     out = parse_compact_dates(out, ("sales_order_date", "sales_ship_date", "sales_due_date"))
     qty = resolve(out.columns, "sales_quantity")
-    out = coerce_quantity_or_zero(out, [qty] if qty else [])
+    out = coerce_decimal_or_zero(out, [qty] if qty else [], QUANTITY)
     money = [c for c in (resolve(out.columns, r) for r in ("sales_price", "sales_total")) if c]
-    out = coerce_money_or_zero(out, money)
+    out = coerce_decimal_or_zero(out, money)
     out = add_sales_amount(out)
     out = coerce_integer_key(out, "sales_customer")
     if observation is not None:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from starbeam import config
 from starbeam.config import Params
 from starbeam.functions import text
-from starbeam.functions.numeric import MONEY
-from starbeam.operators.joins import fits_broadcast, join_dimension
+from starbeam.functions.numeric import AMOUNT
 from starbeam.operators.keys import keep_first, surrogate_key
 
 
@@ -37,16 +36,14 @@ def keep_first_by_key(df: DataFrame, key: str) -> DataFrame:
     return keep_first(df, [key], _rest_ascending(df, {key}))
 
 
-def _enrich(left: DataFrame, right: DataFrame, left_key, right_key: str, p: Params) -> DataFrame:
+def _enrich(left: DataFrame, right: DataFrame, left_key, right_key: str) -> DataFrame:
     """Left join; on a column-name clash the left column wins (JN5)."""
     keep = [c for c in right.columns if c not in set(left.columns) or c == right_key]
     right = right.select(*keep)
     if right_key in left.columns:
         right = right.withColumnRenamed(right_key, f"_{right_key}_r")
         right_key = f"_{right_key}_r"
-    side = F.broadcast(right) if fits_broadcast(right, p.broadcast_bytes) else right
-    joined = left.join(side, left_key == side[right_key], "left")
-    return joined
+    return left.join(right, left_key == right[right_key], "left")
 
 
 def dim_customers(crm: DataFrame, demographics: DataFrame, locations: DataFrame, p: Params) -> DataFrame:
@@ -56,8 +53,8 @@ def dim_customers(crm: DataFrame, demographics: DataFrame, locations: DataFrame,
     crm = keep_latest_customer(crm).withColumn("_merge_key", F.col("cst_id").cast("string"))
     demo = keep_first_by_key(normalise_erp_key(demographics, "cid"), "cid")
     loc = keep_first_by_key(normalise_erp_key(locations, "cid"), "cid").withColumnRenamed("cid", "loc_cid")
-    out = _enrich(crm, demo, F.col("_merge_key"), "cid", p)
-    out = _enrich(out, loc, F.col("_merge_key"), "loc_cid", p)
+    out = _enrich(crm, demo, F.col("_merge_key"), "cid")
+    out = _enrich(out, loc, F.col("_merge_key"), "loc_cid")
     drop = [c for c in out.columns if c.startswith("_")]
     return out.drop(*drop)
 
@@ -84,14 +81,13 @@ def latest_product_versions(prd: DataFrame) -> DataFrame:
     return keep_first(prd, ["prd_key"], order)
 
 
-def attach_categories(prd: DataFrame, categories: DataFrame, p: Params) -> DataFrame:
+def attach_categories(prd: DataFrame, categories: DataFrame) -> DataFrame:
     """DIM8: left join the category table on the stripped category id."""
     cats = categories.select(text.strip("id").alias("_cat_id"), "cat", "subcat", "maintenance")
     keep = [c for c in cats.columns if c == "_cat_id" or c not in set(prd.columns)]
     # one row per category id keeps the join 1:1 (the source de-duplicates after it)
     cats = keep_first_by_key(cats.select(*keep), "_cat_id")
-    side = F.broadcast(cats) if fits_broadcast(cats, p.broadcast_bytes) else cats
-    return prd.join(side, text.strip("cat_id") == side["_cat_id"], "left").drop("_cat_id")
+    return prd.join(cats, text.strip("cat_id") == cats["_cat_id"], "left").drop("_cat_id")
 
 
 def decode_product_line(c) -> F.Column:
@@ -103,7 +99,7 @@ def product_rows(prd_clean: DataFrame, categories: DataFrame, p: Params) -> Data
     """Product dimension rows in the published layout, without the surrogate key:
     latest version per product number, category attached, line decoded."""
     latest = latest_product_versions(prd_clean)
-    with_cat = attach_categories(latest, categories, p)
+    with_cat = attach_categories(latest, categories)
     return with_cat.select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
@@ -112,7 +108,7 @@ def product_rows(prd_clean: DataFrame, categories: DataFrame, p: Params) -> Data
         F.col("cat").alias("category"),
         F.col("subcat").alias("subcategory"),
         F.col("maintenance"),
-        F.col("prd_cost").cast("bigint").alias("cost"),
+        F.col("prd_cost").alias("cost"),
         decode_product_line("prd_line").alias("product_line"),
         F.col("prd_start_dt").alias("start_date"),
     )
@@ -155,9 +151,9 @@ def add_profit(fact: DataFrame, products: DataFrame, p: Params,
                key: str = "sls_prd_key", product_key: str = "prd_key", cost: str = "prd_cost") -> DataFrame:
     """DIM14: profit = sales amount - unit cost x quantity, unit cost from the product
     dimension (left join: a sale without a product has null profit)."""
-    costs = products.select(F.col(product_key).alias("_pk"), F.col(cost).cast(MONEY).alias("_unit_cost"))
-    joined = join_dimension(fact, costs, key, "_pk", "left", p.broadcast_bytes)
-    profit = (F.col("sales_amount") - F.col("_unit_cost") * F.col("sls_quantity")).cast("decimal(20,2)")
+    costs = products.select(F.col(product_key).alias("_pk"), F.col(cost).alias("_unit_cost"))
+    joined = fact.join(costs, fact[key] == costs["_pk"], "left")
+    profit = (F.col("sales_amount") - F.col("_unit_cost") * F.col("sls_quantity")).try_cast(AMOUNT)
     return joined.withColumn("profit", profit).drop("_pk", "_unit_cost")
 
 
@@ -167,18 +163,22 @@ def fact_totals(fact: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("total_rows"))
 
 
-def orphan_counts(fact: DataFrame, customers: DataFrame, products: DataFrame, p: Params) -> DataFrame:
-    """DIM16: fact rows without a customer / product (a null key is an orphan).
+def rows_by_key(fact: DataFrame, key: str, keys: DataFrame, dim_key: str) -> DataFrame:
+    """(rows, matched): fact rows and those whose ``key`` is in the dimension. The fact is
+    counted per key before the join, so a hot key is one row."""
+    counted = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    known = keys.select(F.col(dim_key).alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    joined = counted.join(known, counted["_k"] == known["_d"], "left")
+    return joined.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                      F.coalesce(F.sum(F.when(F.col("_d").isNotNull(), F.col("_n"))), F.lit(0)).alias("matched"))
+
 
-    One pass over the fact: each dimension's distinct keys are left-joined (a
-    missing match leaves the key null) and both conditions are counted in the same
-    aggregate. Non-blocking: returns counts.
-    """
-    cust_keys = customers.select(F.col("cst_id").alias("_ck")).where(F.col("_ck").isNotNull()).distinct()
-    prod_keys = products.select(F.col("prd_key").alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
-    f = fact.select("sls_cust_id", "sls_prd_key")
-    f = join_dimension(f, cust_keys, "sls_cust_id", "_ck", "left", p.broadcast_bytes)
-    f = join_dimension(f, prod_keys, "sls_prd_key", "_pk", "left", p.broadcast_bytes)
-    return f.agg(F.count(F.lit(1)).alias("fact_rows"),
-                 F.count_if(F.col("_ck").isNull()).alias("orphan_customer_rows"),
-                 F.count_if(F.col("_pk").isNull()).alias("orphan_product_rows"))
+def orphan_counts(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """DIM16: fact rows without a customer / product (a null key is an orphan).
+    Non-blocking: returns counts."""
+    by_customer = rows_by_key(fact, "sls_cust_id", customers, "cst_id").select(
+        F.col("rows").alias("fact_rows"), (F.col("rows") - F.col("matched")).alias("orphan_customer_rows"))
+    by_product = rows_by_key(fact, "sls_prd_key", products, "prd_key").select(
+        F.col("rows").alias("_rows"), (F.col("rows") - F.col("matched")).alias("orphan_product_rows"))
+    # one row on either side
+    return by_customer.join(by_product, by_customer["fact_rows"] == by_product["_rows"]).drop("_rows")

@@ -1,16 +1,15 @@
-"""Star joins: size-checked broadcast, and aggregation over a dimension.
-
-A dimension is broadcast only when its size is shown to be under a limit: by the
-optimizer's estimate of the pruned, filtered dimension (with an allowance for
-compression), or else by measuring it in one aggregate pass. Above the limit the
-fact is aggregated to the join key first, so the shuffle carries at most one row
-per key and map task instead of one per sale (a hot key collapses map-side), and
-the join runs on aggregated input (sort-merge, with AQE's skew split).
+"""Star joins: the fact is aggregated to the join key first, at every size.
+
+The shuffle then carries at most one row per key and map task instead of one per
+sale (a hot key collapses before the shuffle), the dimension's text columns never
+cross it with the sales, and the join has one row per key on both sides. No side is
+forced to be broadcast and nothing is measured while the plan is built: adaptive
+execution broadcasts a side when the size of its shuffle shows that it is small, and
+otherwise runs the sort-merge join with its skew split.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,94 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# On-disk (compressed, columnar) sizes understate the in-memory size of a table;
-# an optimizer estimate only counts as a bound when it is this many times smaller
-# than the limit.
-COMPRESSION_ALLOWANCE = 8
-
-_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
-                "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (after pruning and filters), if known."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # no JVM handle (e.g. Spark Connect): treat as unknown
-        return None
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Exact in-memory payload of ``df``: one aggregate pass (rows, text lengths).
-
-    Used for dimensions whose estimate is not conclusive: without table statistics
-    the optimizer multiplies the sizes of joined inputs, so a dimension enriched
-    from a small code table looks as large as the product of both.
-    """
-    parts = [F.count(F.lit(1)).alias("_rows")]
-    fixed = 0
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        if t in _FIXED_WIDTH:
-            fixed += _FIXED_WIDTH[t]
-        elif t.startswith("decimal"):
-            fixed += 16
-        else:  # strings and other variable-width values: their text length
-            parts.append(F.coalesce(F.sum(F.length(F.col(f.name).cast("string"))), F.lit(0)).alias(f"_w{len(parts)}"))
-    row = df.agg(*parts).first()
-    rows = row["_rows"]
-    return int(rows * (fixed + 8) + sum(row[i] for i in range(1, len(parts))))
-
-
-def needs_shuffle(df: DataFrame) -> bool:
-    """Whether computing ``df`` itself shuffles (aggregation, window, large join)."""
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except Exception:
-        return True
-    return re.search(r"(?<!Broadcast)Exchange ", plan) is not None
-
-
-_MEASURED: dict[tuple[int, int], int] = {}
-
-
-def _measured_once(df: DataFrame) -> int:
-    """``measured_bytes`` remembered per session and optimized plan (the plan names
-    its input files), like table statistics gathered once and reused."""
-    try:
-        key = (id(df.sparkSession), int(df._jdf.queryExecution().optimizedPlan().semanticHash()))
-    except Exception:
-        return measured_bytes(df)
-    if key not in _MEASURED:
-        _MEASURED[key] = measured_bytes(df)
-    return _MEASURED[key]
-
-
-def fits_broadcast(df: DataFrame, limit_bytes: int) -> bool:
-    """True only when ``df`` is shown to be under ``limit_bytes``: by a small
-    optimizer estimate, or else by measuring it when that costs no more than a
-    scan. A dimension that needs a shuffle to compute is not measured; callers
-    then take the plan that is safe at any size (and AQE may still broadcast it
-    at run time from the shuffle's real size)."""
-    size = estimated_bytes(df)
-    if size is not None and size * COMPRESSION_ALLOWANCE <= limit_bytes:
-        return True
-    if needs_shuffle(df):
-        return False
-    try:
-        return _measured_once(df) <= limit_bytes
-    except Exception:
-        return False
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                   how: str, limit_bytes: int) -> DataFrame:
-    """Join a dimension to the fact, broadcasting it only when its size is bounded."""
-    side = F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim
-    return fact.join(side, fact[fact_key] == side[dim_key], how)
-
-
 @dataclass(frozen=True)
 class Measure:
     """An aggregate over a fact column: sum, count, min, max or count_distinct."""
@@ -115,15 +26,8 @@ class Measure:
     column: str
 
 
-def _final(m: Measure) -> Column:
-    c = F.col(m.column)
-    return {
-        "sum": F.sum(c),
-        "count": F.count(c),
-        "min": F.min(c),
-        "max": F.max(c),
-        "count_distinct": F.count_distinct(c),
-    }[m.kind].alias(m.name)
+_PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
 def rollup_over_dimension(
@@ -135,44 +39,26 @@ def rollup_over_dimension(
     measures: Sequence[Measure],
     how: str = "left",
     fact_by: Sequence[tuple[str, Column]] = (),
-    limit_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """``SELECT fact_by, by, measures FROM fact {how} JOIN dim GROUP BY fact_by, by``.
 
     ``by`` are dimension columns (null for unmatched facts in a left join, which
     then form one group, as in SQL). ``fact_by`` are (name, expression) pairs on
-    the fact. Small dimension: broadcast join, then aggregate. Otherwise: partial
-    aggregate of the fact per join key (and per the distinct-counted column),
-    join, final aggregate. Both give the same rows.
+    the fact. The fact is aggregated per join key (and per distinct-counted
+    columns), joined, and aggregated to the result's groups.
     """
     fact_by = list(fact_by)
     if fact_by:
         fact = fact.withColumns(dict(fact_by))
-    by_names = [name for name, _ in fact_by] + list(by)
-    dim_cols = [dim_key] + [c for c in by if c != dim_key]
-    dim = dim.select(*dim_cols)
-
-    if fits_broadcast(dim, limit_bytes):
-        joined = fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how)
-        return joined.groupBy(*by_names).agg(*[_final(m) for m in measures])
-
-    distinct_cols = sorted({m.column for m in measures if m.kind == "count_distinct"})
-    if len(distinct_cols) > 1:
-        raise ValueError("pre-aggregation supports one distinct-counted column")
-    pre_keys = [fact_key] + [name for name, _ in fact_by] + distinct_cols
-    partials, finals = [], []
-    for i, m in enumerate(measures):
-        if m.kind == "count_distinct":
-            finals.append(F.count_distinct(m.column).alias(m.name))
-            continue
-        tmp = f"_part{i}"
-        first = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[m.kind]
-        merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[m.kind]
-        partials.append(first(m.column).alias(tmp))
-        finals.append(merge(tmp).alias(m.name))
-    if partials:
-        pre = fact.groupBy(*pre_keys).agg(*partials)
-    else:
-        pre = fact.select(*pre_keys).distinct()
-    joined = pre.join(dim, pre[fact_key] == dim[dim_key], how)
-    return joined.groupBy(*by_names).agg(*finals)
+    names = [name for name, _ in fact_by]
+    dim = dim.select(dim_key, *[c for c in by if c != dim_key])
+    distinct = sorted({m.column for m in measures if m.kind == "count_distinct"})
+    partials = [_PARTIAL[m.kind](m.column).alias(f"_part{i}") for i, m in enumerate(measures) if m.kind != "count_distinct"]
+    finals = [
+        (F.count_distinct(m.column) if m.kind == "count_distinct" else _MERGE[m.kind](f"_part{i}")).alias(m.name)
+        for i, m in enumerate(measures)
+    ]
+    keyed = fact.groupBy(fact_key, *names, *distinct)
+    per_key = keyed.agg(*partials) if partials else fact.select(fact_key, *names, *distinct).distinct()
+    joined = per_key.join(dim, per_key[fact_key] == dim[dim_key], how)
+    return joined.groupBy(*names, *by).agg(*finals)

@@ -12,7 +12,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starbeam.config import Params
 from starbeam.functions import dates
 from starbeam.operators import cleaning, dimensions
 from starbeam.sources.schemas import resolve
@@ -79,9 +78,9 @@ def future_dates(raw_demographics: DataFrame, as_of: dt.date) -> DataFrame:
                  {"future_dates": F.col("future"), "unparseable_or_missing": F.col("bad")})
 
 
-def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame, p: Params) -> DataFrame:
+def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """DQ4: fact rows without a customer / product (DIM16)."""
-    oc = dimensions.orphan_counts(fact, customers, products, p)
+    oc = dimensions.orphan_counts(fact, customers, products)
     return _rows(oc, "DQ4", "orphan_fact_rows", "fact_sales",
                  {"fact_rows": F.col("fact_rows"), "orphan_customer_rows": F.col("orphan_customer_rows"),
                   "orphan_product_rows": F.col("orphan_product_rows")})
@@ -97,10 +96,8 @@ def match_rate(dim_customers: DataFrame) -> DataFrame:
 def nonempty_join(fact: DataFrame, products: DataFrame, fact_key: str = "sls_prd_key",
                   product_key: str = "prd_key") -> DataFrame:
     """DQ6: dated sales that find their product; zero means the keys do not match."""
-    dated = fact.where(F.col("sls_order_dt").isNotNull()).select(fact_key)
-    keys = products.select(F.col(product_key).alias("_k"))
-    matched = dated.join(keys, dated[fact_key] == keys["_k"], "left_semi")
-    agg = matched.agg(F.count(F.lit(1)).alias("n"))
+    dated = fact.where(F.col("sls_order_dt").isNotNull())
+    agg = dimensions.rows_by_key(dated, fact_key, products, product_key).select(F.col("matched").alias("n"))
     return _rows(agg, "DQ6", "sales_product_join_nonempty", "report_products",
                  {"matched_rows": F.col("n"), "passed": (F.col("n") > 0).cast("int")})
 

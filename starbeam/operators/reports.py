@@ -3,8 +3,9 @@
 Both reports aggregate the dated fact to the dimension key first, then join the
 dimension: the join sees one row per customer / product instead of one per sale,
 and every dimension attribute is carried by the join instead of being re-grouped.
-The dimension is broadcast only under the checked size; otherwise both aggregated
-sides meet in a sort-merge join.
+Sums and the distinct orders come from one two-step aggregate (per key and order,
+then per key); the other distinct count is a branch of its own, so no sale is
+multiplied before the shuffle as two distinct counts in one aggregate would do.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from starbeam.config import Params
 from starbeam.functions import binning, dates
 from starbeam.functions.numeric import half_even, ratio_or
-from starbeam.operators.joins import join_dimension
 from starbeam.plans.star import Star
 
 
@@ -23,24 +23,34 @@ def _dated_fact(star: Star) -> DataFrame:
     return star.fact.where(F.col("sls_order_dt").isNotNull())
 
 
+def _per_key(star: Star, key: str, other: str, other_name: str, last: str, first: str) -> DataFrame:
+    """Totals per ``key``; ``other_name`` counts the distinct ``other`` of the key."""
+    sales = _dated_fact(star).where(F.col(key).isNotNull())
+    per_order = sales.groupBy(key, "sls_ord_num").agg(
+        F.sum("sales_amount").alias("s"), F.sum("sls_quantity").alias("q"),
+        F.max("sls_order_dt").alias("hi"), F.min("sls_order_dt").alias("lo"))
+    money = star.fact.schema["sales_amount"].dataType  # summed twice, typed as one sum: divisions keep their places
+    total = F.sum("s").cast(f"decimal({min(38, money.precision + 10)},{money.scale})")
+    totals = per_order.groupBy(key).agg(
+        F.count("sls_ord_num").alias("total_orders"), total.alias("total_sales"),
+        F.sum("q").alias("total_quantity"), F.max("hi").alias(last), F.min("lo").alias(first))
+    others = (sales.where(F.col(other).isNotNull()).select(key, other).distinct()
+              .groupBy(key).agg(F.count(F.lit(1)).alias(other_name)))
+    return totals.join(others, key, "left").withColumn(other_name, F.coalesce(other_name, F.lit(0)))
+
+
 def report_customers(star: Star, p: Params) -> DataFrame:
     """One row per customer with sales: totals, recency, age band, segment, KPIs.
 
     Customers whose first or last name is missing are left out (grouping on the
     name drops them in the source system).
     """
-    per_customer = _dated_fact(star).groupBy("sls_cust_id").agg(
-        F.count_distinct("sls_ord_num").alias("total_orders"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("sls_quantity").alias("total_quantity"),
-        F.count_distinct("sls_prd_key").alias("total_products"),
-        F.max("sls_order_dt").alias("last_order_date"),
-        F.min("sls_order_dt").alias("first_order_date"),
-    )
+    per_customer = _per_key(star, "sls_cust_id", "sls_prd_key", "total_products",
+                            "last_order_date", "first_order_date")
     customers = star.customers.where(
         F.col("cst_firstname").isNotNull() & F.col("cst_lastname").isNotNull()
     ).select("cst_id", "cst_firstname", "cst_lastname", "bdate", "cst_gndr", "cntry")
-    joined = join_dimension(per_customer, customers, "sls_cust_id", "cst_id", "inner", p.broadcast_bytes)
+    joined = per_customer.join(customers, per_customer["sls_cust_id"] == customers["cst_id"], "inner")
 
     lifespan = dates.calendar_months_clipped("last_order_date", "first_order_date")
     age = dates.age_years("bdate", p.as_of)
@@ -48,7 +58,7 @@ def report_customers(star: Star, p: Params) -> DataFrame:
         "cst_id", "cst_firstname", "cst_lastname",
         F.col("total_orders").cast("bigint").alias("total_orders"),
         "total_sales",
-        F.col("total_quantity").cast("bigint").alias("total_quantity"),
+        "total_quantity",
         F.col("total_products").cast("bigint").alias("total_products"),
         "last_order_date",
         age.alias("age"),
@@ -60,7 +70,7 @@ def report_customers(star: Star, p: Params) -> DataFrame:
     return staged.select(
         "cst_id", "cst_firstname", "cst_lastname", "total_orders",
         sales.cast("double").alias("total_sales"),
-        "total_quantity", "total_products", "last_order_date", "age", "cst_gndr", "cntry",
+        F.col("total_quantity").cast("double").alias("total_quantity"), "total_products", "last_order_date", "age", "cst_gndr", "cntry",
         "lifespan", "recency_months",
         binning.age_group("age").alias("age_group"),
         binning.customer_segment("lifespan", sales, p).alias("customer_segment"),
@@ -69,25 +79,17 @@ def report_customers(star: Star, p: Params) -> DataFrame:
     )
 
 
-def report_products(star: Star, p: Params, require_rows: bool = False) -> DataFrame:
+def report_products(star: Star, p: Params) -> DataFrame:
     """One row per product with sales: totals, recency, segment, KPIs.
 
     Grouped by product key with the product attributes carried along, so a
-    product without a category is kept. ``require_rows`` raises when the join of
-    sales and products is empty (a key mismatch between the two sources).
+    product without a category is kept. The layered run fails when the written
+    report has no rows (a key mismatch between the two sources).
     """
-    per_product = _dated_fact(star).groupBy("sls_prd_key").agg(
-        F.count_distinct("sls_ord_num").alias("total_orders"),
-        F.count_distinct("sls_cust_id").alias("total_customers"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("sls_quantity").alias("total_quantity"),
-        F.max("sls_order_dt").alias("last_sale_date"),
-        F.min("sls_order_dt").alias("first_sale_date"),
-    )
+    per_product = _per_key(star, "sls_prd_key", "sls_cust_id", "total_customers",
+                           "last_sale_date", "first_sale_date")
     products = star.products.select("prd_key", "prd_nm", "cat", "subcat", "prd_cost")
-    joined = join_dimension(per_product, products, "sls_prd_key", "prd_key", "inner", p.broadcast_bytes)
-    if require_rows and joined.isEmpty():
-        raise ValueError("report_products: no sale matches a product key")
+    joined = per_product.join(products, per_product["sls_prd_key"] == products["prd_key"], "inner")
 
     lifespan = dates.calendar_months_clipped("last_sale_date", "first_sale_date")
     staged = joined.select(
@@ -95,7 +97,7 @@ def report_products(star: Star, p: Params, require_rows: bool = False) -> DataFr
         F.col("total_orders").cast("bigint").alias("total_orders"),
         F.col("total_customers").cast("bigint").alias("total_customers"),
         "total_sales",
-        F.col("total_quantity").cast("bigint").alias("total_quantity"),
+        "total_quantity",
         "last_sale_date",
         lifespan.cast("bigint").alias("lifespan"),
         dates.calendar_months(F.lit(p.as_of), "last_sale_date").cast("bigint").alias("recency_months"),
@@ -106,7 +108,7 @@ def report_products(star: Star, p: Params, require_rows: bool = False) -> DataFr
         F.col("prd_cost").cast("double").alias("prd_cost"),
         "total_orders", "total_customers",
         sales.cast("double").alias("total_sales"),
-        "total_quantity", "last_sale_date", "lifespan", "recency_months",
+        F.col("total_quantity").cast("double").alias("total_quantity"), "last_sale_date", "lifespan", "recency_months",
         binning.product_segment(sales, p).alias("product_segment"),
         half_even(ratio_or(sales, "total_quantity", F.lit(0)), 1).cast("double").alias("avg_selling_price"),
         half_even(ratio_or(sales, "total_orders", F.lit(0)), 2).cast("double").alias("avg_order_revenue"),

@@ -33,8 +33,10 @@ def q01_gold_tables(star: Star, p: Params, reports: dict | None = None) -> DataF
         "dim_customers": star.customers,
         "dim_products": star.products,
         "dim_date": star.dates if star.dates is not None else dimensions.dim_date(star.fact),
-        "fact_sales": star.fact,
+        # a left join on a unique order key keeps every line: the lines alone are counted
+        "fact_sales": star.fact if reports is not None else star.lines,
     }
+    widths = {"fact_sales": len(star.fact.columns)}
     if reports is None:
         reports = {"report_customers": rp.report_customers(star, p),
                    "report_products": rp.report_products(star, p)}
@@ -43,7 +45,7 @@ def q01_gold_tables(star: Star, p: Params, reports: dict | None = None) -> DataF
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"),
             F.lit("BASE TABLE").alias("table_type"),
-            F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+            F.lit(widths.get(name, len(df.columns))).cast("bigint").alias("column_count"),
             "row_count",
         )
         for name, df in tables.items()
@@ -168,13 +170,11 @@ def q11_avg_cost_by_category(star: Star, p: Params) -> DataFrame:
 
 def _by_product(star: Star, p: Params, by, measures, fact=None, fact_by=()) -> DataFrame:
     return rollup_over_dimension(fact if fact is not None else star.lines, "sls_prd_key",
-                                 star.products, "prd_key", by, measures, how="left",
-                                 fact_by=fact_by, limit_bytes=p.broadcast_bytes)
+                                 star.products, "prd_key", by, measures, how="left", fact_by=fact_by)
 
 
 def _by_customer(star: Star, p: Params, by, measures) -> DataFrame:
-    return rollup_over_dimension(star.fact, "sls_cust_id", star.customers, "cst_id", by, measures,
-                                 how="left", limit_bytes=p.broadcast_bytes)
+    return rollup_over_dimension(star.fact, "sls_cust_id", star.customers, "cst_id", by, measures, how="left")
 
 
 def q12_revenue_by_category(star: Star, p: Params) -> DataFrame:
@@ -193,14 +193,15 @@ def _customer_cols(*extra) -> list:
 
 def q13_revenue_by_customer(star: Star, p: Params) -> DataFrame:
     agg = _by_customer(star, p, _CUSTOMER_NAME, [Measure("total_revenue", "sum", "sales_amount")])
-    return (agg.select(*_customer_cols(_money(F.col("total_revenue")).alias("total_revenue")))
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
-            .limit(p.top_customers_revenue))
+    top = (agg.select(*_customer_cols("total_revenue"))
+           .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
+           .limit(p.top_customers_revenue))
+    return top.withColumn("total_revenue", _money(F.col("total_revenue")))
 
 
 def q14_items_by_country(star: Star, p: Params) -> DataFrame:
     agg = _by_customer(star, p, ["cntry"], [Measure("total_sold_items", "sum", "sls_quantity")])
-    return (agg.select(F.col("cntry").alias("country"), F.col("total_sold_items").cast("bigint"))
+    return (agg.select(F.col("cntry").alias("country"), F.col("total_sold_items").cast("double"))
             .orderBy(F.desc_nulls_last("total_sold_items"), F.asc_nulls_first("country")))
 
 
@@ -208,7 +209,7 @@ def q14_items_by_country(star: Star, p: Params) -> DataFrame:
 
 def _revenue_by_product_name(star: Star, p: Params) -> DataFrame:
     agg = _by_product(star, p, ["prd_nm"], [Measure("total_revenue", "sum", "sales_amount")])
-    return agg.select(F.col("prd_nm").alias("product_name"), _money(F.col("total_revenue")).alias("total_revenue"))
+    return agg.select(F.col("prd_nm").alias("product_name"), "total_revenue")
 
 
 def q15_top_products(star: Star, p: Params) -> DataFrame:
@@ -219,21 +220,23 @@ def q15_top_products(star: Star, p: Params) -> DataFrame:
            .limit(p.top_products))
     w = Window.orderBy(F.desc_nulls_last("total_revenue"))
     return (top.withColumn("product_rank", F.rank().over(w).cast("bigint"))
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("product_name")))
+            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("product_name"))
+            .select("product_name", _money(F.col("total_revenue")).alias("total_revenue"), "product_rank"))
 
 
 def q16_bottom_products(star: Star, p: Params) -> DataFrame:
     return (_revenue_by_product_name(star, p)
             .orderBy(F.asc_nulls_first("total_revenue"), F.asc_nulls_first("product_name"))
-            .limit(p.bottom_products))
+            .limit(p.bottom_products)
+            .withColumn("total_revenue", _money(F.col("total_revenue"))))
 
 
 def q17_top_customers(star: Star, p: Params) -> DataFrame:
     agg = _by_customer(star, p, _CUSTOMER_NAME, [Measure("total_revenue", "sum", "sales_amount")])
     order = [F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id")]
-    top = (agg.select(*_customer_cols(_money(F.col("total_revenue")).alias("total_revenue")))
-           .orderBy(*order).limit(p.top_customers_ranked))
+    top = agg.select(*_customer_cols("total_revenue")).orderBy(*order).limit(p.top_customers_ranked)
     return (top.withColumn("customer_rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+            .withColumn("total_revenue", _money(F.col("total_revenue")))
             .orderBy("customer_rank"))
 
 
@@ -254,19 +257,19 @@ def q19_seasonality_by_month(star: Star, p: Params) -> DataFrame:
     return (_dated(star).groupBy(F.month("sls_order_dt").alias("order_month"))
             .agg(_money(F.sum("sales_amount")).alias("total_sales"),
                  F.count_distinct("sls_cust_id").alias("total_customers"),
-                 F.sum("sls_quantity").cast("bigint").alias("total_quantity"))
+                 F.sum("sls_quantity").cast("double").alias("total_quantity"))
             .orderBy(F.desc("total_sales"), "order_month"))
 
 
 def q20_sales_by_year_month(star: Star, p: Params) -> DataFrame:
-    f = _dated(star)
-    return (f.groupBy(F.date_format("sls_order_dt", "yyyy-MMM").alias("order_month"),
-                      F.date_format("sls_order_dt", "yyyy-MM").alias("_month_key"))
-            .agg(_money(F.sum("sales_amount")).alias("total_sales"),
-                 F.count_distinct("sls_cust_id").alias("total_customers"),
-                 F.sum("sls_quantity").cast("bigint").alias("total_quantity"))
-            .orderBy("_month_key")
-            .drop("_month_key"))
+    """Grouped by the month's first day; the text form is made for the result rows only."""
+    monthly = (_dated(star).groupBy(F.trunc("sls_order_dt", "MM").alias("month"))
+               .agg(F.sum("sales_amount").alias("total_sales"),
+                    F.count_distinct("sls_cust_id").alias("total_customers"),
+                    F.sum("sls_quantity").cast("double").alias("total_quantity")))
+    return (monthly.orderBy("month")
+            .select(F.date_format("month", "yyyy-MMM").alias("order_month"),
+                    _money(F.col("total_sales")).alias("total_sales"), "total_customers", "total_quantity"))
 
 
 def _yearly(star: Star) -> DataFrame:

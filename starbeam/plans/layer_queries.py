@@ -100,7 +100,7 @@ def _dq7(L: _Layers) -> DataFrame:
         quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
 
 
-_SALES_MONEY = ("sls_sales", "sls_price", "sales_amount")
+_SALES_MONEY = ("sls_quantity", "sls_sales", "sls_price", "sales_amount")
 
 BUILDERS = {
     "cln01_header_normalise": lambda L: cleaning.normalise_headers(L.raw["raw_cust_info"]),
@@ -109,13 +109,13 @@ BUILDERS = {
     "cln04_recode_marital": lambda L: L.silver["clean_cust_info"].select("cst_id", "cst_key", "cst_marital_status"),
     "cln05_integer_key": lambda L: L.silver["clean_cust_info"].select("cst_key", "cst_id"),
     "cln06_numeric_fill_zero": lambda L: _dbl(L.silver["clean_sales_details"].select(
-        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sls_sales"), "sls_price", "sls_sales"),
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sls_sales"), "sls_quantity", "sls_price", "sls_sales"),
     "cln07_split_product_key": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_key", "cat_id"),
     "cln08_coerce_dates": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_start_dt", "prd_end_dt"),
     "cln09_parse_compact_dates": lambda L: L.silver["clean_sales_details"].select(
         "sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_due_dt"),
     "cln10_sales_amount": lambda L: _dbl(L.silver["clean_sales_details"].select(
-        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sales_amount"), "sls_price", "sales_amount"),
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sales_amount"), "sls_quantity", "sls_price", "sales_amount"),
     "cln11_drop_null_keys": lambda L: _dbl(L.silver["clean_sales_details"], *_SALES_MONEY),
     "cln12_future_dates": lambda L: L.silver["clean_cust_az12"].select("cid", "bdate"),
     "cln13_recode_erp_gender": lambda L: L.silver["clean_cust_az12"].select("cid", "gen"),
@@ -132,25 +132,24 @@ BUILDERS = {
     "dim07_latest_versions": lambda L: _dbl(dimensions.latest_product_versions(L.silver["clean_prd_info"]),
                                             "prd_cost"),
     "dim08_attach_categories": lambda L: _dbl(dimensions.attach_categories(
-        dimensions.latest_product_versions(L.silver["clean_prd_info"]), L.silver["clean_px_cat_g1v2"], L.p),
+        dimensions.latest_product_versions(L.silver["clean_prd_info"]), L.silver["clean_px_cat_g1v2"]),
         "prd_cost"),
-    "dim09_product_surrogate_key": lambda L: L.dim_products(),
+    "dim09_product_surrogate_key": lambda L: _dbl(L.dim_products(), "cost"),
     "dim10_product_line_decode": lambda L: dimensions.latest_product_versions(L.silver["clean_prd_info"]).select(
         "prd_key", "prd_line", dimensions.decode_product_line("prd_line").alias("product_line")),
     "dim11_dim_date": lambda L: dimensions.dim_date(L.fact()),
     "dim13_fact_sales": lambda L: _dbl(L.fact(), *_SALES_MONEY),
     "dim14_profit": lambda L: _dbl(dimensions.add_profit(
         L.fact(), L.products(), L.p).select(
-        "sls_ord_num", "sls_prd_key", "sls_quantity", "sales_amount", "profit"), "sales_amount", "profit"),
+        "sls_ord_num", "sls_prd_key", "sls_quantity", "sales_amount", "profit"), "sls_quantity", "sales_amount", "profit"),
     "dim15_fact_totals": lambda L: dimensions.fact_totals(L.fact()),
     "dim16_orphans": lambda L: dimensions.orphan_counts(
-        L.fact(), L.dim_customers(), L.products(), L.p),
+        L.fact(), L.dim_customers(), L.products()),
     "dim17_date_range": lambda L: dimensions.date_range(dimensions.dim_date(L.fact())),
     "dq1_duplicates_removed": _dq1,
     "dq2_null_key_rows": lambda L: quality.null_key_rows(L.raw["raw_sales_details"]),
     "dq3_future_dates": lambda L: quality.future_dates(L.raw["raw_cust_az12"], L.p.as_of),
-    "dq4_orphans": lambda L: quality.orphans(L.fact(), L.dim_customers(),
-                                             L.products(), L.p),
+    "dq4_orphans": lambda L: quality.orphans(L.fact(), L.dim_customers(), L.products()),
     "dq5_match_rate": lambda L: quality.match_rate(L.dim_customers()),
     "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), L.products()),
     "dq7_segment_distribution": _dq7,
@@ -180,24 +179,23 @@ def _recode(x: str, mapping: dict, nulls=()) -> str:
 
 
 def _try_int(x: str) -> str:
-    d = f"TRY_CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
-    return f"CASE WHEN {d} = floor({d}) THEN CAST({d} AS BIGINT) END"
+    t = f"trim(CAST({x} AS VARCHAR))"
+    return (f"CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+([.]0*)?') "
+            f"THEN TRY_CAST(regexp_replace({t}, '[.]0*$', '') AS BIGINT) END")
 
 
 def _money0(x: str) -> str:
-    return f"COALESCE(TRY_CAST({_strip(x)} AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)))"
-
-
-def _qty0(x: str) -> str:
-    return f"COALESCE({_try_int(x)}, CAST(0 AS BIGINT))"
+    return f"COALESCE(TRY_CAST({_strip(x)} AS DECIMAL(18,4)), CAST(0 AS DECIMAL(18,4)))"
 
 
 def _date(x: str) -> str:
-    return f"CAST(TRY_CAST(trim({x}) AS TIMESTAMP) AS DATE)"
+    forms = ", ".join(f"CAST(TRY_STRPTIME(trim({x}), '{f}') AS DATE)" for f in ("%m/%d/%Y", "%Y/%m/%d"))
+    return f"COALESCE(CAST(TRY_CAST(trim({x}) AS TIMESTAMP) AS DATE), {forms})"
 
 
 def _compact(x: str) -> str:
-    return f"CASE WHEN regexp_full_match(trim({x}), '[0-9]{{8}}') THEN CAST(TRY_STRPTIME(trim({x}), '%Y%m%d') AS DATE) END"
+    t = f"regexp_replace(trim({x}), '[.]0*$', '')"
+    return f"CASE WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN CAST(TRY_STRPTIME({t}, '%Y%m%d') AS DATE) END"
 
 
 def _line_decode(x: str) -> str:
@@ -238,9 +236,9 @@ clean_sales_details AS (
     SELECT sls_ord_num, sls_prd_key, {_try_int('sls_cust_id')} AS sls_cust_id,
            {_compact('sls_order_dt')} AS sls_order_dt, {_compact('sls_ship_dt')} AS sls_ship_dt,
            {_compact('sls_due_dt')} AS sls_due_dt,
-           {_money0('sls_sales')} AS sls_sales, {_qty0('sls_quantity')} AS sls_quantity,
+           {_money0('sls_sales')} AS sls_sales, {_money0('sls_quantity')} AS sls_quantity,
            {_money0('sls_price')} AS sls_price,
-           CAST({_qty0('sls_quantity')} * {_money0('sls_price')} AS DECIMAL(18,2)) AS sales_amount
+           TRY_CAST(CAST({_money0('sls_quantity')} AS DECIMAL(20,4)) * {_money0('sls_price')} AS DECIMAL(20,4)) AS sales_amount
     FROM (SELECT DISTINCT * FROM raw_sales_details) d
   ) x WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL AND sls_cust_id IS NOT NULL
 ),
@@ -284,13 +282,13 @@ dim_products AS (
   SELECT row_number() OVER (ORDER BY start_date NULLS FIRST, product_number NULLS FIRST, product_id NULLS FIRST)
            AS product_key, *
   FROM (SELECT prd_id AS product_id, prd_key AS product_number, prd_nm AS product_name, cat_id AS category_id,
-               cat AS category, subcat AS subcategory, maintenance, CAST(prd_cost AS BIGINT) AS cost,
+               cat AS category, subcat AS subcategory, maintenance, prd_cost AS cost,
                {_line_decode('prd_line')} AS product_line, prd_start_dt AS start_date
         FROM prd_with_cat) x
 ),
 star_products AS (
   SELECT product_number AS prd_key, product_name AS prd_nm, category AS cat, subcategory AS subcat,
-         CAST(cost AS DECIMAL(18,2)) AS prd_cost FROM dim_products
+         cost AS prd_cost FROM dim_products
 ),
 fact AS (
   SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt, sls_quantity,
@@ -315,7 +313,7 @@ def oracle_sql(p: Params) -> dict[str, str]:
     from starbeam.plans.oracle import report_customers_cte, report_products_cte
 
     head = "WITH " + raw_adapter.sql_ctes() + ",\n" + silver_ctes(p) + ",\n" + gold_ctes()
-    money = "CAST(sls_sales AS DOUBLE) AS sls_sales, CAST(sls_price AS DOUBLE) AS sls_price, " \
+    money = "CAST(sls_quantity AS DOUBLE) AS sls_quantity, CAST(sls_sales AS DOUBLE) AS sls_sales, CAST(sls_price AS DOUBLE) AS sls_price, " \
             "CAST(sales_amount AS DOUBLE) AS sales_amount"
     dq1 = " UNION ALL ".join(
         _dq_rows("DQ1", "duplicates_removed", t,
@@ -336,16 +334,16 @@ def oracle_sql(p: Params) -> dict[str, str]:
         "cln03_recode_gender": f"{head} SELECT cst_id, cst_key, cst_gndr FROM clean_cust_info",
         "cln04_recode_marital": f"{head} SELECT cst_id, cst_key, cst_marital_status FROM clean_cust_info",
         "cln05_integer_key": f"{head} SELECT cst_key, cst_id FROM clean_cust_info",
-        "cln06_numeric_fill_zero": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_quantity,
+        "cln06_numeric_fill_zero": f"""{head} SELECT sls_ord_num, sls_prd_key, CAST(sls_quantity AS DOUBLE) AS sls_quantity,
   CAST(sls_price AS DOUBLE) AS sls_price, CAST(sls_sales AS DOUBLE) AS sls_sales FROM clean_sales_details""",
         "cln07_split_product_key": f"{head} SELECT prd_id, prd_key, cat_id FROM clean_prd_info",
         "cln08_coerce_dates": f"{head} SELECT prd_id, prd_start_dt, prd_end_dt FROM clean_prd_info",
         "cln09_parse_compact_dates": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_order_dt, sls_ship_dt, sls_due_dt
 FROM clean_sales_details""",
-        "cln10_sales_amount": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_quantity, CAST(sls_price AS DOUBLE) AS sls_price,
+        "cln10_sales_amount": f"""{head} SELECT sls_ord_num, sls_prd_key, CAST(sls_quantity AS DOUBLE) AS sls_quantity, CAST(sls_price AS DOUBLE) AS sls_price,
   CAST(sales_amount AS DOUBLE) AS sales_amount FROM clean_sales_details""",
         "cln11_drop_null_keys": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt,
-  sls_due_dt, sls_quantity, {money} FROM clean_sales_details""",
+  sls_due_dt, {money} FROM clean_sales_details""",
         "cln12_future_dates": f"{head} SELECT cid, bdate FROM clean_cust_az12",
         "cln13_recode_erp_gender": f"{head} SELECT cid, gen FROM clean_cust_az12",
         "cln14_country": f"{head} SELECT * FROM clean_loc_a101",
@@ -363,15 +361,15 @@ FROM (SELECT COUNT(*) AS rows_after_merge, COUNT(*) FILTER (WHERE cid IS NOT NUL
 FROM clean_prd_info WHERE prd_end_dt IS NULL""",
         "dim07_latest_versions": f"{head} SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost) FROM latest_prd",
         "dim08_attach_categories": f"{head} SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost) FROM prd_with_cat",
-        "dim09_product_surrogate_key": f"{head} SELECT * FROM dim_products",
+        "dim09_product_surrogate_key": f"{head} SELECT * REPLACE (CAST(cost AS DOUBLE) AS cost) FROM dim_products",
         "dim10_product_line_decode": f"""{head} SELECT prd_key, prd_line, {_line_decode('prd_line')} AS product_line
 FROM latest_prd""",
         "dim11_dim_date": f"{head} SELECT * FROM dim_date",
         "dim13_fact_sales": f"""{head} SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt,
-  sls_quantity, {money} FROM fact""",
-        "dim14_profit": f"""{head} SELECT f.sls_ord_num, f.sls_prd_key, f.sls_quantity,
+  {money} FROM fact""",
+        "dim14_profit": f"""{head} SELECT f.sls_ord_num, f.sls_prd_key, CAST(f.sls_quantity AS DOUBLE) AS sls_quantity,
   CAST(f.sales_amount AS DOUBLE) AS sales_amount,
-  CAST(CAST(f.sales_amount - s.prd_cost * f.sls_quantity AS DECIMAL(20,2)) AS DOUBLE) AS profit
+  CAST(TRY_CAST(f.sales_amount - s.prd_cost * CAST(f.sls_quantity AS DECIMAL(20,4)) AS DECIMAL(20,4)) AS DOUBLE) AS profit
 FROM fact f LEFT JOIN star_products s ON s.prd_key = f.sls_prd_key""",
         "dim15_fact_totals": f"""{head} SELECT CAST(SUM(sales_amount) AS DOUBLE) AS total_revenue,
   COUNT(*) AS total_rows FROM fact""",

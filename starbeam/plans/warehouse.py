@@ -22,6 +22,8 @@ from starbeam.plans import analytics
 from starbeam.plans.star import Star
 
 FACT_PARTITION = "order_year"
+AUDIT_SCHEMA = ("layer string, table_name string, rows_in bigint, rows_written bigint, rows_removed bigint, "
+                "columns int, seconds double, error string")
 
 
 @dataclass
@@ -29,14 +31,24 @@ class RunResult:
     ok: bool = True
     failed_layer: str | None = None
     error: str | None = None
+    errors: list[str] = field(default_factory=list)
     audit: list[tuple] = field(default_factory=list)
     layer_seconds: dict[str, float] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     observed: dict[str, dict] = field(default_factory=dict)
 
+    def fail(self, layer: str, name: str, e: Exception) -> None:
+        self.ok, self.failed_layer = False, self.failed_layer or layer
+        self.errors.append(f"{name}: {type(e).__name__}: {e}")
+        self.error = self.error or self.errors[0]
+        self.audit.append((layer, name, None, None, None, None, None, self.errors[-1][:2000]))
+
+    def rows(self, layer: str, name: str) -> int | None:
+        """Rows written to a table of this run."""
+        return next((a[3] for a in self.audit if a[:2] == (layer, name)), None)
+
     def audit_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.audit, "layer string, table_name string, rows_written bigint, columns int, seconds double")
+        return spark.createDataFrame(self.audit, AUDIT_SCHEMA)
 
 
 class Warehouse:
@@ -49,8 +61,10 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return os.path.join(self.root, layer, name)
 
-    def write(self, layer: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """SNK1 + SNK2: overwrite the table, then read it back and count it."""
+    def write(self, layer: str, name: str, df: DataFrame, partition_by: str | None = None,
+              source: tuple[str, str] | None = None) -> DataFrame:
+        """SNK1 + SNK2: overwrite the table, then read it back and count it. ``source`` is the
+        table whose rows it cleans: the audit shows its rows and how many were removed."""
         t0 = time.time()
         writer = df.write.mode("overwrite")
         if partition_by:
@@ -58,14 +72,25 @@ class Warehouse:
         writer.parquet(self.path(layer, name))
         stored = self.spark.read.parquet(self.path(layer, name))
         rows = stored.count()  # parquet footers: no data scan
-        self.result.audit.append((layer, name, rows, len(stored.columns), round(time.time() - t0, 3)))
+        rows_in = self.result.rows(*source) if source else None
+        removed = rows_in - rows if rows_in is not None else None
+        self.result.audit.append((layer, name, rows_in, rows, removed, len(stored.columns), round(time.time() - t0, 3), None))
         self.result.tables[f"{layer}.{name}"] = stored
         return stored
 
     # ------------------------------------------------------------ layers
 
     def bronze(self, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {name: self.write("bronze", name, df) for name, df in raw.items()}
+        """Every source is loaded; one that cannot be read fails the layer after the others."""
+        out = {}
+        for name, df in raw.items():
+            try:
+                out[name] = self.write("bronze", name, df)
+            except Exception as e:
+                self.result.fail("bronze", name, e)
+        if self.result.errors:
+            raise RuntimeError(self.result.errors[0])
+        return out
 
     def silver(self, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
         from pyspark.sql import Observation
@@ -76,11 +101,11 @@ class Warehouse:
                 # counts for the quality checks, observed during the write itself
                 obs = Observation("sales_cleaning")
                 target, cleaned = "clean_sales_details", cleaning.clean_sales_details(df, observation=obs)
-                out[target] = self.write("silver", target, cleaned)
+                out[target] = self.write("silver", target, cleaned, source=("bronze", name))
                 self.result.observed["sales"] = dict(obs.get)
                 continue
             target, cleaned = cleaning.clean(name, df, self.p.as_of)
-            out[target] = self.write("silver", target, cleaned)
+            out[target] = self.write("silver", target, cleaned, source=("bronze", name))
         return out
 
     def gold(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -106,24 +131,25 @@ class Warehouse:
     def reports(self, gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
         star = star_from_gold(gold)
         rc = self.write("gold", "report_customers", reports.report_customers(star, self.p))
-        rp = self.write("gold", "report_products", reports.report_products(star, self.p, require_rows=True))
+        rp = self.write("gold", "report_products", reports.report_products(star, self.p))
+        if not self.result.rows("gold", "report_products"):
+            raise ValueError("report_products: no sale matches a product key")
         return {"report_customers": rc, "report_products": rp}
 
     def analytics(self, gold: dict[str, DataFrame], reps: dict[str, DataFrame]) -> dict[str, DataFrame]:
         star = star_from_gold(gold)
         out = {}
         for name, fn in analytics.QUERIES.items():
-            if name == "q27_customers_by_segment":
-                df = fn(star, self.p, report=reps["report_customers"])
-            elif name == "q01_gold_tables":
-                df = fn(star, self.p, reports=reps)
-            else:
-                df = fn(star, self.p)
             try:
+                if name == "q27_customers_by_segment":
+                    df = fn(star, self.p, report=reps["report_customers"])
+                elif name == "q01_gold_tables":
+                    df = fn(star, self.p, reports=reps)
+                else:
+                    df = fn(star, self.p)
                 out[name] = self.write("analytics", name, df)
-            except Exception as e:  # a failed query is reported and the run goes on
-                self.result.audit.append(("analytics", name, -1, 0, 0.0))
-                self.result.error = f"{name}: {e}"
+            except Exception as e:  # the other queries are still written; the run is reported as failed
+                self.result.fail("analytics", name, e)
         return out
 
 
@@ -138,7 +164,7 @@ def star_products_view(dim_products: DataFrame) -> DataFrame:
     return dim_products.select(
         F.col("product_number").alias("prd_key"), F.col("product_name").alias("prd_nm"),
         F.col("category").alias("cat"), F.col("subcategory").alias("subcat"),
-        F.col("cost").cast("decimal(18,2)").alias("prd_cost"))
+        F.col("cost").alias("prd_cost"))
 
 
 def star_from_gold(gold: dict[str, DataFrame]) -> Star:
@@ -179,9 +205,12 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
                 raise FileNotFoundError(f"missing sources: {sorted(missing_sources)}")
         except Exception as e:  # stop at the first failing layer
             res.ok, res.failed_layer, res.error = False, layer, f"{type(e).__name__}: {e}"
+            res.errors = res.errors or [res.error]
             res.layer_seconds[layer] = round(time.time() - t0, 3)
             break
         res.layer_seconds[layer] = round(time.time() - t0, 3)
+    if res.audit:
+        res.audit_frame(spark).write.mode("overwrite").parquet(wh.path("quality", "audit"))
     return res
 
 
@@ -212,7 +241,12 @@ def publish_extracts(res: RunResult, out_dir: str) -> dict[str, str]:
     for key, name in (("gold.dim_products", "gold.dim_products"), ("gold.report_products", "gold.report_products")):
         if key in res.tables:
             path = os.path.join(out_dir, name)
-            res.tables[key].write.mode("overwrite").option("header", "true").csv(path)
+            table = res.tables[key]
+            if "cost" in table.columns:  # published without the fraction where there is none
+                whole = F.col("cost") == F.floor("cost")
+                table = table.withColumn("cost", F.when(whole, F.col("cost").cast("bigint").cast("string"))
+                                         .otherwise(F.col("cost").cast("string")))
+            table.write.mode("overwrite").option("header", "true").csv(path)
             paths[name] = path
     return paths
 
@@ -248,7 +282,7 @@ def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, D
     else:
         parts.append(quality.null_key_rows(raw["raw_sales_details"]))
     parts += [quality.future_dates(raw["raw_cust_az12"], p.as_of),
-              quality.orphans(star.fact, star.customers, star.products, p),
+              quality.orphans(star.fact, star.customers, star.products),
               quality.match_rate(gold["dim_customers"]),
               quality.nonempty_join(star.fact, star.products)]
     if reps:

@@ -5,7 +5,9 @@ derived, row for row, from the order / line / customer / part / supplier tables,
 with the kinds of dirt the cleaning layer exists for made by plain expressions on
 the data (padding, codes in several spellings, null markers, ``.0`` keys, bad
 compact dates, missing keys, future birth dates, version history, duplicate rows
-and duplicate ids). Sizes grow with the source tables:
+and duplicate ids, costs with cents, fractional quantities and prices, ids above 2^53
+that only the customer master has, ``.0`` and month-first dates, two-segment product
+keys, unknown products, lines whose amount overflows). Sizes grow with the source tables:
 
 ================  =============================================  ==================
 raw table         derived from                                   rows
@@ -38,6 +40,10 @@ SECOND_VERSION = dt.date(2012, 7, 1)
 BIRTH_EPOCH = dt.date(1940, 1, 1)
 SUPPLIER_BIRTH_EPOCH = dt.date(1950, 1, 1)
 FUTURE_BIRTH = "2030-05-05"
+# Customers whose id the customer master writes as this much more (above 2^53).
+LARGE_ID = 9007199254740992
+HUGE_QUANTITY = "99999999999999"
+UNKNOWN_PRODUCT = "9999-9999"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
@@ -70,10 +76,12 @@ def raw_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", spread=True).select("o_custkey", "o_orderdate", "o_orderstatus",
                                                            "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    key = _s(F.col("c_custkey"))
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+    key = _s(F.col("o_custkey"))
+    large = _s(F.col("o_custkey") + F.lit(LARGE_ID))
     out = j.select(
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(key, F.lit(".0"))).otherwise(key).alias(" CST_ID"),
+        F.when(F.col("o_custkey") % 50 == 7, large)
+        .when(F.col("o_orderpriority") == "1-URGENT", F.concat(key, F.lit(".0"))).otherwise(key).alias(" CST_ID"),
         F.concat(F.lit("CU"), F.lpad(key, 8, "0"), F.lit("-"), _s(F.year("o_orderdate"))).alias("Cst_Key "),
         F.split_part("c_name", F.lit("#"), F.lit(1)).alias("cst_firstname"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("cst_lastname"),
@@ -94,16 +102,18 @@ def raw_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.when(first, F.date_add(F.lit(FIRST_VERSION), size)).otherwise(F.date_add(F.lit(SECOND_VERSION), size))
     end = F.when(first & (size > 25), F.date_add(F.lit(SECOND_VERSION), size - 1))
     cost = F.when(first & (size <= 2), F.lit(None).cast("string")).otherwise(
-        _s((F.floor("p_retailprice") - (F.lit(2) - F.col("ver")) * 10).cast("bigint")))
+        _s(F.col("p_retailprice").cast("decimal(18,2)") - (F.lit(2) - F.col("ver")) * 10))
+    category = [F.upper(F.substring("p_type", 1, 2)), F.upper(F.substring("p_name", 1, 2))]
     out = versions.select(
         _s(F.col("p_partkey") * 10 + F.col("ver")).alias("prd_id"),
-        F.concat(F.upper(F.substring("p_type", 1, 2)), F.lit("-"), F.upper(F.substring("p_name", 1, 2)),
-                 F.lit("-"), _product_number(F.col("p_partkey"))).alias("prd_key"),
+        F.when(F.col("p_partkey") % 101 == 5, F.concat_ws("-", *category))
+        .otherwise(F.concat_ws("-", *category, _product_number(F.col("p_partkey")))).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         cost.alias("prd_cost"),
         _case(F.substring("p_brand", 7, 1), [("1", "R "), ("2", "M "), ("3", "S "), ("4", "T ")],
               F.lit(None).cast("string")).alias("prd_line"),
-        _s(start).alias("prd_start_dt"),
+        F.when(size == 3, F.date_format(start, "MM/dd/yyyy")).when(size == 4, F.lit("no date"))
+        .otherwise(_s(start)).alias("prd_start_dt"),
         _s(end).alias("prd_end_dt"),
     )
     return na_tokens_to_null(out)
@@ -118,15 +128,20 @@ def raw_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     out = j.select(
         F.concat(F.lit("SO"), _s(F.col("l_orderkey"))).alias("sls_ord_num"),
-        _product_number(F.col("l_partkey")).alias("sls_prd_key"),
+        F.when((F.col("l_returnflag") == "N") & (line == 6), F.lit(UNKNOWN_PRODUCT))
+        .otherwise(_product_number(F.col("l_partkey"))).alias("sls_prd_key"),
         F.when((F.col("o_orderstatus") == "P") & (line == 3), F.lit(None).cast("string"))
         .otherwise(_s(F.col("o_custkey"))).alias("sls_cust_id"),
-        F.when(line == 7, F.lit("0")).otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("sls_order_dt"),
+        F.when(line == 7, F.lit("0")).when(line == 5, F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".0")))
+        .otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("sls_order_dt"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("sls_ship_dt"),
         F.date_format(F.date_add(F.col("l_shipdate").cast("date"), 7), "yyyyMMdd").alias("sls_due_dt"),
-        _s(price * F.col("l_quantity").cast("int")).alias("sls_sales"),
-        _s(F.col("l_quantity").cast("int")).alias("sls_quantity"),
-        F.when((F.col("l_returnflag") == "R") & (line == 1), F.lit("n/a")).otherwise(_s(price)).alias("sls_price"),
+        _s((price * F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,4)")).alias("sls_sales"),
+        F.when((F.col("l_orderkey") % 1000 == 7) & (line == 1), F.lit(HUGE_QUANTITY))
+        .when((F.col("l_returnflag") == "A") & (line == 2), _s(F.col("l_quantity").cast("decimal(18,2)") + F.lit(0.5).cast("decimal(2,1)")))
+        .otherwise(_s(F.col("l_quantity").cast("decimal(18,2)"))).alias("sls_quantity"),
+        F.when((F.col("l_returnflag") == "R") & (line == 1), F.lit("n/a"))
+        .when(line == 4, F.concat(_s(price), F.lit("5"))).otherwise(_s(price)).alias("sls_price"),
     )
     return na_tokens_to_null(out)
 
@@ -135,12 +150,12 @@ def raw_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     key = _s(F.col("c_custkey"))
+    born = F.date_add(F.lit(BIRTH_EPOCH), (F.col("c_custkey") * 37 % 25000).cast("int"))
     cust = c.select(
         F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), F.concat(F.lit("NAS"), key))
         .otherwise(key).alias("CID"),
-        F.when(F.col("c_nationkey") == 7, F.lit(FUTURE_BIRTH))
-        .otherwise(_s(F.date_add(F.lit(BIRTH_EPOCH), (F.col("c_custkey") * 37 % 25000).cast("int"))))
-        .alias("BDATE"),
+        F.when(F.col("c_nationkey") == 7, F.lit(FUTURE_BIRTH)).when(F.col("c_nationkey") == 11, F.lit("unknown day"))
+        .when(F.col("c_nationkey") == 5, F.date_format(born, "MM/dd/yyyy")).otherwise(_s(born)).alias("BDATE"),
         _case(F.col("c_mktsegment"), [("AUTOMOBILE", "M"), ("BUILDING", "F "), ("FURNITURE", "n/a"),
                                       ("HOUSEHOLD", " Male")], F.lit(None).cast("string")).alias("GEN"),
     )
@@ -159,7 +174,7 @@ COUNTRY_SPELLINGS = [(0, "DE"), (1, "US"), (2, "USA"), (3, " GB"), (4, "UK"), (5
 def raw_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     key = _s(F.col("c_custkey"))
     out = j.select(
         F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("NAS"), key)).otherwise(key).alias("cid"),
@@ -210,46 +225,50 @@ def _pn(key: str) -> str:
 
 def sql_ctes() -> str:
     """CTEs named raw_cust_info ... raw_px_cat_g1v2 with clean column names."""
-    ck = "CAST(c.c_custkey AS VARCHAR)"
+    ck, ok = "CAST(c.c_custkey AS VARCHAR)", "CAST(o.o_custkey AS VARCHAR)"
+    born = f"(DATE '{BIRTH_EPOCH}' + CAST(c.c_custkey * 37 % 25000 AS INTEGER))"
+    start = f"(CASE WHEN ver = 1 THEN DATE '{FIRST_VERSION}' + p_size ELSE DATE '{SECOND_VERSION}' + p_size END)"
+    cats = "concat(upper(substr(p_type, 1, 2)), '-', upper(substr(p_name, 1, 2)))"
+    qty = "CAST(l.l_quantity AS DECIMAL(18,2))"
     country_case = " ".join(f"WHEN {k} THEN '{v}'" for k, v in COUNTRY_SPELLINGS)
     return f"""raw_cust_info AS (
-  SELECT {_na(f"CASE WHEN o.o_orderpriority = '1-URGENT' THEN concat({ck}, '.0') ELSE {ck} END")} AS cst_id,
-         {_na(f"concat('CU', lpad({ck}, 8, '0'), '-', CAST(year(o.o_orderdate) AS VARCHAR))")} AS cst_key,
+  SELECT {_na(f"CASE WHEN o.o_custkey % 50 = 7 THEN CAST(o.o_custkey + {LARGE_ID} AS VARCHAR) WHEN o.o_orderpriority = '1-URGENT' THEN concat({ok}, '.0') ELSE {ok} END")} AS cst_id,
+         {_na(f"concat('CU', lpad({ok}, 8, '0'), '-', CAST(year(o.o_orderdate) AS VARCHAR))")} AS cst_key,
          {_na("split_part(c.c_name, '#', 1)")} AS cst_firstname,
          {_na("split_part(c.c_name, '#', 2)")} AS cst_lastname,
          {_na("CASE o.o_orderstatus WHEN 'F' THEN 'S' WHEN 'O' THEN ' m ' ELSE 'married' END")} AS cst_marital_status,
          {_na("CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'M' WHEN 'BUILDING' THEN ' f' WHEN 'FURNITURE' THEN 'N/A' WHEN 'HOUSEHOLD' THEN 'Female' ELSE 'x' END")} AS cst_gndr,
          {_na("CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR)")} AS cst_create_date
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 raw_prd_versions AS (
   SELECT *, 1 AS ver FROM part UNION ALL SELECT *, 2 AS ver FROM part WHERE p_size > 25
 ),
 raw_prd_info AS (
   SELECT {_na("CAST(p_partkey * 10 + ver AS VARCHAR)")} AS prd_id,
-         {_na(f"concat(upper(substr(p_type, 1, 2)), '-', upper(substr(p_name, 1, 2)), '-', {_pn('p_partkey')})")} AS prd_key,
+         {_na(f"CASE WHEN p_partkey % 101 = 5 THEN {cats} ELSE concat({cats}, '-', {_pn('p_partkey')}) END")} AS prd_key,
          {_na("p_name")} AS prd_nm,
-         {_na("CASE WHEN ver = 1 AND p_size <= 2 THEN NULL ELSE CAST(CAST(floor(p_retailprice) - (2 - ver) * 10 AS BIGINT) AS VARCHAR) END")} AS prd_cost,
+         {_na("CASE WHEN ver = 1 AND p_size <= 2 THEN NULL ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) - (2 - ver) * 10 AS VARCHAR) END")} AS prd_cost,
          {_na("CASE substr(p_brand, 7, 1) WHEN '1' THEN 'R ' WHEN '2' THEN 'M ' WHEN '3' THEN 'S ' WHEN '4' THEN 'T ' ELSE NULL END")} AS prd_line,
-         {_na(f"CAST(CASE WHEN ver = 1 THEN DATE '{FIRST_VERSION}' + p_size ELSE DATE '{SECOND_VERSION}' + p_size END AS VARCHAR)")} AS prd_start_dt,
+         {_na(f"CASE p_size WHEN 3 THEN strftime({start}, '%m/%d/%Y') WHEN 4 THEN 'no date' ELSE CAST({start} AS VARCHAR) END")} AS prd_start_dt,
          {_na(f"CAST(CASE WHEN ver = 1 AND p_size > 25 THEN DATE '{SECOND_VERSION}' + (p_size - 1) END AS VARCHAR)")} AS prd_end_dt
   FROM raw_prd_versions
 ),
 raw_sales_details AS (
   SELECT {_na("concat('SO', CAST(l.l_orderkey AS VARCHAR))")} AS sls_ord_num,
-         {_na(_pn('l.l_partkey'))} AS sls_prd_key,
+         {_na(f"CASE WHEN l.l_returnflag = 'N' AND l.l_linenumber = 6 THEN '{UNKNOWN_PRODUCT}' ELSE {_pn('l.l_partkey')} END")} AS sls_prd_key,
          {_na("CASE WHEN o.o_orderstatus = 'P' AND l.l_linenumber = 3 THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END")} AS sls_cust_id,
-         {_na("CASE WHEN l.l_linenumber = 7 THEN '0' ELSE strftime(o.o_orderdate, '%Y%m%d') END")} AS sls_order_dt,
+         {_na("CASE WHEN l.l_linenumber = 7 THEN '0' WHEN l.l_linenumber = 5 THEN concat(strftime(o.o_orderdate, '%Y%m%d'), '.0') ELSE strftime(o.o_orderdate, '%Y%m%d') END")} AS sls_order_dt,
          {_na("strftime(l.l_shipdate, '%Y%m%d')")} AS sls_ship_dt,
          {_na("strftime(CAST(l.l_shipdate AS DATE) + 7, '%Y%m%d')")} AS sls_due_dt,
-         {_na("CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_quantity AS INTEGER) AS VARCHAR)")} AS sls_sales,
-         {_na("CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR)")} AS sls_quantity,
-         {_na("CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN 'n/a' ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END")} AS sls_price
+         {_na(f"CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * {qty} AS DECIMAL(18,4)) AS VARCHAR)")} AS sls_sales,
+         {_na(f"CASE WHEN l.l_orderkey % 1000 = 7 AND l.l_linenumber = 1 THEN '{HUGE_QUANTITY}' WHEN l.l_returnflag = 'A' AND l.l_linenumber = 2 THEN CAST({qty} + CAST(0.5 AS DECIMAL(2,1)) AS VARCHAR) ELSE CAST({qty} AS VARCHAR) END")} AS sls_quantity,
+         {_na("CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN 'n/a' WHEN l.l_linenumber = 4 THEN concat(CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '5') ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END")} AS sls_price
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 raw_cust_az12 AS (
   SELECT {_na(f"CASE WHEN c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN concat('NAS', {ck}) ELSE {ck} END")} AS cid,
-         {_na(f"CASE WHEN c.c_nationkey = 7 THEN '{FUTURE_BIRTH}' ELSE CAST(DATE '{BIRTH_EPOCH}' + CAST(c.c_custkey * 37 % 25000 AS INTEGER) AS VARCHAR) END")} AS bdate,
+         {_na(f"CASE c.c_nationkey WHEN 7 THEN '{FUTURE_BIRTH}' WHEN 11 THEN 'unknown day' WHEN 5 THEN strftime({born}, '%m/%d/%Y') ELSE CAST({born} AS VARCHAR) END")} AS bdate,
          {_na("CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'M' WHEN 'BUILDING' THEN 'F ' WHEN 'FURNITURE' THEN 'n/a' WHEN 'HOUSEHOLD' THEN ' Male' ELSE NULL END")} AS gen
   FROM customer c
   UNION ALL

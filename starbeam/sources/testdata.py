@@ -11,7 +11,7 @@ fact_sales             lineitem left join orders on the order key
   sls_cust_id          o_custkey
   sls_order_dt         o_orderdate as DATE
   sls_ship_dt          l_shipdate as DATE
-  sls_quantity         l_quantity as INT
+  sls_quantity         l_quantity as DECIMAL(18,4)
   sls_price            l_extendedprice as DECIMAL(18,2)
   sales_amount         sls_quantity * sls_price as DECIMAL(18,2)
 dim_customers          customer join nation
@@ -36,7 +36,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbeam.functions.numeric import MONEY
+from starbeam.functions.numeric import MONEY, QUANTITY
 from starbeam.plans.star import Star
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -81,7 +81,7 @@ def balanced(df: DataFrame) -> DataFrame:
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-level fact columns (no order header)."""
     li = table(spark, sf_dir, "lineitem")
-    qty = F.col("l_quantity").cast("int")
+    qty = F.col("l_quantity").cast(QUANTITY)
     price = F.col("l_extendedprice").cast(MONEY)
     return li.select(
         F.col("l_orderkey").alias("sls_ord_num"),
@@ -120,8 +120,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row code table: broadcast is size-safe at any scale
-    joined = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+    joined = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     return joined.select(
         F.col("c_custkey").alias("cst_id"),
         F.col("c_name").alias("cst_key"),
@@ -163,9 +162,9 @@ SQL_FACT = """fact_sales AS (
          o.o_custkey AS sls_cust_id,
          CAST(o.o_orderdate AS DATE) AS sls_order_dt,
          CAST(l.l_shipdate AS DATE) AS sls_ship_dt,
-         CAST(l.l_quantity AS INTEGER) AS sls_quantity,
+         CAST(l.l_quantity AS DECIMAL(18,4)) AS sls_quantity,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS sls_price,
-         CAST(CAST(l.l_quantity AS INTEGER) * CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS sales_amount
+         CAST(CAST(l.l_quantity AS DECIMAL(18,4)) * CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS sales_amount
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 

@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from starbeam.config import FIXTURE
+from starbeam.plans import registry
 from starbeam.sources.testdata import TABLES
 
 
@@ -43,8 +45,8 @@ def duck(sf_small):
     return con
 
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.all_queries(FIXTURE)
+SQL = registry.all_oracle_sql(FIXTURE)
 
 
 def test_every_query_has_an_oracle():

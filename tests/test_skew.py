@@ -28,11 +28,10 @@ def test_hot_key_holds_a_third(skewed):
     assert 0.28 < hot / total < 0.4
 
 
-@pytest.mark.parametrize("limit", [0, 64 * 1024 * 1024])
-def test_rollup_exact_under_skew(skewed, limit):
+def test_rollup_exact_under_skew(skewed):
     measures = [Measure("revenue", "sum", "sales_amount"), Measure("orders", "count_distinct", "sls_ord_num")]
     got = rollup_over_dimension(skewed.fact, "sls_cust_id", skewed.customers, "cst_id",
-                                ["cst_id", "cntry"], measures, limit_bytes=limit)
+                                ["cst_id", "cntry"], measures)
     j = skewed.fact.join(skewed.customers, skewed.fact["sls_cust_id"] == skewed.customers["cst_id"], "left")
     want = j.groupBy("cst_id", "cntry").agg(F.sum("sales_amount").alias("revenue"),
                                            F.count_distinct("sls_ord_num").alias("orders"))

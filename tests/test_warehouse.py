@@ -25,12 +25,15 @@ def test_full_run_succeeds_and_audits_every_table(run_result):
     res, _, _ = run_result
     assert res.ok, res.error
     assert list(res.layer_seconds) == ["bronze", "silver", "gold", "reports", "quality", "analytics"]
-    written = {(layer, t) for layer, t, *_ in res.audit}
+    written = {(a[0], a[1]) for a in res.audit}
     for t in ("dim_customers", "dim_products", "dim_date", "fact_sales", "report_customers", "report_products"):
         assert ("gold", t) in written
-    assert sum(1 for layer, *_ in res.audit if layer == "analytics") == 27
+    assert sum(1 for a in res.audit if a[0] == "analytics") == 27
     assert ("quality", "dq_results") in written
-    assert all(rows >= 0 for _, _, rows, *_ in res.audit)
+    assert all(a[3] >= 0 and a[7] is None for a in res.audit)
+    silver = [a for a in res.audit if a[0] == "silver"]
+    assert len(silver) == 6 and all(a[2] - a[4] == a[3] for a in silver) and any(a[4] for a in silver)
+    assert res.rows("quality", "dq_results") and not res.errors
 
 
 def test_fact_is_partitioned_by_order_year(run_result):
@@ -56,6 +59,27 @@ def test_dq_results_one_frame(spark, run_result):
     assert passed == 1
 
 
+def test_audit_is_stored(spark, run_result):
+    res, _, root = run_result
+    stored = spark.read.parquet(os.path.join(root, "quality", "audit"))
+    assert stored.count() == len(res.audit) and "rows_removed" in stored.columns
+
+
+def test_a_failing_query_fails_the_run_and_the_others_are_written(spark, sf_small, monkeypatch):
+    from starbeam.plans import analytics
+
+    def broken(star, p):
+        raise ValueError("no such column")
+
+    monkeypatch.setattr(analytics, "QUERIES", {**{k: analytics.QUERIES[k] for k in ("q03_distinct_countries", "q10_products_by_category")}, "q99_broken": broken, "q98_broken": broken})
+    root = tempfile.mkdtemp(prefix="starbeam-test-fail-", dir="/tmp")
+    res = warehouse.run(spark, raw_adapter.raw_tables(spark, sf_small), root, FIXTURE, full=True)
+    assert not res.ok and res.failed_layer == "analytics" and len(res.errors) == 2
+    assert {"analytics.q03_distinct_countries", "analytics.q10_products_by_category"} <= set(res.tables)
+    stored = spark.read.parquet(os.path.join(root, "quality", "audit"))
+    assert stored.where("error IS NOT NULL").count() == 2
+
+
 def test_missing_sources_fail_bronze_but_load_the_rest(spark, reference_data):
     load = load_sources(spark, reference_data)
     assert set(load.tables) == {"raw_prd_info", "raw_px_cat_g1v2"}
@@ -63,7 +87,7 @@ def test_missing_sources_fail_bronze_but_load_the_rest(spark, reference_data):
     root = tempfile.mkdtemp(prefix="starbeam-test-ref-", dir="/tmp")
     res = warehouse.run(spark, load.tables, root, DEFAULT, full=True, missing_sources=load.missing)
     assert not res.ok and res.failed_layer == "bronze"
-    assert {t for layer, t, *_ in res.audit if layer == "bronze"} == {"raw_prd_info", "raw_px_cat_g1v2"}
+    assert {a[1] for a in res.audit if a[0] == "bronze"} == {"raw_prd_info", "raw_px_cat_g1v2"}
 
 
 def test_incremental_sales_append_matches_batch_cleaning(spark, sf_small):
