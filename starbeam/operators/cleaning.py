@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from starbeam import config
 from starbeam.functions import dates, numeric, text
 from starbeam.functions.numeric import AMOUNT, PRICE, QUANTITY
-from starbeam.sources.schemas import resolve, resolve_all
+from starbeam.sources.csv_source import BAD_ROW
+from starbeam.sources.schemas import ROLES, canonical_names, resolve, resolve_all
 
 # ---------------------------------------------------------------- generic rules
 
@@ -139,8 +140,9 @@ def fill_missing_text(df: DataFrame) -> DataFrame:
 
 
 def base_clean(df: DataFrame) -> DataFrame:
-    """CLN1 + CLN2, the first two steps of every table cleaner."""
-    return drop_exact_duplicates(normalise_headers(df))
+    """CLN1 + CLN2, the first two steps of every table cleaner (the bronze mark of
+    malformed rows stays in bronze)."""
+    return drop_exact_duplicates(normalise_headers(df).drop(BAD_ROW))
 
 
 def clean_cust_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
@@ -152,8 +154,7 @@ def clean_cust_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 
 def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     out = base_clean(df)
-    cost = resolve(out.columns, "product_cost")
-    out = coerce_decimal_or_zero(out, [cost] if cost else [])
+    out = coerce_decimal_or_zero(out, ROLES["product_cost"])
     out = split_compound_product_key(out)
     if "prd_id" in out.columns:
         out = out.withColumn("prd_id", numeric.try_integer("prd_id"))
@@ -206,6 +207,12 @@ CLEANERS = {
 }
 
 
-def clean(name: str, df: DataFrame, as_of: dt.date) -> tuple[str, DataFrame]:
+def canonical(name: str, df: DataFrame, overrides: dict | None = None) -> DataFrame:
+    """CLN16 / DIM12: headers normalised and every role's column under its canonical name."""
+    df = normalise_headers(df)
+    return df.withColumnsRenamed(canonical_names(df.columns, name, overrides))
+
+
+def clean(name: str, df: DataFrame, as_of: dt.date, overrides: dict | None = None, **options) -> tuple[str, DataFrame]:
     target, fn = CLEANERS[name]
-    return target, fn(df, as_of)
+    return target, fn(canonical(name, df, overrides), as_of, **options)

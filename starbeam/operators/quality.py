@@ -1,4 +1,4 @@
-"""Data-quality checks (DQ1-DQ7) as rows of one ``dq_results`` DataFrame.
+"""Data-quality checks (DQ1-DQ9) as rows of one ``dq_results`` DataFrame.
 
 Every check is an aggregate over a whole table (counts, ``count_if``, anti joins);
 nothing is collected to the driver. Rows: (check_id, check_name, table_name,
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starbeam.functions import dates
 from starbeam.operators import cleaning, dimensions
+from starbeam.sources.csv_source import BAD_ROW
 from starbeam.sources.schemas import resolve
 
 DQ_COLUMNS = ("check_id", "check_name", "table_name", "metric", "value")
@@ -31,7 +32,7 @@ def _rows(df: DataFrame, check_id: str, check_name: str, table_name: str, metric
 
 def duplicates_removed(raw: DataFrame, table_name: str) -> DataFrame:
     """DQ1: rows before and after exact de-duplication, and the difference."""
-    base = cleaning.normalise_headers(raw)
+    base = cleaning.normalise_headers(raw).drop(BAD_ROW)
     # one pass: group equal rows (nulls equal, as in de-duplication), then count
     # the groups and their sizes
     groups = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -78,6 +79,24 @@ def future_dates(raw_demographics: DataFrame, as_of: dt.date) -> DataFrame:
                  {"future_dates": F.col("future"), "unparseable_or_missing": F.col("bad")})
 
 
+def malformed_rows(spark, table_name: str, rows: int) -> DataFrame:
+    """DQ8: rows of a raw file without the header's fields (kept in bronze with their text)."""
+    return _rows(spark.createDataFrame([(rows,)], "n bigint"), "DQ8", "malformed_rows", table_name, {"rows": F.col("n")})
+
+
+def values_lost(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """DQ9: cleaned values that are null for another reason than a missing input: line amounts
+    beyond the type, sales without a readable order date, products without a readable start
+    date, and product keys of fewer than three segments (empty after the split)."""
+    lines = sales.agg(F.count_if(F.col("sales_amount").isNull()).alias("amount_overflow"),
+                      F.count_if(F.col("sls_order_dt").isNull()).alias("no_order_date"))
+    keys = products.agg(F.count_if(F.col("prd_start_dt").isNull()).alias("no_start_date"),
+                        F.count_if(F.col("prd_key") == "").alias("short_product_key"))
+    return _rows(lines, "DQ9", "values_lost", "clean_sales_details",
+                 {m: F.col(m) for m in ("amount_overflow", "no_order_date")}).unionByName(
+        _rows(keys, "DQ9", "values_lost", "clean_prd_info", {m: F.col(m) for m in ("no_start_date", "short_product_key")}))
+
+
 def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """DQ4: fact rows without a customer / product (DIM16)."""
     oc = dimensions.orphan_counts(fact, customers, products)

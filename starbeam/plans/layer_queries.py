@@ -8,6 +8,8 @@ over the same values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,10 @@ from starbeam import config
 from starbeam.config import Params
 from starbeam.operators import cleaning, dimensions, quality, reports
 from starbeam.plans import warehouse
-from starbeam.session import apply_required_conf
+from starbeam.session import apply_required_conf, ensure_checkpoint_dir
 from starbeam.sources import raw_adapter
+from starbeam.sources.csv_source import read_csv
+from starbeam.sources.testdata import table
 
 # ---------------------------------------------------------------- Spark side
 
@@ -43,7 +47,7 @@ class _Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params):
         apply_required_conf(spark)
-        self.p = p
+        self.p, self.spark, self.sf_dir = p, spark, sf_dir
         self.raw = _Lazy({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in raw_adapter.RAW_BUILDERS.items()})
         self.silver = _Lazy({cleaning.CLEANERS[name][0]: (lambda name=name: cleaning.clean(
             name, self.raw[name], p.as_of)[1]) for name in raw_adapter.RAW_BUILDERS})
@@ -100,6 +104,15 @@ def _dq7(L: _Layers) -> DataFrame:
         quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
 
 
+def _src1(L: _Layers) -> DataFrame:
+    """SRC1: products written as CSV with quotes, commas and line breaks in a field, and read back."""
+    part = table(L.spark, L.sf_dir, "part")
+    name = F.concat(F.lit('say "'), F.col("p_name"), F.lit('", then\n'), F.col("p_brand"))
+    path = f"{ensure_checkpoint_dir(L.spark)}/csv-{uuid.uuid4().hex}"
+    part.select("p_partkey", name.alias("p_text"), "p_type").write.options(header="true", escape='"', quoteAll="true").csv(path)
+    return read_csv(L.spark, path)
+
+
 _SALES_MONEY = ("sls_quantity", "sls_sales", "sls_price", "sales_amount")
 
 BUILDERS = {
@@ -153,6 +166,8 @@ BUILDERS = {
     "dq5_match_rate": lambda L: quality.match_rate(L.dim_customers()),
     "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), L.products()),
     "dq7_segment_distribution": _dq7,
+    "dq9_values_lost": lambda L: quality.values_lost(L.silver["clean_sales_details"], L.silver["clean_prd_info"]),
+    "src1_csv_scan": _src1,
 }
 
 
@@ -323,8 +338,8 @@ def oracle_sql(p: Params) -> dict[str, str]:
     staged_sales = f"(SELECT sls_ord_num, sls_prd_key, {_try_int('sls_cust_id')} AS sls_cust_id FROM (SELECT DISTINCT * FROM raw_sales_details) d)"
     star = ("fact_sales AS (SELECT * FROM fact), dim_customers_star AS (SELECT cst_id, cst_key, cst_firstname, "
             "cst_lastname, cst_gndr, cntry, bdate FROM dim_customers)")
-    rc = report_customers_cte(p).replace("JOIN dim_customers c", "JOIN dim_customers_star c")
-    rp = report_products_cte(p).replace("JOIN dim_products pr", "JOIN star_products pr")
+    rc = report_customers_cte(p, customers="dim_customers_star")
+    rp = report_products_cte(p, products="star_products")
     orphan_src = """(SELECT (SELECT COUNT(*) FROM fact) AS fact_rows,
   (SELECT COUNT(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_customers c WHERE c.cst_id = f.sls_cust_id)) AS oc,
   (SELECT COUNT(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM star_products s WHERE s.prd_key = f.sls_prd_key)) AS op) q"""
@@ -391,6 +406,13 @@ FROM {orphan_src}""",
         "dq6_nonempty_join": f"""{head} {_dq_rows('DQ6', 'sales_product_join_nonempty', 'report_products',
             "(SELECT COUNT(*) AS n FROM fact f WHERE f.sls_order_dt IS NOT NULL AND EXISTS (SELECT 1 FROM star_products s WHERE s.prd_key = f.sls_prd_key)) q",
             [('matched_rows', 'n'), ('passed', 'CASE WHEN n > 0 THEN 1 ELSE 0 END')])}""",
+        "dq9_values_lost": f"""{head} {_dq_rows('DQ9', 'values_lost', 'clean_sales_details',
+            "(SELECT COUNT(*) FILTER (WHERE sales_amount IS NULL) AS o, COUNT(*) FILTER (WHERE sls_order_dt IS NULL) AS d FROM clean_sales_details) q",
+            [('amount_overflow', 'o'), ('no_order_date', 'd')])} UNION ALL {_dq_rows('DQ9', 'values_lost', 'clean_prd_info',
+            "(SELECT COUNT(*) FILTER (WHERE prd_start_dt IS NULL) AS s, COUNT(*) FILTER (WHERE prd_key = '') AS k FROM clean_prd_info) q",
+            [('no_start_date', 's'), ('short_product_key', 'k')])}""",
+        "src1_csv_scan": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+  'say "' || p_name || '", then' || chr(10) || p_brand AS p_text, p_type FROM part""",
         "dq7_segment_distribution": f"""{head}, {star}, {rc}, {rp}
 SELECT 'DQ7' AS check_id, 'segment_distribution' AS check_name, 'report_customers' AS table_name,
        customer_segment AS metric, CAST(COUNT(cst_id) AS BIGINT) AS value FROM report_customers GROUP BY customer_segment

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbeam.config import Params
+from starbeam.functions.numeric import PRICE
 from starbeam.operators import cleaning, dimensions, quality, reports
 from starbeam.plans import analytics
 from starbeam.plans.star import Star
+from starbeam.sources.csv_source import BAD_ROW
 
 FACT_PARTITION = "order_year"
 AUDIT_SCHEMA = ("layer string, table_name string, rows_in bigint, rows_written bigint, rows_removed bigint, "
@@ -36,6 +38,7 @@ class RunResult:
     layer_seconds: dict[str, float] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     observed: dict[str, dict] = field(default_factory=dict)
+    bad_rows: dict[str, int] = field(default_factory=dict)
 
     def fail(self, layer: str, name: str, e: Exception) -> None:
         self.ok, self.failed_layer = False, self.failed_layer or layer
@@ -86,6 +89,8 @@ class Warehouse:
         for name, df in raw.items():
             try:
                 out[name] = self.write("bronze", name, df)
+                if BAD_ROW in out[name].columns:
+                    self.result.bad_rows[name] = out[name].where(F.col(BAD_ROW).isNotNull()).count()
             except Exception as e:
                 self.result.fail("bronze", name, e)
         if self.result.errors:
@@ -100,11 +105,11 @@ class Warehouse:
             if name == "raw_sales_details":
                 # counts for the quality checks, observed during the write itself
                 obs = Observation("sales_cleaning")
-                target, cleaned = "clean_sales_details", cleaning.clean_sales_details(df, observation=obs)
+                target, cleaned = cleaning.clean(name, df, self.p.as_of, self.p.role_overrides, observation=obs)
                 out[target] = self.write("silver", target, cleaned, source=("bronze", name))
                 self.result.observed["sales"] = dict(obs.get)
                 continue
-            target, cleaned = cleaning.clean(name, df, self.p.as_of)
+            target, cleaned = cleaning.clean(name, df, self.p.as_of, self.p.role_overrides)
             out[target] = self.write("silver", target, cleaned, source=("bronze", name))
         return out
 
@@ -155,8 +160,11 @@ class Warehouse:
 
 def fact_from_silver(sales: DataFrame) -> DataFrame:
     """DIM13: the fact's columns from the cleaned sales lines."""
-    return sales.select("sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt",
-                        "sls_due_dt", "sls_quantity", "sls_price", "sls_sales", "sales_amount")
+    columns = ("sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt",
+               "sls_due_dt", "sls_quantity", "sls_price", "sls_sales", "sales_amount")
+    optional = {"sls_ship_dt": "date", "sls_due_dt": "date", "sls_sales": PRICE}
+    return sales.select(*[F.lit(None).cast(optional[c]).alias(c) if c in optional and c not in sales.columns else c
+                          for c in columns])
 
 
 def star_products_view(dim_products: DataFrame) -> DataFrame:
@@ -193,7 +201,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
         steps.append(("reports", lambda st: wh.reports(st["gold"])))
     steps.append(("quality", lambda st: {"dq_results": wh.write("quality", "dq_results", dq_results(
         spark, st["bronze"], st["gold"], st.get("reports"), p, silver=st["silver"],
-        observed=res.observed))}))
+        observed=res.observed, bad_rows=res.bad_rows))}))
     if run_analytics:
         steps.append(("analytics", lambda st: wh.analytics(st["gold"], st["reports"])))
     state: dict[str, dict] = {}
@@ -258,7 +266,8 @@ DEDUP_ONLY = ("raw_cust_info", "raw_prd_info", "raw_cust_az12", "raw_loc_a101",
 
 def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, DataFrame],
                reps: dict[str, DataFrame] | None, p: Params,
-               silver: dict[str, DataFrame] | None = None, observed: dict | None = None) -> DataFrame:
+               silver: dict[str, DataFrame] | None = None, observed: dict | None = None,
+               bad_rows: dict[str, int] | None = None) -> DataFrame:
     """All data-quality checks of a run as one DataFrame.
 
     With the written ``silver`` tables, DQ1 of the de-duplicate-only tables comes
@@ -280,11 +289,14 @@ def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, D
     if sales is not None:
         parts.append(quality.null_key_rows_from_counts(spark, sales["rows_deduped"], sales["rows_null_key"]))
     else:
-        parts.append(quality.null_key_rows(raw["raw_sales_details"]))
-    parts += [quality.future_dates(raw["raw_cust_az12"], p.as_of),
+        parts.append(quality.null_key_rows(cleaning.canonical("raw_sales_details", raw["raw_sales_details"], p.role_overrides)))
+    parts += [quality.future_dates(cleaning.canonical("raw_cust_az12", raw["raw_cust_az12"], p.role_overrides), p.as_of),
               quality.orphans(star.fact, star.customers, star.products),
               quality.match_rate(gold["dim_customers"]),
               quality.nonempty_join(star.fact, star.products)]
+    parts += [quality.malformed_rows(spark, name, n) for name, n in (bad_rows or {}).items()]
+    if silver is not None:
+        parts.append(quality.values_lost(silver["clean_sales_details"], silver["clean_prd_info"]))
     if reps:
         parts.append(quality.segment_distribution(reps["report_customers"], "customer_segment", "cst_id",
                                                   "report_customers"))

@@ -2,7 +2,10 @@
 
 Every field is read as text with an explicit schema (no inference pass over the
 data); the null markers of the original reader become SQL NULL; padding such as
-``'R '`` is kept. A missing file is recorded and the remaining files still load.
+``'R '`` is kept. Quoted fields may hold commas, doubled quotes and line breaks. A row
+with too few or too many fields is kept as far as it can be read and its text stands
+in ``BAD_ROW``, so it can be counted. A missing file is recorded and the remaining files
+still load.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starbeam import config
 from starbeam.sources.schemas import RAW_FILES
@@ -31,22 +34,38 @@ def na_tokens_to_null(df: DataFrame, tokens=config.NA_TOKENS) -> DataFrame:
     return df.select(*cols)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+#: Bronze column with the text of a row that does not have the header's fields, else null.
+BAD_ROW = "_bad_row"
+
+CSV_OPTIONS = {
+    "header": "true",
+    "mode": "PERMISSIVE",
+    "inferSchema": "false",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+             multi_line: bool = True, keep_bad_rows: bool = False) -> DataFrame:
     """SRC1: header row, every field as text, padding kept, null markers -> NULL.
 
     Without ``schema`` the file's own header names are kept as they are (silver
     normalises them) and no inference pass runs. With ``schema`` the header is
-    checked against it (names compared case-insensitively).
+    checked against it (names compared case-insensitively). ``multi_line`` lets quoted
+    fields hold line breaks, for which a file is read by one task; turn it off for
+    single very large files without them. ``keep_bad_rows`` adds ``BAD_ROW``.
     """
-    reader = (spark.read
-              .option("header", "true")
-              .option("mode", "PERMISSIVE")
-              .option("inferSchema", "false")
-              .option("ignoreLeadingWhiteSpace", "false")
-              .option("ignoreTrailingWhiteSpace", "false"))
-    if schema is not None:
-        reader = reader.option("enforceSchema", "false").schema(schema)
-    return na_tokens_to_null(reader.csv(path))
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
+    fields = schema or reader.csv(path).schema
+    if keep_bad_rows:
+        fields = StructType([*fields.fields, StructField(BAD_ROW, StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
+    elif schema is not None:
+        reader = reader.option("enforceSchema", "false")
+    return na_tokens_to_null(reader.schema(fields).csv(path))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -82,5 +101,5 @@ def load_sources(spark: SparkSession, root: str, files: Mapping[str, str] = RAW_
         if not _exists(spark, path):
             out.missing[name] = path
             continue
-        out.tables[name] = read_csv(spark, path, schemas.get(name) if schemas else None)
+        out.tables[name] = read_csv(spark, path, schemas.get(name) if schemas else None, keep_bad_rows=True)
     return out

@@ -14,6 +14,7 @@ def _text(*names: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+# File names, column names and their aliases of the source system.
 # Raw inputs: file stem, table name and header columns.
 RAW_SCHEMAS = {
     "raw_cust_info": _text("cst_id", "cst_key", "cst_firstname", "cst_lastname",
@@ -66,6 +67,28 @@ ROLES = {
 }
 
 
+# Roles of each raw table: their columns take the first name of the role in silver.
+TABLE_ROLES = {
+    "raw_cust_info": ("customer_id", "customer_gender", "customer_marital"),
+    "raw_prd_info": ("product_cost", "product_key", "product_start", "product_end"),
+    "raw_sales_details": ("sales_order", "sales_product", "sales_customer", "sales_order_date", "sales_ship_date",
+                          "sales_due_date", "sales_quantity", "sales_price", "sales_total"),
+    "raw_cust_az12": ("erp_customer", "erp_birthdate", "erp_gender"),
+    "raw_loc_a101": ("location_customer", "location_country"),
+    "raw_px_cat_g1v2": ("category_id",),
+}
+
+
+def canonical_names(columns, table: str, overrides: dict | None = None) -> dict[str, str]:
+    """Present column -> canonical name, for the roles of a raw table."""
+    out = {}
+    for role in TABLE_ROLES[table]:
+        found, canonical = resolve(columns, role, overrides=overrides), ROLES[role][0]
+        if found is not None and found != canonical and canonical not in columns:
+            out[found] = canonical
+    return out
+
+
 def resolve(columns, role: str, required: bool = False, overrides: dict | None = None) -> str | None:
     """The column that plays ``role`` in ``columns``."""
     names = (overrides or {}).get(role) or ROLES[role]

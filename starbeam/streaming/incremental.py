@@ -7,33 +7,51 @@ to its own ``batch_id=N`` folder with overwrite, so a batch replayed after a
 failure replaces its own output instead of duplicating it; the checkpoint folder
 (on shared storage in a cluster) records which files were consumed.
 
-Exact-duplicate removal is per micro-batch: a duplicate that arrives in a later
-batch is not removed (global de-duplication would keep every row ever seen as
-streaming state). Periodic batch rebuilds of the silver table remove those.
+A row equal to one of an earlier batch is dropped too: every stored row keeps the
+hash of its raw fields (``ROW_HASH``), and a batch is anti-joined with the hashes of
+the other batches, so the table holds the rows that one batch run would give.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starbeam.operators import cleaning
-from starbeam.sources.csv_source import na_tokens_to_null
+from starbeam.sources.csv_source import CSV_OPTIONS, na_tokens_to_null
 from starbeam.sources.schemas import RAW_SCHEMAS
 
 
 def sales_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw sales CSV files as a stream (explicit text schema, null markers -> NULL)."""
-    reader = spark.readStream.schema(RAW_SCHEMAS["raw_sales_details"]).option("header", "true")
+    reader = spark.readStream.schema(RAW_SCHEMAS["raw_sales_details"]).options(**CSV_OPTIONS, multiLine="true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return na_tokens_to_null(reader.csv(landing_dir))
 
 
+ROW_HASH = "row_hash"
+
+
+def spark_files(spark: SparkSession, target_dir: str, batch_id: int) -> DataFrame | None:
+    """The rows of the other batches, if there are any."""
+    try:
+        stored = spark.read.parquet(target_dir)
+    except AnalysisException:  # nothing written yet
+        return None
+    return stored.where(F.col("batch_id") != batch_id)
+
+
 def _writer(target_dir: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        cleaned = cleaning.clean_sales_details(batch)
+        marked = batch.withColumn(ROW_HASH, F.sha2(F.to_json(F.struct(*batch.columns), {"ignoreNullFields": "false"}), 256))
+        cleaned = cleaning.clean_sales_details(marked)
+        others = spark_files(batch.sparkSession, target_dir, batch_id)
+        if others is not None:
+            cleaned = cleaned.join(others.select(ROW_HASH), ROW_HASH, "left_anti")
         cleaned.write.mode("overwrite").parquet(os.path.join(target_dir, f"batch_id={batch_id}"))
     return write_batch
 

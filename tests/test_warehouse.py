@@ -55,6 +55,8 @@ def test_dq_results_one_frame(spark, run_result):
     assert dq.columns == ["check_id", "check_name", "table_name", "metric", "value"]
     ids = {r["check_id"] for r in dq.select("check_id").distinct().collect()}
     assert ids == {f"DQ{i}" for i in range(1, 8)}
+    stored = {(r["check_id"], r["metric"]): r["value"] for r in res.tables["quality.dq_results"].collect()}
+    assert stored[("DQ9", "no_order_date")] > 0 and stored[("DQ4", "orphan_customer_rows")] > 0
     passed = dq.where((F.col("check_id") == "DQ6") & (F.col("metric") == "passed")).first()["value"]
     assert passed == 1
 
@@ -94,13 +96,13 @@ def test_incremental_sales_append_matches_batch_cleaning(spark, sf_small):
     root = tempfile.mkdtemp(prefix="starbeam-test-inc-", dir="/tmp")
     raw = raw_adapter.raw_sales_details(spark, sf_small)
     landing = os.path.join(root, "landing")
-    # two arrivals split by order number, so equal rows arrive together
-    half = (F.crc32(F.coalesce(F.col("sls_ord_num"), F.lit(""))) % 2)
-    for i in (0, 1):
-        raw.where(half == i).write.mode("append").option("header", "true").csv(landing)
-    target = os.path.join(root, "silver_sales")
-    incremental.run_available(spark, landing, target, os.path.join(root, "checkpoint"))
-    got = spark.read.parquet(target).drop("batch_id")
+    # two arrivals; the second repeats some rows of the first
+    half = (F.crc32(F.coalesce(F.col("sls_ord_num"), F.lit(""))) % 3)
+    target, checkpoint = os.path.join(root, "silver_sales"), os.path.join(root, "checkpoint")
+    for arrival in ((0, 1), (1, 2)):
+        raw.where(half.isin(*arrival)).write.mode("append").option("header", "true").option("escape", '"').csv(landing)
+        incremental.run_available(spark, landing, target, checkpoint)
+    got = spark.read.parquet(target).drop("batch_id", incremental.ROW_HASH)
     from starbeam.operators import cleaning
 
     want = cleaning.clean_sales_details(raw)
