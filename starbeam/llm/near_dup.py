@@ -16,13 +16,12 @@ weighted Jaccard similarity of multisets, sum of minima over sum of maxima, and
    bands with probability over 0.9999. Documents with equal multisets are one text class and
    only its smallest id takes part from here on.
 3. Verification. In every bucket all members are compared with the bucket's smallest id, on the
-   whole texts, so a bucket gives one pair per member, not all pairs. Verified links make
-   components. Members that share a bucket share its smallest id, so documents are then gathered
-   by that id; where such a group is one component, as large groups of copies are, all is known.
-   The other groups are dealt to pairs of blocks of at most ``BLOCK_DOCS`` documents and
+   whole texts, so a bucket gives one pair per member, not all pairs. Members that share a bucket
+   share its smallest id, so documents are then gathered by that id; where all of such a group
+   link to it, as large groups of copies do, all is known. The other groups are dealt to pairs of blocks of at most ``BLOCK_DOCS`` documents and
    ``BLOCK_BYTES`` bytes; a task computes the exact overlaps of two blocks as one matrix product over
    the shingles that several of their documents have, and returns only links that join
-   components. No link between components is lost, and no list of all pairs is made.
+   what was apart. No link between components is lost, and no list of all pairs is made.
 4. Components come from alternating large-star and small-star steps as joins and aggregates.
 
 Nothing is collected; a hot bucket or class is aggregated per task before the shuffle and joined
@@ -234,22 +233,29 @@ def compared(dealt: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return dealt.groupBy("first", "left", "right").applyInArrow(run, f"a {kind}, b {kind}")
 
 
+def _fingerprint(links: DataFrame) -> tuple:
+    """Number of the distinct rows and two sums of their hashes: equal for equal sets."""
+    sums = [F.sum(F.xxhash64(F.lit(salt), "u", "v").cast("decimal(38,0)")) for salt in (1, 2)]
+    return tuple(links.agg(F.count(F.lit(1)), *sums).first())
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(id, component): the smallest id of each connected component of edges (``a``, ``b``), for ids that have an edge."""
     links = common.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    state = _fingerprint(links)
     for _ in range(limit):
         # large star: the larger neighbours of a node link to the smallest id around it
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours link to the smallest of these
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
         joined = large.join(least, F.col("u") == F.col("n"))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        new = common.stored(small)
-        if new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty():
+        links, before = common.stored(small), state
+        state = _fingerprint(links)
+        if state == before:
             break
-        links = new
     else:
         raise RuntimeError(f"components not settled after {limit} rounds")
     stars = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -272,7 +278,10 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     tried = shared.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
     links = common.stored(verified(tried, texts, threshold))
-    groups = shared.select("first", "id").distinct().join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    groups = shared.select("first", "id").distinct()
+    groups = groups.join(links, (groups["id"] == links["a"]) & (groups["first"] == links["b"]), "left")
+    joined = F.col("a").isNotNull() | (F.col("id") == F.col("first"))
+    groups = groups.select("first", "id", F.when(joined, F.col("first")).otherwise(F.col("id")).alias("component"))
     groups = groups.join(texts.select("id", F.octet_length("text").alias("size")), "id")
     sizes = groups.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.min("component").alias("low"), F.max("component").alias("high"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
