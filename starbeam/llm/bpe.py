@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, types as T
 from starbeam.llm import common
 from starbeam.llm import textscan as ts
 
-CACHE = 1 << 20
+CACHE = 1 << 18
 LONGEST_ROW = 128
 WIDTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, LONGEST_ROW)
 NO_RANK = np.int32(np.iinfo(np.int32).max)
@@ -266,7 +266,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_
         encoder = None
         for batch in batches:
             encoder = encoder or Encoder(read_ranks(sent.value), cache)
-            for part, data, offsets in ts.text_groups(batch, text_col, 1 << 21):
+            for part, data, offsets in ts.text_groups(batch, text_col, 1 << 20):
                 ids, row = encoder.encode(data, offsets)
                 digests, back = [], []
                 for a, b in zip(row[:-1].tolist(), row[1:].tolist()):
