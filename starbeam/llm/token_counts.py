@@ -96,7 +96,8 @@ def count_tokens(
     """Per row: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens)."""
     spark = docs.sparkSession
     definition = common.model_file(tokenizer_path)
-    common_runs = [bytes(r.run) for r in frequent_runs(docs, text_col, frequent).collect()]
+    # written first: the tasks' candidates for the top are merged by executors, the driver reads the result
+    common_runs = [bytes(r.run) for r in common.written(frequent_runs(docs, text_col, frequent)).collect()]
     data = np.frombuffer(b"".join(common_runs), np.uint8)
     ends = np.cumsum([len(r) for r in common_runs], dtype=np.int64)
     starts = np.concatenate([[0], ends])[: len(ends)].astype(np.int64)
