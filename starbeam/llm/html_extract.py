@@ -15,7 +15,8 @@
 4. Each page is cut: branches whose presentation names furniture (menus, headers, footers, sidebars,
    notices, adverts, forms, comments) or whose node's importance on at least ``PAGES`` pages is
    below ``LEAST`` go; inside an article or main element only named furniture goes. If a page has
-   an article (else a main) element, its text is the text in it.
+   an article (else a main) element, its text is the text in it. Headings and inline elements of an
+   article stay whatever their class or id, and slug ids ("related-work") name no furniture there.
 
 Low-importance nodes travel to the pages by a join on host and salt, so pages of a hot host are
 spread; the list per host has at most the nodes of its templates.
@@ -53,11 +54,17 @@ FURNITURE_TAGS = frozenset(("nav", "footer", "aside", "form", "menu", "dialog",
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie cookies copyright disclaimer disqus footer gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets alert complementary contentinfo".split()
 )
+#: Words that stand beside furniture words in the id of a furniture element; any other word makes the id a slug.
+LAYOUT_WORDS = frozenset(
+    "area articles bar block body bottom box button buttons center col column container content div form global group head heading holder icon icons inner item items left link links list lower main message module outer page panel post posts primary right row secondary section site stories strip text thread title top upper wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z))""", re.S
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute, values included, so that no name is looked for inside another name or value.
+_ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s]+)))?""")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 _WORDS = re.compile(r"[a-z]+")
 
@@ -69,49 +76,63 @@ def node_key(parent: int, presentation: str) -> int:
 
 
 @functools.lru_cache(maxsize=1 << 16)
-def presentation(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(presentation, names furniture, is hidden) of an element."""
-    words, hidden = [], False
+def presentation(tag: str, attributes: str, inside: bool = False) -> tuple[str, bool, bool]:
+    """(presentation, names furniture, is hidden) of an element; ``inside`` an article or main element or not.
+
+    A tag or role names furniture everywhere, a class word on blocks, and outside of articles also on
+    headings and inline elements. An id word does on blocks only; where ids are slugs (in articles and
+    on sections) every word of the id must be one of furniture or layout.
+    """
+    values: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            hidden = True
-        elif name == "style":
-            hidden = hidden or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
-        else:
-            words += _WORDS.findall(value)
-    furniture = tag in FURNITURE_TAGS or (tag not in ("html", "body", "main", "article") or "comment" in words) and not FURNITURE_WORDS.isdisjoint(words)
-    return f"{tag}.{'.'.join(sorted(set(words)))}" if words else tag, furniture, hidden
+        values.setdefault(m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower())
+    hidden = "hidden" in values or values.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")))
+    role, own, by_id = (_WORDS.findall(" ".join(values.get(name, "") for name in names)) for names in (("role",), ("class", "itemprop"), ("id",)))
+    text = tag in HEADINGS or tag not in BLOCKS
+    named = set(role)
+    if not (text and inside):
+        named.update(own)
+    if not text and not ((inside or tag in ("section", "article")) and not FURNITURE_WORDS.union(LAYOUT_WORDS).issuperset(by_id)):
+        named.update(by_id)
+    furniture = tag in FURNITURE_TAGS or (tag not in ("html", "body", "main", "article") or "comment" in named) and not FURNITURE_WORDS.isdisjoint(named)
+    words = {*role, *own, *by_id}
+    return f"{tag}.{'.'.join(sorted(words))}" if words else tag, furniture, hidden
 
 
 class Page:
     """Block elements of a page in order, as parallel lists; ``blocks`` are (element, text)."""
 
-    __slots__ = ("keys", "parents", "tags", "labels", "furniture", "blocks")
+    __slots__ = ("keys", "parents", "tags", "labels", "furniture", "inside", "blocks")
 
     def __init__(self, source: str):
-        self.keys, self.parents, self.tags, self.labels, self.furniture, self.blocks = [0], [-1], [""], [""], [False], []
-        stack, text, n = [0], [], len(source)
-
-        def flush() -> None:
-            if text:
-                joined = " ".join(html.unescape("".join(text)).split())
-                text.clear()
-                if joined:
-                    self.blocks.append((stack[-1], joined))
+        self.keys, self.parents, self.tags, self.labels, self.furniture, self.inside, self.blocks = [0], [-1], [""], [""], [False], [False], []
+        # pieces of the line that each open element has so far: an inline element does not end the line around it
+        stack, lines, n = [0], [[]], len(source)
+
+        def flush(down_to: int = 0) -> None:
+            first = len(stack) - 1
+            while first > down_to and self.tags[stack[first]] not in BLOCKS:
+                first -= 1
+            for k in range(first, len(stack)):
+                if lines[k]:
+                    joined = " ".join(html.unescape("".join(lines[k])).split())
+                    lines[k].clear()
+                    if joined:
+                        self.blocks.append((stack[k], joined))
 
         def close(down_to: int) -> None:
-            flush()
-            del stack[down_to:]
+            inline = all(self.tags[i] not in BLOCKS for i in stack[down_to:])
+            flush(down_to if inline else 0)
+            del stack[down_to:], lines[down_to:]
 
         position = 0
         while position < n:
             m = _TOKEN.search(source, position)
             if m is None:
-                text.append(source[position:])
+                lines[-1].append(source[position:])
                 break
             if m.start() > position:
-                text.append(source[position : m.start()])
+                lines[-1].append(source[position : m.start()])
             position = m.end()
             if m.group(2) is None:
                 continue
@@ -135,34 +156,34 @@ class Page:
                 if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
                     end = _RAW_END[tag].search(source, position)
                     position = end.end() if end else n
-                text.append(" ")
+                lines[-1].append(" ")
                 continue
             if tag in VOID:
                 if tag in ("br", "hr"):
-                    text.append(" ")
+                    lines[-1].append(" ")
                 if tag != "hr":
                     continue
             block = tag in BLOCKS
-            label, furniture, hidden = presentation(tag, attributes)
-            if not block and not furniture and not hidden:
-                continue
             if block:
                 self._close_before(tag, stack, close)
-            flush()
+                flush()
             if tag in VOID:
                 continue
             parent = stack[-1]
+            inside = self.inside[parent]
+            label, furniture, hidden = presentation(tag, attributes, inside)
+            if not block and not furniture and not hidden:
+                continue
             self.keys.append(node_key(self.keys[parent], label))
             self.parents.append(parent)
             self.tags.append(tag)
             self.labels.append(label)
-            self.furniture.append(furniture or hidden or tag == "header" and not self._inside(stack, ("article", "main")))
+            self.furniture.append(furniture or hidden or tag == "header" and not inside)
+            self.inside.append(inside or tag in ("article", "main"))
             stack.append(len(self.keys) - 1)
+            lines.append([])
         flush()
 
-    def _inside(self, stack: list[int], tags: tuple[str, ...]) -> bool:
-        return any(self.tags[i] in tags for i in stack)
-
     def _close_before(self, tag: str, stack: list[int], close) -> None:
         for k in range(len(stack) - 1, 0, -1):
             open_tag = self.tags[stack[k]]

@@ -60,3 +60,14 @@ def test_extraction_on_test_pages(tables):
         inside = re.sub(r"<[^>]*$", "", article.group(1)) if article else ""
         blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside))
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("body,expected", [
+    ("<article><p>see <a href='/hidden-places'>the valley</a> and <a title='the hidden valley' href=\"?id=share\">more</a></p><p data-id='social'>x</p><p data-hidden=1 title=\"class='ad'\">y</p></article>", "see the valley and more\nx\ny"),
+    ("<article><h2 id='social-costs'>Costs</h2><h3 class='share'>S</h3><section id='related-work'><h2 id=related-work>Work</h2><p>w</p></section><p>on <a id='cookie-law' class='tags'>law</a> here</p></article>", "Costs\nS\nWork\nw\non law here"),
+    ("<article id='comment-on-budget'><p>a <span hidden>no</span> b<span style='display:none'><b>no</b></span></p><div id='share-buttons'>no</div><div class='related'>no</div><p id='comments'>no</p></article>", "a b"),
+    ("<div><h2 id='social-costs'>Costs</h2><div>one <a class='skip'>no</a> two <span hidden>x<div>y</div></span> three</div></div>", "Costs\none two\nthree"),
+    ("<article><p hidden>no</p><p class='lead' / hidden>no</p><p class=a HIDDEN=''>no</p><p class=\"x\"hidden>no</p><p>yes</article>", "yes"),
+])
+def test_attributes_are_read_one_by_one(spark, body, expected):
+    assert texts(spark, [(1, "https://a.example/x", FRAME % body)])[1] == (expected, len(expected))
