@@ -13,10 +13,13 @@
    sequences, -sum p log_m p. Both are combined as (1 - g^l) layout + g^l content for l distinct
    layouts, where g = 0.9, so nodes with one layout are judged by content.
 4. Each page is cut: branches whose presentation names furniture (menus, headers, footers, sidebars,
-   notices, adverts, forms, comments) or whose node's importance on at least ``PAGES`` pages is
-   below ``LEAST`` go; inside an article or main element only named furniture goes. If a page has
-   an article (else a main) element, its text is the text in it. Headings and inline elements of an
-   article stay whatever their class or id, and slug ids ("related-work") name no furniture there.
+   notices, adverts, forms, comments) go. So do noisy branches, everywhere: those whose node and
+   all nodes with text below it have an importance under ``LEAST`` on at least ``PAGES`` pages. In
+   articles, headings and the parts of lists and tables go only with the branch around them.
+   Headings and inline elements of an article stay whatever their class or id, and slug ids
+   ("related-work") name no furniture there.
+5. Of the text that is left (named furniture apart, all text if everything is noisy), the zone is
+   the articles if they hold at least half of its characters, else main if that does, else all.
 
 Low-importance nodes travel to the pages by a join on host and salt, so pages of a hot host are
 spread; the list per host has at most the nodes of its templates.
@@ -59,6 +62,8 @@ LAYOUT_WORDS = frozenset(
     "area articles bar block body bottom box button buttons center col column container content div form global group head heading holder icon icons inner item items left link links list lower main message module outer page panel post posts primary right row secondary section site stories strip text thread title top upper wrap wrapper".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text many pages of a template share ("Ingredients", column titles) though it belongs to each page's text.
+PARTS = HEADINGS | frozenset("hgroup li dt dd caption figcaption legend thead tbody tfoot tr th td".split())
 
 _TOKEN = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z))""", re.S
@@ -202,22 +207,30 @@ class Page:
                     break
 
     def text(self, low: frozenset[int] = frozenset()) -> str:
-        """The text of the branches that stay."""
+        """The text of the branches that stay, in the zone that holds most of it."""
         n = len(self.keys)
-        gone, weak, zone = [False] * n, [False] * n, [""] * n
+        filled, keeps, noisy = [False] * n, [False] * n, [False] * n
+        for i, _ in self.blocks:
+            filled[i] = True
+        for i in range(n - 1, 0, -1):
+            noisy[i] = self.keys[i] in low and not keeps[i]
+            if filled[i] and not self.furniture[i]:
+                filled[self.parents[i]] = True
+                keeps[self.parents[i]] |= not noisy[i]
+        gone, weak, zones = [False] * n, [False] * n, {"article": [False] * n, "main": [False] * n}
         for i in range(1, n):
             p = self.parents[i]
             gone[i] = gone[p] or self.furniture[i]
-            zone[i] = zone[p]
-            if not gone[i] and self.tags[i] in ("article", "main") and zone[p] != "article":
-                zone[i] = self.tags[i]
-            weak[i] = weak[p] or (not zone[i] and self.keys[i] in low)
+            weak[i] = weak[p] or noisy[i] and not (self.inside[i] and self.tags[i] in PARTS)
+            for name, zone in zones.items():
+                zone[i] = zone[p] or self.tags[i] == name
         left = [(i, t) for i, t in self.blocks if not gone[i]]
-        for name in ("article", "main"):
-            if any(zone[i] == name for i, _ in left):
-                return "\n".join(t for i, t in left if zone[i] == name)
-        strong = [(i, t) for i, t in left if not weak[i]]
-        return "\n".join(t for _, t in strong or left)
+        left = [(i, t) for i, t in left if not weak[i]] or left
+        for zone in zones.values():
+            own = [t for i, t in left if zone[i]]
+            if own and 2 * sum(map(len, own)) >= sum(len(t) for _, t in left):
+                return "\n".join(own)
+        return "\n".join(t for _, t in left)
 
 
 def _value(text: str) -> int:
@@ -254,8 +267,7 @@ def observations(pages: DataFrame, html_col: str = "html") -> DataFrame:
                     children[page.parents[i]].append(page.labels[i])
                 seen = set()
                 for i, own in enumerate(children):
-                    if own:
-                        seen.add((i, 0, _value(" ".join(own))))
+                    seen.add((i, 0, _value(" ".join(own))))  # of elements without children too: it counts the node's pages
                 seen.update((i, 1, _value(t)) for i, t in page.blocks)
                 for i, kind, value in {(page.keys[i], k, v): (i, k, v) for i, k, v in seen}.values():
                     key = page.keys[i]

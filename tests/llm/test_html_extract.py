@@ -71,3 +71,22 @@ def test_extraction_on_test_pages(tables):
 ])
 def test_attributes_are_read_one_by_one(spark, body, expected):
     assert texts(spark, [(1, "https://a.example/x", FRAME % body)])[1] == (expected, len(expected))
+
+
+def test_importance_decides_inside_articles_and_on_the_zone(spark):
+    def page(i, body):
+        return (i, f"https://site.example/{i}", f"<body>{body}</body>")
+
+    story = "Story {0} of the town and all that it saw in year {0}"
+    boxed = [page(i, f"<article><h2>Facts</h2><p>{story.format(i)}</p><ul><li>Source</li><li>Place {i}</li></ul><div class='box'><h3>Sale</h3><p>Call us now</p></div></article>") for i in range(12)]
+    assert texts(spark, boxed)[5][0] == f"Facts\n{story.format(5)}\nSource\nPlace 5"
+    carded = [page(i, f"<div class='body'><p>{story.format(i)}</p></div><article class='card'><p>Try our app</p></article>") for i in range(12)]
+    assert texts(spark, carded)[5][0] == story.format(5)
+    assert texts(spark, carded[:1])[0][0] == story.format(0) + "\nTry our app"  # no evidence: nothing is lost
+
+
+def test_copies_on_a_host_are_no_furniture(spark):
+    """Two articles, five addresses each: a text on half of the pages stays, and a host of one page only keeps its text."""
+    two = [(i, f"https://site.example/{i}", f"<article><h1>T{i % 2}</h1><p>text of {i % 2}</p><p>end of {i % 2}</p></article>") for i in range(10)]
+    assert texts(spark, two)[3][0] == "T1\ntext of 1\nend of 1"
+    assert texts(spark, two[1::2])[3][0] == "T1\ntext of 1\nend of 1"
