@@ -4,13 +4,13 @@ Base kinds (leftmost, non-overlapping, per kind): ``assign`` (a keyword, ``:`` o
 6 or more characters), ``access`` (AKIA key ids of 20 or more), ``hex`` (24 or more lower-case hex digits).
 
 Added kind ``entropy``: candidate strings are maximal runs of ``[A-Za-z0-9+/_=-]`` of at least
-``WINDOW`` characters with a digit in them. A window of ``WINDOW`` characters slides over each;
+``WINDOW`` characters, whatever they consist of. A window of ``WINDOW`` characters slides over each;
 the number of each character in the window is kept in an array and one character enters and one
 leaves at a step, which changes the sum of n log2 n by two differences. The Shannon entropy
 log2(W) - sum / W is compared with the threshold of the candidate's character class (decimal,
-hexadecimal, other). Overlapping windows above it merge to one span. Candidates that match an
-allow-list pattern (identifiers such as UUIDs, dates, paths of words, sample values) are
-suppressed; the base spans never are.
+hexadecimal, letters, other). Overlapping windows above it merge to one span. Candidates that match an
+allow-list pattern (identifiers such as UUIDs, dates and times, paths of words, camel-case names,
+sample values) are suppressed; the base spans never are.
 
 Positions of matches come from the lengths of the pieces between them: the pieces and matches of a
 text become rows and are added up in a window over the text's rows, so cost is linear in the text
@@ -27,13 +27,18 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WINDOW = 20
-THRESHOLDS = {"decimal": 3.0, "hexadecimal": 3.0, "other": 3.8}
+THRESHOLDS = {"decimal": 3.0, "hexadecimal": 3.0, "letters": 3.8, "other": 3.8}
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
-#: A candidate that one of these finds is no secret: UUIDs, dates and times, words joined by a separator, sample values.
+_MONTH, _DAY, _YEAR = "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])", "(?:19|20)[0-9]{2}"
+_DATE = f"(?:{_YEAR}[/_-]?{_MONTH}[/_-]?{_DAY}|{_DAY}[/_-]{_MONTH}[/_-]{_YEAR}|{_MONTH}[/_-]{_DAY}[/_-]{_YEAR})"
+_TIME = "(?:[01][0-9]|2[0-3])[_-]?[0-5][0-9](?:[_-]?[0-5][0-9][0-9]{0,6})?"
+#: A candidate that one of these finds is no secret: UUIDs, dates and times (also ranges of them), separators, words joined by a separator or by capitals, sample values.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T.*)?$",
-    r"^[0-9+=_/-]+$",
+    rf"^{_DATE}(?:[+=_/-]*{_TIME})?(?:[+=_/-]+(?:{_DATE}(?:[+=_/-]*{_TIME})?|{_TIME}))*[+=_/-]*$",
+    r"^[+=_/-]+$",
+    r"^[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})+$",
     r"^/?(?:[A-Za-z]{2,}[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",
     r"(?i:example|sample|dummy|placeholder|changeme|xxxxxx)",
 )
@@ -45,7 +50,7 @@ BASE = (
     ("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 _RUN = "A-Za-z0-9+/_=-"
-CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]*[0-9])[{_RUN}]{{{WINDOW},}}"
+CANDIDATE = rf"(?<![{_RUN}])[{_RUN}]{{{WINDOW},}}"
 
 
 def high_windows(candidate: Column, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS) -> Column:
@@ -55,6 +60,7 @@ def high_windows(candidate: Column, window: int = WINDOW, thresholds: dict[str,
     least = (
         F.when(candidate.rlike("^[0-9]+$"), thresholds["decimal"])
         .when(candidate.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), thresholds["hexadecimal"])
+        .when(candidate.rlike("^[A-Za-z]+$"), thresholds["letters"])
         .otherwise(thresholds["other"])
     )
     most = (F.lit(math.log2(window)) - least) * window + F.lit(1e-9)

@@ -78,3 +78,39 @@ def test_test_data_against_brute_force(tables, name):
     got = found(docs)
     assert len(got) == len(texts)
     assert all(v == brute(texts[i]) for i, v in got)
+
+
+def spans_of(text):
+    """Entropy spans by a rule of their own: every run of 20 or more, without an allow-list."""
+    spans, position = [], 0
+    least = {"d": 3.0, "x": 3.0, "l": 3.8, "o": 3.8}
+    for piece in re.split(r"([^A-Za-z0-9+/_=-]+)", text):
+        hexadecimal = set(piece) <= set("0123456789abcdef") or set(piece) <= set("0123456789ABCDEF")
+        kind = "d" if piece.isdigit() else "x" if hexadecimal else "l" if piece.isalpha() else "o"
+        inside = set()
+        for i in range(len(piece) - 19):
+            if -sum(n / 20 * math.log2(n / 20) for n in Counter(piece[i : i + 20]).values()) >= least[kind] - 1e-9:
+                inside.update(range(i, i + 20))
+        for i in sorted(inside):
+            if i - 1 not in inside:
+                spans.append([position + i, 0])
+            spans[-1][1] = position + i + 1
+        position += len(piece)
+    return [f"entropy:{a}:{b}" for a, b in spans]
+
+
+def entropy_spans(df):
+    return {r.doc_id: [s for s in r.spans.split(",") if s.startswith("entropy")] for r in S.report(S.find_secrets(df)).collect()}
+
+
+def test_all_runs_are_candidates(make_docs):
+    """Digits only, letters only and digitless base64 are scored; real dates, separators and names are not secrets."""
+    digits, letters, mixed = "83190274655019283746", "kXqLrVbNzTyWmPhGsDfJ", "kXq+LrVb/NzTyWmPhGsDfJ="
+    rnd = random.Random(11)
+    alphabets = ["0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdef0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"]
+    texts = [digits, f"key {letters}.", f"({mixed})"] + [" . ".join("".join(rnd.choice(rnd.choice([a, a, alphabets[0]]) if i % 5 == 4 else a) for _ in range(rnd.randint(18, 45))) for a in alphabets) for i in range(200)]
+    want = dict(enumerate(map(spans_of, texts)))
+    assert want[0] == ["entropy:0:20"] and want[1] == ["entropy:4:24"] and want[2] == ["entropy:1:24"]
+    assert entropy_spans(make_docs(list(enumerate(texts)))) == want
+    fine = ["20240102030405678901", "2024-01-02/2025-11-30_23-59-58", "31/12/2024-01/02/2025", "20231130-20240102_0304", "=" * 40, "-_/+=" * 6, "ComplexVirtualFactoryBeanWidgetsJungle", "plain/words/joined-by_separators"]
+    assert entropy_spans(make_docs(list(enumerate(fine)))) == {i: [] for i in range(len(fine))}
