@@ -28,13 +28,15 @@ Nothing is collected; a hot bucket or class is aggregated per task before the sh
 with skew handling. Steps are checkpointed in the shared folder.
 
 Defined results: null or empty text (or one without words) has no shingles; all such rows are one
-text class, without links to others; a null id is left out of classes and returned as its own
+text class, without links to others, or with ``wordless_apart`` (the query and the pipeline) one
+text class for each distinct text, null as empty; a null id is left out of classes and returned as its own
 with null columns; rows that repeat an id count as one document (and are each returned); an
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,8 +123,11 @@ def _slices(batch: pa.RecordBatch, column: str):
         yield from ts.text_groups(batch.slice(i, 1 << DOC_BITS), column)
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, bands): a 128-bit key of the shingle multiset and the band keys (none without shingles)."""
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wordless_apart: bool = False) -> DataFrame:
+    """(id, key, bands): a 128-bit key of the shingle multiset and the band keys (none without shingles).
+
+    With ``wordless_apart`` a text without shingles has a key of its bytes instead of the common one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,6 +145,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                         for k, salt in enumerate((0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
                             key[filled, k] = np.add.reduceat(ts.mix(both ^ np.uint64(salt)), at)
                     bands = band_keys(signatures(dense, item, weight, len(filled)))
+                if wordless_apart:
+                    for i in np.setdiff1d(np.arange(n), filled).tolist():
+                        key[i] = np.frombuffer(hashlib.blake2b(data[offsets[i] : offsets[i + 1]].tobytes(), digest_size=16).digest(), np.uint64)
                 size = np.zeros(n, np.int64)
                 size[filled] = SLOTS // ROWS
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
@@ -262,9 +270,9 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
 
 
-def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, wordless_apart: bool = False) -> tuple[DataFrame, DataFrame]:
     """((id, text_class) of all documents, verified links (a, b) between text classes that settle all components)."""
-    own = common.stored(sketches(docs, id_col, text_col))
+    own = common.stored(sketches(docs, id_col, text_col, wordless_apart))
     classes = own.groupBy("key").agg(F.min("id").alias("text_class"))
     membership = own.select("id", "key").distinct().join(classes, "key").groupBy("id").agg(F.min("text_class").alias("text_class"))
     heads = own.join(classes, (own["key"] == classes["key"]) & (F.col("id") == F.col("text_class"))).select("id", F.explode("bands").alias("band"))
@@ -293,10 +301,10 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return membership, common.stored(links.unionByName(more).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, wordless_apart: bool = False) -> DataFrame:
     """Per row: id, ``text_class`` (smallest id with the same shingles), ``class_id`` (smallest id of its near-duplicate
     class), ``class_size`` (documents in it), ``n_links`` (verified links of its text class), ``kept`` (is the class id)."""
-    membership, links = link_classes(docs, id_col, text_col, threshold)
+    membership, links = link_classes(docs, id_col, text_col, threshold, wordless_apart)
     ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     heads = components(links).withColumnRenamed("component", "class_id").join(degree, "id").withColumnRenamed("id", "text_class")
@@ -309,7 +317,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, wordless_apart: bool = False) -> DataFrame:
     """The rows that stay, one document of each class, with all their columns (rows without an id stay)."""
-    gone = common.written(near_duplicates(docs, id_col, text_col, threshold).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
+    gone = common.written(near_duplicates(docs, id_col, text_col, threshold, wordless_apart).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

@@ -23,7 +23,7 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), wordless_apart=True)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,15 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 200), (300, 200)], "a long, b long")
     got = {r.id: r.component for r in N.components(edges).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_wordless_texts_share_a_class_only_if_equal(spark, make_docs, tmp_path):
+    import corpus_pipeline
+    from starbeam.llm import queries
+
+    texts = {1: "?!", 2: "====", 3: "", 4: None, 5: "?!", 6: "? !", 7: "one two", 8: "One, two!", 9: " "}
+    docs = make_docs(list(texts.items()))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.text_class, r.class_id, r.class_size) for r in queries.op2_minhash_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 1, 2), 2: (2, 2, 1), 3: (3, 3, 2), 4: (3, 3, 2), 5: (1, 1, 2), 6: (6, 6, 1), 7: (7, 7, 2), 8: (7, 7, 2), 9: (9, 9, 1)}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()} == {1, 2, 3, 6, 7, 9}
