@@ -85,7 +85,7 @@ def malformed_rows(spark, table_name: str, rows: int) -> DataFrame:
 
 
 def values_lost(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """DQ9: cleaned values that are null for another reason than a missing input: line amounts
+    """DQ9: cleaned values that are null, missing inputs included: line amounts
     beyond the type, sales without a readable order date, products without a readable start
     date, and product keys of fewer than three segments (empty after the split)."""
     lines = sales.agg(F.count_if(F.col("sales_amount").isNull()).alias("amount_overflow"),
