@@ -8,7 +8,7 @@ are held for a whole text.
 
 from __future__ import annotations
 
-import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +17,9 @@ import pyarrow as pa
 BLOCK = 1 << 17
 GROUP_BYTES = 1 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE_VALUE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Longer ranges are hashed one by one with BLAKE2b.
+LONG = 128
 
 
 def byte_table(predicate) -> np.ndarray:
@@ -43,34 +43,30 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-@functools.cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    with np.errstate(over="ignore"):
-        for base in (_BASE, _BASE_INVERSE):
-            p = np.full(size + 1, base, dtype=np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, at least ``n`` of each."""
-    return _powers(max(BLOCK, 1 << max(0, int(n) - 1).bit_length()))
-
-
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
-    """64-bit hash of each byte range ``[start, end)`` of ``data`` (ranges may be any, in order or not)."""
+    """64-bit hash of each byte range ``[start, end)`` of ``data`` (ranges may be any, in order or not).
+
+    A range is read eight bytes at a time and each piece goes through the finaliser together with the
+    hash so far, so no sum over positions can cancel out; ranges over ``LONG`` bytes take BLAKE2b.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    p, q = powers(len(data))
-    values = _BYTE_VALUE if fold is None else _BYTE_VALUE[fold]
+    if fold is not None:
+        data = fold[data]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    pieces = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = ends - starts
     with np.errstate(over="ignore"):
-        sums = np.empty(len(data) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(values[data] * p[: len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * q[starts]
-        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        h = (size.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        on = np.arange(len(starts))
+        for k in range(0, min(int(size.max(initial=0)), LONG), 8):
+            on = on[size[on] > k]
+            left = np.minimum(size[on] - k, 8).astype(np.uint64)
+            h[on] = mix(h[on] ^ (pieces[starts[on] + k] & (_ALL >> (np.uint64(64) - np.uint64(8) * left))))
+        h = mix(h + np.uint64(0x9E3779B97F4A7C15))
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def scan_words(data: np.ndarray, row_starts: np.ndarray, table: np.ndarray, fold: np.ndarray | None = None):
