@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, near_dup, secret_scan, substring_dedup, token_counts, toxicity
+from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, merkle, near_dup, secret_scan, substring_dedup, token_counts, toxicity
 from starbeam.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -62,5 +62,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_substring_dedup, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"), altered=merkle.line_breaks_deleted())
+    return merkle.report(found)
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_substring_dedup, op10_token_counts, op13_merkle_manifest)}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
