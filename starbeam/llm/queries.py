@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, merkle, near_dup, secret_scan, spelling, substring_dedup, token_counts, toxicity
+from starbeam.llm import bpe, chat, decontam, exact_dedup, html_extract, jaccard_join, merkle, near_dup, secret_scan, spelling, substring_dedup, token_counts, toxicity
 from starbeam.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -66,10 +66,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"), slips=spelling.SLIPS)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(table(spark, sf_dir, "documents"), altered=merkle.line_breaks_deleted())
     return merkle.report(found)
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_substring_dedup, op10_token_counts, op11_spelling_variants, op13_merkle_manifest)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_html_extract, op2_minhash_dedup, op3_exact_dedup, op4_chat_format, op5_decontamination, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_substring_dedup, op10_token_counts, op11_spelling_variants, op12_jaccard_join, op13_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
