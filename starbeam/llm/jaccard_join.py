@@ -118,7 +118,8 @@ def windows(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     tokens = nodes.select("id", F.posexplode("tokens").alias("at", "s"), "marked")
     tokens = tokens.select("id", "s", (F.col("at") >= F.col("marked")).alias("extra"))
     shared = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = tokens.join(shared, "s").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("extra", "df", "s"))).alias("held"))
+    # one plan at every size: both sides are as large as the corpus
+    held = tokens.join(shared.hint("merge"), "s").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("extra", "df", "s"))).alias("held"))
     held = held.join(nodes.select("id", "n", "marked"), "id")
     first = F.filter("held", lambda t: ~t["extra"])
     need = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
@@ -133,10 +134,12 @@ def coarse_regions(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the width is a hair above the ratio, so rounding cannot put a partner two bands away
     width = math.log(100 / percent) * (1 + 1e-9) + 1e-9
     band = F.floor(F.log("n") / width).cast("int")
-    entries = windows(nodes, percent).select("id", "s", F.explode(F.array(band, band + 1)).alias("band"))
+    entries = windows(nodes, percent).select("id", "s", F.posexplode(F.array(band, band + 1)).alias("up", "band"))
     entries = common.written(entries)
-    drawn = entries.groupBy("s", "band").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("s", "band", "pivot")
-    return entries.join(drawn, ["s", "band"]).select(F.concat_ws(":", "band", "pivot").alias("region"), "id").distinct()
+    # the larger set of a pair is in its own band: a region where all are from the band below holds no pair of its own
+    drawn = entries.groupBy("s", "band").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("size"), F.min("up").alias("up"))
+    drawn = drawn.where("size > 1 and up = 0").select("s", "band", "pivot")
+    return entries.join(drawn.hint("merge"), ["s", "band"]).select(F.concat_ws(":", "band", "pivot").alias("region"), "id").distinct()
 
 
 def linked(a: int, b: int, both: np.ndarray, percent: int = PERCENT):
@@ -364,13 +367,15 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = common.written(sketches(docs, id_col, text_col, percent))
     filled = own.where("n > 0 and id is not null")
     # a node is a set; the smallest id that has it stands for it, and further ids with the set link to that one
-    nodes = filled.groupBy("key").agg(F.min_by(F.struct("id", "no", "print", "n", "marked", "tokens"), F.struct("id", "no")).alias("x"))
-    nodes = common.written(nodes.select("key", F.col("x.id").alias("name"), F.col("x.no").alias("id"), "x.print", "x.n", "x.marked", "x.tokens"))
-    same = filled.select("key", "id").join(nodes.select("key", "name"), "key").select(F.col("id").alias("a"), F.col("name").alias("b"))
+    first = filled.groupBy("key").agg(F.min(F.struct("id", "no")).alias("x")).select("key", F.col("x.id").alias("name"), F.col("x.no").alias("first_no"))
+    placed = common.written(filled.select("key", "id", "no").join(first, "key").select("id", "no", "name", "first_no"))
+    same = placed.where("id <> name").select(F.col("id").alias("a"), F.col("name").alias("b")).distinct()
+    copies = common.written(placed.where("no <> first_no").select(F.col("no").alias("copy")))
+    nodes = filled.join(copies, F.col("no") == F.col("copy"), "left_anti").select(F.col("no").alias("id"), F.col("id").alias("name"), "print", "n", "marked", "tokens")
     found = links(_texts(docs, id_col, text_col), nodes, percent)
     for end in ("a", "b"):
         found = found.withColumnRenamed(end, "id").join(nodes.select("id", F.col("name").alias(end)), "id").drop("id")
-    groups = near_dup.components(found.select("a", "b").unionByName(same.where("a <> b")))
+    groups = near_dup.components(found.select("a", "b").unionByName(same))
     groups = groups.select(F.col("id").alias("member"), "component")
     rows = own.select("id", "n").join(groups, F.col("id") == F.col("member"), "left")
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
