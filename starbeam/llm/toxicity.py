@@ -71,27 +71,29 @@ def fold_table() -> np.ndarray:
 
 
 def fold(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray]:
-    """(folded text of all rows, one blank around every word; row offsets into it)."""
-    if not len(data):
-        return " ", np.zeros(len(offsets), np.int64)
+    """(folded text of all rows, one blank around every word and a line feed between rows; offset of each row's first blank)."""
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    place = np.cumsum((data & 0xC0) != 0x80)
-    rows = np.where(offsets > 0, place[np.maximum(offsets, 1) - 1], 0)
+    place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    # a border of blank, line feed, blank before every row and after the last: nothing is read across it
+    border = np.repeat(place[offsets], 3)
+    mark = np.tile(np.array([0x20, 0x0A, 0x20], np.uint32), len(offsets))
+    points = np.insert(points, border, np.uint32(0x20))
     folded = fold_table()[points]
+    rows = place[offsets] + 3 * np.arange(len(offsets)) + 2
+    inner = np.ones(len(points), bool)
+    inner[rows], inner[rows - 1], inner[rows - 2] = False, False, False
     for sign, letter in SIGNS.items():
-        at = np.flatnonzero(points == ord(sign))
-        at = at[(at > 0) & (at < len(points) - 1)]
+        at = np.flatnonzero((points == ord(sign)) & inner)
         at = at[(folded[at - 1] != 0x20) & (folded[at + 1] != 0x20)]
         folded[at] = ord(letter)
+    folded[~inner] = mark
     keep = folded != 0
     kept = np.concatenate([[0], np.cumsum(keep)])
     folded, rows = folded[keep], kept[rows]
-    folded = np.insert(folded, rows, 0x20)
-    rows = rows + np.arange(len(rows))
     keep = np.ones(len(folded), bool)
     keep[1:] = (folded[1:] != 0x20) | (folded[:-1] != 0x20)
     kept = np.concatenate([[0], np.cumsum(keep)])
-    return folded[keep].astype("<u4").tobytes().decode("utf-32-le"), np.maximum(kept[rows + 1] - 1, 0)
+    return folded[keep].astype("<u4").tobytes().decode("utf-32-le"), kept[rows + 1] - 1
 
 
 @dataclass
@@ -134,12 +136,15 @@ def evidence(automaton, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
             weights.append(weight)
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     blanks = np.concatenate([[0], np.cumsum(points == 0x20)])
-    words = np.maximum(blanks[rows[1:]] - blanks[rows[:-1]], 0)
+    words = np.maximum(blanks[rows[1:]] - blanks[rows[:-1]] - 1, 0)
     total = np.zeros(n)
     if ends:
         end, size, weight = np.array(ends), np.array(sizes), np.array(weights)
-        for a, b in excepted:
-            weight[(end - size + 1 >= a) & (end <= b)] = 0.0
+        if excepted:
+            # a match lies inside a phrase if one that begins no later ends no earlier
+            begin, stop = np.array(sorted(excepted)).T
+            before = np.searchsorted(begin, end - size + 1, "right") - 1
+            weight[(before >= 0) & (np.maximum.accumulate(stop)[np.maximum(before, 0)] >= end)] = 0.0
         # a stem counts where its word goes on; of stems and words that start together, the heaviest counts
         start = end - size + 1
         weight[points[np.minimum(end + 1, len(points) - 1)] == np.where(points[end] == 0x20, 0xFFFFFFFF, 0x20)] = 0.0

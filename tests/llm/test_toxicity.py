@@ -83,3 +83,78 @@ def test_empty_tables_and_kept_rows(spark, make_docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, None}
     odd = spark.createDataFrame([(1, 1, None), (None, 1, 1), (1, 1, 1), (1, 1, 0)], LABELS)
     T.learn(make_docs([(1, "x")]), odd)
+
+
+EDGES = ["hello", "$cum", "hello ", "$cum", "big trash", "can do", "a$", "$b", "", None, "@", "x@", "\u200b$", "idi", "ot idiot", "trash can", "wow$ $a trash", "can", "\n", "é$é"]
+
+
+def plain_fold(text):
+    """Folding of one text, letter by letter."""
+    table, text = T.fold_table(), text or ""
+    out = [int(table[ord(c)]) for c in text]
+    for sign, letter in T.SIGNS.items():
+        before = list(out)
+        for k, c in enumerate(text):
+            if c == sign and 0 < k < len(text) - 1 and before[k - 1] != 0x20 and before[k + 1] != 0x20:
+                out[k] = ord(letter)
+    return "".join(chr(p) for p in out if p).split(" ") if text else []
+
+
+def test_a_row_is_folded_by_itself():
+    data, offsets = ts.flat_text(pa.array(EDGES))
+    out, rows = T.fold(data, offsets)
+    alone = []
+    for text in EDGES:
+        d, o = ts.flat_text(pa.array([text], pa.string()))
+        t, r = T.fold(d, o)
+        alone.append(t[r[0] : r[1]])
+    assert [out[a:b] for a, b in zip(rows[:-1], rows[1:])] == alone
+    assert [a.split() for a in alone] == [[w for w in plain_fold(t) if w] for t in EDGES]
+
+
+def plain_evidence(model, text):
+    """Weights of the matches of one text by plain search: per start the heaviest, none inside an exception phrase."""
+    words = [w for w in plain_fold(text) if w]
+    line = " " + " ".join(words) + " " if words else " "
+    inside = set()
+    for phrase in model.exceptions:
+        k = line.find(f" {phrase} ")
+        while k >= 0:
+            inside.add((k, k + len(phrase) + 1))
+            k = line.find(f" {phrase} ", k + 1)
+    best = {}
+    for pattern, weight in model.weights.items():
+        k = line.find(pattern)
+        while k >= 0:
+            end = k + len(pattern) - 1
+            goes_on = end + 1 < len(line) and line[end + 1] != " "
+            if (pattern.endswith(" ") or goes_on) and not any(a <= k and end <= b for a, b in inside):
+                best[k] = max(best.get(k, 0), weight)
+            k = line.find(pattern, k + 1)
+    return sum(best.values()), len(words)
+
+
+def test_evidence_equals_plain_search_whatever_stands_beside():
+    model = T.Model({" idiot ": 2.0, " lowe": 1.5, " trash ": 3.0, " cum ": 3.0, " tra": 1.0}, ("trash can", "wow trash"), (-4.0, 4.0, 0.5))
+    rnd = random.Random(3)
+    parts = ["idiot", "trash", "can", "wow", "cum", "lower", "lowe", "$cum", "tr@sh", "x", " ", ".", "  ", "train"]
+    texts = EDGES + ["".join(rnd.choice(parts) + rnd.choice([" ", "", "-"]) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    data, offsets = ts.flat_text(pa.array(texts))
+    total, words = T.evidence(model.automaton(), data, offsets)
+    assert list(zip(total.tolist(), words.tolist())) == [plain_evidence(model, t) for t in texts]
+
+
+def test_scores_do_not_depend_on_partitions(make_docs):
+    docs = make_docs(list(enumerate(EDGES * 8)))
+    found = [sorted((r.doc_id, r.score) for r in T.score(docs.repartition(n), T.default_model()).collect()) for n in (1, 7, 50)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_many_exceptions_are_fast():
+    import time
+
+    model = T.Model({" trash ": 3.0}, ("trash can",), (-4.0, 4.0, 0.5))
+    data, offsets = ts.flat_text(pa.array(["trash can " * 100_000 + "trash"]))
+    automaton, began = model.automaton(), time.time()
+    total, _ = T.evidence(automaton, data, offsets)
+    assert total.tolist() == [3.0] and time.time() - began < 3
