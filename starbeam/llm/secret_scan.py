@@ -42,6 +42,15 @@ ALLOW = (
     r"^/?(?:[A-Za-z]{2,}[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",
     r"(?i:example|sample|dummy|placeholder|changeme|xxxxxx)",
 )
+#: The repeating ones of these as (head, step, tail). Steps are taken off one after another, because a repeated group of
+#: a pattern recurses once per repeat in the regular expressions of the JVM and a long run would exhaust its stack.
+_SEPARATOR, _UNIT_END = "[+=_/-]", "(?=[+=_/-]|$)"
+_MOMENT = rf"{_DATE}(?:{_TIME}|{_SEPARATOR}+(?!{_DATE}){_TIME})?{_UNIT_END}"
+CHAINS = {
+    ALLOW[2]: (_MOMENT, rf"{_SEPARATOR}+(?:{_MOMENT}|{_TIME}{_UNIT_END})", rf"{_SEPARATOR}*"),
+    ALLOW[4]: ("[A-Z]?[a-z]{2,}[A-Z][a-z]{2,}", "[A-Z][a-z]{2,}", ""),
+    ALLOW[5]: ("/?[A-Za-z]{2,}[0-9]{0,4}[/_=-]+", "[A-Za-z]{2,}[0-9]{0,4}[/_=-]+", "[A-Za-z]*[0-9]{0,4}"),
+}
 
 #: Fixed values of the contract: kind, pattern, group whose length counts, least length.
 BASE = (
@@ -53,6 +62,15 @@ _RUN = "A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![{_RUN}])[{_RUN}]{{{WINDOW},}}"
 
 
+def allowed(candidate: Column, pattern: str) -> Column:
+    """Does the allow-list pattern find something in the candidate?"""
+    if pattern not in CHAINS:
+        return candidate.rlike(pattern)
+    head, step, tail = CHAINS[pattern]
+    rest = F.regexp_replace(F.regexp_replace(candidate, f"^{head}", ""), rf"\G{step}", "")
+    return candidate.rlike(f"^{head}") & rest.rlike(f"^{tail}$")
+
+
 def high_windows(candidate: Column, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS) -> Column:
     """Array of (first, end) of the merged windows of an ASCII string whose entropy reaches its class's threshold."""
     codes = F.transform(F.filter(F.split(candidate, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET)))
@@ -124,7 +142,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if kind == "entropy":
                 fine = F.lit(False)
                 for pattern in allow:
-                    fine = fine | m["match"].rlike(pattern)
+                    fine = fine | allowed(m["match"], pattern)
                 spans = F.when(fine, none).otherwise(high_windows(m["match"], window))
             else:
                 spans = F.when(F.length(m["value"]) >= least, whole).otherwise(none)

@@ -114,3 +114,23 @@ def test_all_runs_are_candidates(make_docs):
     assert entropy_spans(make_docs(list(enumerate(texts)))) == want
     fine = ["20240102030405678901", "2024-01-02/2025-11-30_23-59-58", "31/12/2024-01/02/2025", "20231130-20240102_0304", "=" * 40, "-_/+=" * 6, "ComplexVirtualFactoryBeanWidgetsJungle", "plain/words/joined-by_separators"]
     assert entropy_spans(make_docs(list(enumerate(fine)))) == {i: [] for i in range(len(fine))}
+
+
+def test_long_runs_of_allowed_shapes(make_docs):
+    """Runs of 300,000 characters of every repeating shape of the allow-list; a repeated group would exhaust the JVM's stack."""
+    n = 300_000
+    shapes = ["ab/" * (n // 3), "Abc" * (n // 3), "2024-01-02/" * (n // 11), "2024-01-02_0304-" * (n // 16), "=" * n, "plain_words12-" * (n // 14)]
+    assert entropy_spans(make_docs(list(enumerate(shapes)))) == {i: [] for i in range(len(shapes))}
+
+
+@pytest.mark.parametrize("tail", ["", "9", "Q", "/x1y2"])
+def test_allow_list_equals_its_patterns(spark, tail):
+    """The step-by-step forms find what the patterns find; for dates no more than that (moments run together are not told apart by going back)."""
+    rnd = random.Random(2)
+    parts = ["ab", "Abc", "abc", "/", "-", "_", "12", "2024-01-02", "20240102", "03:04", "0304", "31/12/2024", "235959", "x", "AB", "="]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 9))) + tail for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in S.CHAINS:
+        got = [r.hit for r in df.select(S.allowed(df.t, pattern).alias("hit")).collect()]
+        wrong = [(t, g) for t, g in zip(texts, got) if g != bool(re.search(pattern, t)) and (g or pattern != S.ALLOW[2])]
+        assert not wrong, (pattern, wrong[:5])
