@@ -9,8 +9,9 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starbeam.operators.keys import surrogate_key
 from starbeam.session import ensure_checkpoint_dir
 
 
@@ -59,6 +60,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """(docs, column that tells every row apart): the id where it is never null and never repeated, else a number in
+    order of id (null last) and text that the returned table has as one more column."""
+    if docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows of an id")).where((F.col("`rows of an id`") > 1) | F.col(id_col).isNull()).isEmpty():
+        return docs, id_col
+    name = f"row_of_{id_col}"
+    while name in docs.columns:
+        name += "_"
+    return surrogate_key(docs, [F.col(id_col).asc_nulls_last(), F.xxhash64(text_col)], name), name
+
+
 def model_file(path: str, most: int = 32 << 20) -> bytes:
     """A vocabulary file as bytes, sent to the tasks by value so that executors need no local copy; at most 32 MB."""
     size = os.path.getsize(path)

@@ -175,9 +175,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows without a match, with all their columns. Rows without an id stay."""
-    hit = common.written(decontaminate(docs, benchmark, id_col, text_col, window).where("n_hit > 0").select(F.col(id_col).alias("hit_id")).distinct())
-    return docs.join(hit, docs[id_col] == hit["hit_id"], "left_anti")
+    """The rows without a match, with all their columns; rows without an id or with a repeated one are told apart."""
+    rows, key = common.told_apart(docs, id_col, text_col)
+    hit = common.written(decontaminate(rows, benchmark, key, text_col, window).where("n_hit > 0").select(F.col(key).alias("hit_id")).distinct())
+    return rows.join(hit, rows[key] == hit["hit_id"], "left_anti").select(*[rows[c] for c in docs.columns])
 
 
 def report(matches: DataFrame) -> DataFrame:

@@ -318,6 +318,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, wordless_apart: bool = False) -> DataFrame:
-    """The rows that stay, one document of each class, with all their columns (rows without an id stay)."""
-    gone = common.written(near_duplicates(docs, id_col, text_col, threshold, wordless_apart).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    """The rows that stay, one row of each class (that of the smallest id), with all their columns; rows without an id or with a repeated one are told apart."""
+    rows, key = common.told_apart(docs, id_col, text_col)
+    gone = common.written(near_duplicates(rows, key, text_col, threshold, wordless_apart).where("not kept").select(F.col(key).alias("gone_id")).distinct())
+    return rows.join(gone, rows[key] == gone["gone_id"], "left_anti").select(*[rows[c] for c in docs.columns])

@@ -68,7 +68,7 @@ def test_stages_take_effect_in_order(spark, corpus, tmp_path):
 
 def test_stage_names_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "byte_bpe"]
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_empty_corpus(spark, tmp_path):
@@ -77,3 +77,19 @@ def test_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_not_ids_are_dropped(spark, make_docs, tmp_path):
+    """Null ids, and ids repeated over different texts: no clean row goes, no copy or passage stays."""
+    rnd = random.Random(8)
+    item, other, clean, leak = _words(rnd, 30), _words(rnd, 60), _words(rnd, 60), _words(rnd, 20)
+    leak = f"{leak} {item} {leak}"
+    docs = make_docs([(1, other), (2, other), (2, clean), (None, other + " end"), (None, clean + " end"), (7, leak), (7, "calm words"), (None, leak + " x"), (None, "calm too")], clash=True)
+    near = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert near.columns == docs.columns
+    kept = sorted((str(r.doc_id), r.text) for r in near.collect())
+    assert kept == sorted([("1", other), ("2", clean), ("7", leak), ("7", "calm words"), ("None", "calm too")])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in left.collect()) == sorted((str(r.doc_id), r.text) for r in docs.collect() if item not in r.text)

@@ -52,3 +52,15 @@ def test_sliced_columns_and_nulls():
     column = pa.array(["skip", None, "ab", ""]).slice(1)
     data, offsets = ts.flat_text(column)
     assert data.tobytes() == b"ab" and offsets.tolist() == [0, 0, 2, 2]
+
+
+@pytest.mark.parametrize("bits", [10, 11, 12])
+def test_thue_morse_words_do_not_collide(bits):
+    """A sum over positions modulo 2^64 gives the word and its complement one hash, whatever the base."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1 << bits))
+    other = word.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer((word + other).encode(), np.uint8)
+    n = len(word)
+    for size in (n, 64, 128):
+        h = ts.range_hashes(data, np.array([0, n]), np.array([size, n + size]))
+        assert h[0] != h[1]
