@@ -92,11 +92,13 @@ def main(argv=None) -> int:
 def _run_sql(spark, args) -> int:
     import os
 
+    from starbeam.plans.table_store import read_table
+
     gold = {}
     for name in ("dim_customers", "dim_products", "dim_date", "fact_sales", "report_customers", "report_products"):
         path = os.path.join(args.out, "gold", name)
         if os.path.exists(path) or "://" in path:
-            gold[name] = spark.read.parquet(path)
+            gold[name] = read_table(spark, path)
     reports = {k: gold.pop(k) for k in ("report_customers", "report_products") if k in gold}
     warehouse.register_views(warehouse.star_from_gold(gold), reports)
     result = spark.sql(args.sql)

@@ -6,6 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from starbeam.plans.table_store import read_table, table_path
 from starbeam.config import FIXTURE
 from starbeam.plans import warehouse
 from starbeam.sources import raw_adapter
@@ -36,9 +37,9 @@ def test_full_run_succeeds_and_audits_every_table(run_result):
     assert res.rows("quality", "dq_results") and not res.errors
 
 
-def test_fact_is_partitioned_by_order_year(run_result):
+def test_fact_is_partitioned_by_order_year(spark, run_result):
     _, _, root = run_result
-    parts = [d for d in os.listdir(os.path.join(root, "gold", "fact_sales")) if d.startswith("order_year=")]
+    parts = [d for d in os.listdir(table_path(spark, os.path.join(root, "gold", "fact_sales"))) if d.startswith("order_year=")]
     assert len(parts) >= 5
 
 
@@ -63,7 +64,7 @@ def test_dq_results_one_frame(spark, run_result):
 
 def test_audit_is_stored(spark, run_result):
     res, _, root = run_result
-    stored = spark.read.parquet(os.path.join(root, "quality", "audit"))
+    stored = read_table(spark, os.path.join(root, "quality", "audit"))
     assert stored.count() == len(res.audit) and "rows_removed" in stored.columns
 
 
@@ -78,7 +79,7 @@ def test_a_failing_query_fails_the_run_and_the_others_are_written(spark, sf_smal
     res = warehouse.run(spark, raw_adapter.raw_tables(spark, sf_small), root, FIXTURE, full=True)
     assert not res.ok and res.failed_layer == "analytics" and len(res.errors) == 2
     assert {"analytics.q03_distinct_countries", "analytics.q10_products_by_category"} <= set(res.tables)
-    stored = spark.read.parquet(os.path.join(root, "quality", "audit"))
+    stored = read_table(spark, os.path.join(root, "quality", "audit"))
     assert stored.where("error IS NOT NULL").count() == 2
 
 
@@ -109,7 +110,7 @@ def test_command_line_run_with_extracts(sf_small, spark, capsys):
     out = capsys.readouterr().out
     assert code == 0 and "OK" in out
     ext = spark.read.option("header", "true").csv(os.path.join(root, "ext", "gold.dim_products"))
-    assert ext.count() == spark.read.parquet(os.path.join(root, "wh", "gold", "dim_products")).count()
+    assert ext.count() == read_table(spark, os.path.join(root, "wh", "gold", "dim_products")).count()
     assert "product_key" in ext.columns
 
 
