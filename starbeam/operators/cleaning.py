@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbeam import config
@@ -93,7 +93,7 @@ def parse_compact_dates(df: DataFrame, roles) -> DataFrame:
 
 def add_sales_amount(df: DataFrame) -> DataFrame:
     """CLN10: sales_amount = quantity x price (the stated line total is not used). A
-    product too large for the type is null and counted by DQ8; it ends no job."""
+    product too large for the type is null and counted by DQ9 and DQ10; it ends no job."""
     q, p = resolve(df.columns, "sales_quantity"), resolve(df.columns, "sales_price")
     if q is None or p is None:
         return df
@@ -139,21 +139,66 @@ def fill_missing_text(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- table cleaners
 
 
-def base_clean(df: DataFrame) -> DataFrame:
+def base_clean(df: DataFrame, watch=None) -> DataFrame:
     """CLN1 + CLN2, the first two steps of every table cleaner (the bronze mark of
-    malformed rows stays in bronze)."""
-    return drop_exact_duplicates(normalise_headers(df).drop(BAD_ROW))
+    malformed rows stays in bronze). ``watch`` is an Observation and the measures it takes
+    of the rows as they are now, before any value is parsed."""
+    out = drop_exact_duplicates(normalise_headers(df).drop(BAD_ROW))
+    return out.observe(watch[0], *watch[1]) if watch else out
 
 
-def clean_cust_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    out = base_clean(df)
+def _money(c: str, kind: str = PRICE) -> Column:
+    return text.strip(c).try_cast(kind)
+
+
+def _quantity(c: str) -> Column:
+    return _money(c, QUANTITY)
+
+
+#: By raw table: rule, role of the column, how the rule reads it, what becomes of a value that it cannot read.
+READS = {
+    "raw_cust_info": (("CLN5", "customer_id", numeric.try_integer, "null"),),
+    "raw_prd_info": (("CLN6", "product_cost", _money, "zero"), ("CLN8", "product_start", dates.parse_date, "null"), ("CLN8", "product_end", dates.parse_date, "null")),
+    "raw_sales_details": (
+        ("CLN9", "sales_order_date", dates.parse_yyyymmdd, "null"), ("CLN9", "sales_ship_date", dates.parse_yyyymmdd, "null"),
+        ("CLN9", "sales_due_date", dates.parse_yyyymmdd, "null"), ("CLN6", "sales_quantity", _quantity, "zero"), ("CLN6", "sales_price", _money, "zero"),
+        ("CLN6", "sales_total", _money, "zero"), ("CLN5", "sales_customer", numeric.try_integer, "null")),
+    "raw_cust_az12": (("CLN8", "erp_birthdate", dates.parse_date, "null"),),
+}
+
+
+def loss_measures(name: str, columns: list[str], as_of: dt.date) -> dict[str, Column]:
+    """Counts of the values of a de-duplicated raw table that cleaning cannot keep, one measure a rule, column and kind:
+    ``missing`` (null or blank), ``null`` and ``zero`` (present, but unreadable and replaced), ``short`` keys, ``overflow``, ``future``."""
+    out = {}
+    for rule, role, read, instead in READS.get(name, ()):
+        c = resolve(columns, role)
+        if c is None:
+            continue
+        present = F.coalesce(text.strip(F.col(c).cast("string")) != "", F.lit(False))
+        out[f"{rule}_{c}_missing"] = F.count_if(~present)
+        out[f"{rule}_{c}_{instead}"] = F.count_if(present & read(c).isNull())
+    if name == "raw_prd_info" and (key := resolve(columns, "product_key")):
+        out[f"CLN7_{key}_short"] = F.count_if(F.size(text.split_segments(key, "-")) < 3)
+    if name == "raw_sales_details":
+        q, p = resolve(columns, "sales_quantity"), resolve(columns, "sales_price")
+        if q and p:
+            amount = F.coalesce(_quantity(q), F.lit(0).cast(QUANTITY)) * F.coalesce(_money(p), F.lit(0).cast(PRICE))
+            out["CLN10_sales_amount_overflow"] = F.count_if(amount.try_cast(AMOUNT).isNull())
+    if name == "raw_cust_az12" and (c := resolve(columns, "erp_birthdate")):
+        out[f"CLN12_{c}_future"] = F.count_if(dates.parse_date(c) > F.lit(as_of))
+    return out
+
+
+def clean_cust_info(df: DataFrame, as_of: dt.date | None = None, watch=None) -> DataFrame:
+    out = base_clean(df, watch)
     out = recode_gender(out, "customer_gender")
     out = recode_marital(out)
     return coerce_integer_key(out, "customer_id")
 
 
-def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    out = base_clean(df)
+def clean_prd_info(df: DataFrame, as_of: dt.date | None = None, watch=None) -> DataFrame:
+    out = base_clean(df, watch)
     out = coerce_decimal_or_zero(out, ROLES["product_cost"])
     out = split_compound_product_key(out)
     if "prd_id" in out.columns:
@@ -161,11 +206,11 @@ def clean_prd_info(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return coerce_dates(out, ("product_start", "product_end"))
 
 
-def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation=None) -> DataFrame:
+def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation=None, watch=None) -> DataFrame:
     """Sales cleaner. With a ``pyspark.sql.Observation`` it also records, during
     whatever action runs the result, the rows after de-duplication and the rows
     dropped for a missing key (no extra pass over the data)."""
-    out = base_clean(df)
+    out = base_clean(df, watch)
     out = parse_compact_dates(out, ("sales_order_date", "sales_ship_date", "sales_due_date"))
     qty = resolve(out.columns, "sales_quantity")
     out = coerce_decimal_or_zero(out, [qty] if qty else [], QUANTITY)
@@ -182,8 +227,8 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation
     return drop_null_keys(out)
 
 
-def clean_cust_az12(df: DataFrame, as_of: dt.date) -> DataFrame:
-    out = base_clean(df)
+def clean_cust_az12(df: DataFrame, as_of: dt.date, watch=None) -> DataFrame:
+    out = base_clean(df, watch)
     out = coerce_dates(out, ("erp_birthdate",))
     out = null_future_dates(out, as_of)
     return recode_gender(out, "erp_gender")
@@ -213,6 +258,11 @@ def canonical(name: str, df: DataFrame, overrides: dict | None = None) -> DataFr
     return df.withColumnsRenamed(canonical_names(df.columns, name, overrides))
 
 
-def clean(name: str, df: DataFrame, as_of: dt.date, overrides: dict | None = None, **options) -> tuple[str, DataFrame]:
+def clean(name: str, df: DataFrame, as_of: dt.date, overrides: dict | None = None, losses=None, **options) -> tuple[str, DataFrame]:
+    """(silver name, cleaned table). ``losses`` is an Observation that gets the ``loss_measures``
+    of the table during whatever action runs the result (no extra pass over the data)."""
     target, fn = CLEANERS[name]
-    return target, fn(canonical(name, df, overrides), as_of, **options)
+    frame = canonical(name, df, overrides)
+    if losses is not None and (measures := loss_measures(name, frame.columns, as_of)):
+        options["watch"] = (losses, [c.alias(m) for m, c in measures.items()])
+    return target, fn(frame, as_of, **options)

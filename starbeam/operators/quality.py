@@ -97,6 +97,24 @@ def values_lost(sales: DataFrame, products: DataFrame) -> DataFrame:
         _rows(keys, "DQ9", "values_lost", "clean_prd_info", {m: F.col(m) for m in ("no_start_date", "short_product_key")}))
 
 
+def values_lost_by_rule(raw: dict[str, DataFrame], as_of: dt.date, overrides: dict | None = None) -> DataFrame:
+    """DQ10: per cleaning rule and column, the values that were missing and those that were present but are
+    null, zero, short, too large or in the future (one pass over each raw table)."""
+    parts = []
+    for name in cleaning.READS:
+        staged = cleaning.base_clean(cleaning.canonical(name, raw[name], overrides))
+        measures = cleaning.loss_measures(name, staged.columns, as_of)
+        agg = staged.agg(*[c.alias(m) for m, c in measures.items()])
+        parts.append(_rows(agg, "DQ10", "values_lost_by_rule", cleaning.CLEANERS[name][0], {m: F.col(m) for m in measures}))
+    return union_all(parts)
+
+
+def observed_losses(spark, observed: dict[str, dict]) -> DataFrame:
+    """DQ10 from the counts that were observed while the silver tables were written."""
+    rows = [("DQ10", "values_lost_by_rule", cleaning.CLEANERS[name][0], m, int(n)) for name, found in observed.items() for m, n in found.items()]
+    return spark.createDataFrame(rows, "check_id string, check_name string, table_name string, metric string, value bigint")
+
+
 def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """DQ4: fact rows without a customer / product (DIM16)."""
     oc = dimensions.orphan_counts(fact, customers, products)

@@ -39,6 +39,44 @@ def _per_key(star: Star, key: str, other: str, other_name: str, last: str, first
     return totals.join(others, key, "left").withColumn(other_name, F.coalesce(other_name, F.lit(0)))
 
 
+def _named_customers(star: Star) -> DataFrame:
+    return star.customers.where(F.col("cst_firstname").isNotNull() & F.col("cst_lastname").isNotNull())
+
+
+def customer_report_keys(star: Star) -> DataFrame:
+    """The customers of the customer report, without its measures: enough to count its rows."""
+    sold = _dated_fact(star).select(F.col("sls_cust_id").alias("cst_id")).where("cst_id is not null").distinct()
+    return sold.join(_named_customers(star).select("cst_id"), "cst_id")
+
+
+def product_report_keys(star: Star) -> DataFrame:
+    """The products of the product report, without its measures."""
+    sold = _dated_fact(star).select(F.col("sls_prd_key").alias("prd_key")).where("prd_key is not null").distinct()
+    return sold.join(star.products.select("prd_key"), "prd_key")
+
+
+def _sold(star: Star, key: str) -> DataFrame:
+    """Sales, first and last date per ``key``, in one step: what a segment needs."""
+    return _dated_fact(star).where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.sum("sales_amount").alias("total_sales"), F.max("sls_order_dt").alias("last"), F.min("sls_order_dt").alias("first"))
+
+
+def customer_segments(star: Star, p: Params) -> DataFrame:
+    """(cst_id, customer_segment) of the customer report."""
+    sold = _sold(star, "sls_cust_id")
+    joined = sold.join(_named_customers(star).select("cst_id"), sold["sls_cust_id"] == F.col("cst_id"))
+    lifespan = dates.calendar_months_clipped("last", "first").cast("bigint").alias("lifespan")
+    return joined.select("cst_id", "total_sales", lifespan).select(
+        "cst_id", binning.customer_segment("lifespan", F.col("total_sales"), p).alias("customer_segment"))
+
+
+def product_segments(star: Star, p: Params) -> DataFrame:
+    """(prd_key, product_segment) of the product report."""
+    sold = _sold(star, "sls_prd_key")
+    joined = sold.join(star.products.select("prd_key"), sold["sls_prd_key"] == F.col("prd_key"))
+    return joined.select("prd_key", binning.product_segment(F.col("total_sales"), p).alias("product_segment"))
+
+
 def report_customers(star: Star, p: Params) -> DataFrame:
     """One row per customer with sales: totals, recency, age band, segment, KPIs.
 
@@ -47,9 +85,7 @@ def report_customers(star: Star, p: Params) -> DataFrame:
     """
     per_customer = _per_key(star, "sls_cust_id", "sls_prd_key", "total_products",
                             "last_order_date", "first_order_date")
-    customers = star.customers.where(
-        F.col("cst_firstname").isNotNull() & F.col("cst_lastname").isNotNull()
-    ).select("cst_id", "cst_firstname", "cst_lastname", "bdate", "cst_gndr", "cntry")
+    customers = _named_customers(star).select("cst_id", "cst_firstname", "cst_lastname", "bdate", "cst_gndr", "cntry")
     joined = per_customer.join(customers, per_customer["sls_cust_id"] == customers["cst_id"], "inner")
 
     lifespan = dates.calendar_months_clipped("last_order_date", "first_order_date")

@@ -38,8 +38,10 @@ def q01_gold_tables(star: Star, p: Params, reports: dict | None = None) -> DataF
     }
     widths = {"fact_sales": len(star.fact.columns)}
     if reports is None:
-        reports = {"report_customers": rp.report_customers(star, p),
-                   "report_products": rp.report_products(star, p)}
+        # a report has a row per key that it joins: the keys are counted, its measures are not computed
+        widths |= {"report_customers": len(rp.report_customers(star, p).columns),
+                   "report_products": len(rp.report_products(star, p).columns)}
+        reports = {"report_customers": rp.customer_report_keys(star), "report_products": rp.product_report_keys(star)}
     tables.update(reports)
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -381,9 +383,9 @@ def q26_products_by_cost_range(star: Star, p: Params) -> DataFrame:
 
 
 def q27_customers_by_segment(star: Star, p: Params, report: DataFrame | None = None) -> DataFrame:
-    from starbeam.operators.reports import report_customers
+    from starbeam.operators.reports import customer_segments
 
-    rc = report if report is not None else report_customers(star, p)
+    rc = report if report is not None else customer_segments(star, p)
     return (rc.groupBy("customer_segment").agg(F.count("cst_id").alias("total_customers"))
             .orderBy(F.desc("total_customers"), "customer_segment"))
 

@@ -99,7 +99,7 @@ def _dq1(L: _Layers) -> DataFrame:
 
 def _dq7(L: _Layers) -> DataFrame:
     star = L.star()
-    rc, rp = reports.report_customers(star, L.p), reports.report_products(star, L.p)
+    rc, rp = reports.customer_segments(star, L.p), reports.product_segments(star, L.p)
     return quality.segment_distribution(rc, "customer_segment", "cst_id", "report_customers").unionByName(
         quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
 
@@ -167,6 +167,7 @@ BUILDERS = {
     "dq6_nonempty_join": lambda L: quality.nonempty_join(L.fact(), L.products()),
     "dq7_segment_distribution": _dq7,
     "dq9_values_lost": lambda L: quality.values_lost(L.silver["clean_sales_details"], L.silver["clean_prd_info"]),
+    "dq10_values_lost_by_rule": lambda L: quality.values_lost_by_rule(L.raw, L.p.as_of),
     "src1_csv_scan": _src1,
 }
 
@@ -324,6 +325,31 @@ def _dq_rows(check_id: str, name: str, table: str, source: str, metrics: list[tu
         f"CAST({expr} AS BIGINT) AS value FROM {source}" for m, expr in metrics)
 
 
+def _losses(p: Params) -> str:
+    """DQ10: per raw table, one aggregate with a missing and a lost count per parsed column."""
+    amount = f"TRY_CAST(CAST({_money0('sls_quantity')} AS DECIMAL(20,4)) * {_money0('sls_price')} AS DECIMAL(20,4))"
+    money = lambda x: f"TRY_CAST({_strip(x)} AS DECIMAL(18,4))"
+    reads = {
+        "raw_cust_info": ("clean_cust_info", [("CLN5", "cst_id", _try_int, "null")], []),
+        "raw_prd_info": ("clean_prd_info", [("CLN6", "prd_cost", money, "zero"), ("CLN8", "prd_start_dt", _date, "null"), ("CLN8", "prd_end_dt", _date, "null")],
+                         [("CLN7_prd_key_short", "len(string_split(prd_key, '-')) < 3")]),
+        "raw_sales_details": ("clean_sales_details", [
+            *[("CLN9", c, _compact, "null") for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")],
+            *[("CLN6", c, money, "zero") for c in ("sls_quantity", "sls_price", "sls_sales")], ("CLN5", "sls_cust_id", _try_int, "null")],
+            [("CLN10_sales_amount_overflow", f"{amount} IS NULL")]),
+        "raw_cust_az12": ("clean_cust_az12", [("CLN8", "bdate", _date, "null")], [("CLN12_bdate_future", f"{_date('bdate')} > DATE '{p.as_of.isoformat()}'")]),
+    }
+    parts = []
+    for raw, (target, columns, more) in reads.items():
+        found = list(more)
+        for rule, c, read, instead in columns:
+            present = f"COALESCE({_strip(f'CAST({c} AS VARCHAR)')} <> '', FALSE)"
+            found += [(f"{rule}_{c}_missing", f"NOT {present}"), (f"{rule}_{c}_{instead}", f"{present} AND {read(c)} IS NULL")]
+        counts = ", ".join(f"COUNT(*) FILTER (WHERE {condition}) AS {m}" for m, condition in found)
+        parts.append(_dq_rows("DQ10", "values_lost_by_rule", target, f"(SELECT {counts} FROM (SELECT DISTINCT * FROM {raw}) d) q", [(m, m) for m, _ in found]))
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql(p: Params) -> dict[str, str]:
     from starbeam.plans.oracle import report_customers_cte, report_products_cte
 
@@ -411,6 +437,7 @@ FROM {orphan_src}""",
             [('amount_overflow', 'o'), ('no_order_date', 'd')])} UNION ALL {_dq_rows('DQ9', 'values_lost', 'clean_prd_info',
             "(SELECT COUNT(*) FILTER (WHERE prd_start_dt IS NULL) AS s, COUNT(*) FILTER (WHERE prd_key = '') AS k FROM clean_prd_info) q",
             [('no_start_date', 's'), ('short_product_key', 'k')])}""",
+        "dq10_values_lost_by_rule": f"{head} {_losses(p)}",
         "src1_csv_scan": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
   'say "' || p_name || '", then' || chr(10) || p_brand AS p_text, p_type FROM part""",
         "dq7_segment_distribution": f"""{head}, {star}, {rc}, {rp}

@@ -2,8 +2,8 @@
 
 One Spark application; every layer reads the previous layer's written tables, so
 each layer's plan starts from parquet files (lineage is cut at every layer, and a
-lost executor only recomputes within the current layer). Tables are written with
-full overwrite. The run stops at the first failing layer; every table write adds an
+lost executor only recomputes within the current layer). Tables are replaced as a
+whole: a failed write leaves the old one (``table_store``). The run stops at the first failing layer; every table write adds an
 audit row (layer, table, rows, columns, seconds).
 """
 
@@ -21,6 +21,7 @@ from starbeam.functions.numeric import PRICE
 from starbeam.operators import cleaning, dimensions, quality, reports
 from starbeam.plans import analytics
 from starbeam.plans.star import Star
+from starbeam.plans.table_store import replace_table
 from starbeam.sources.csv_source import BAD_ROW
 
 FACT_PARTITION = "order_year"
@@ -39,6 +40,7 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     observed: dict[str, dict] = field(default_factory=dict)
     bad_rows: dict[str, int] = field(default_factory=dict)
+    losses: dict[str, dict] = field(default_factory=dict)
 
     def fail(self, layer: str, name: str, e: Exception) -> None:
         self.ok, self.failed_layer = False, self.failed_layer or layer
@@ -66,14 +68,10 @@ class Warehouse:
 
     def write(self, layer: str, name: str, df: DataFrame, partition_by: str | None = None,
               source: tuple[str, str] | None = None) -> DataFrame:
-        """SNK1 + SNK2: overwrite the table, then read it back and count it. ``source`` is the
+        """SNK1 + SNK2: replace the table as a whole, then read it back and count it. ``source`` is the
         table whose rows it cleans: the audit shows its rows and how many were removed."""
         t0 = time.time()
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(layer, name))
-        stored = self.spark.read.parquet(self.path(layer, name))
+        stored = replace_table(self.spark, self.path(layer, name), df, partition_by)
         rows = stored.count()  # parquet footers: no data scan
         rows_in = self.result.rows(*source) if source else None
         removed = rows_in - rows if rows_in is not None else None
@@ -102,15 +100,15 @@ class Warehouse:
 
         out = {}
         for name, df in bronze.items():
-            if name == "raw_sales_details":
-                # counts for the quality checks, observed during the write itself
-                obs = Observation("sales_cleaning")
-                target, cleaned = cleaning.clean(name, df, self.p.as_of, self.p.role_overrides, observation=obs)
-                out[target] = self.write("silver", target, cleaned, source=("bronze", name))
-                self.result.observed["sales"] = dict(obs.get)
-                continue
-            target, cleaned = cleaning.clean(name, df, self.p.as_of, self.p.role_overrides)
+            # counts for the quality checks, observed during the write itself
+            losses = Observation(f"losses_{name}") if name in cleaning.READS else None
+            options = {"observation": Observation("sales_cleaning")} if name == "raw_sales_details" else {}
+            target, cleaned = cleaning.clean(name, df, self.p.as_of, self.p.role_overrides, losses=losses, **options)
             out[target] = self.write("silver", target, cleaned, source=("bronze", name))
+            if losses is not None:
+                self.result.losses[name] = dict(losses.get)
+            for obs in options.values():
+                self.result.observed["sales"] = dict(obs.get)
         return out
 
     def gold(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -201,7 +199,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
         steps.append(("reports", lambda st: wh.reports(st["gold"])))
     steps.append(("quality", lambda st: {"dq_results": wh.write("quality", "dq_results", dq_results(
         spark, st["bronze"], st["gold"], st.get("reports"), p, silver=st["silver"],
-        observed=res.observed, bad_rows=res.bad_rows))}))
+        observed=res.observed, bad_rows=res.bad_rows, losses=res.losses))}))
     if run_analytics:
         steps.append(("analytics", lambda st: wh.analytics(st["gold"], st["reports"])))
     state: dict[str, dict] = {}
@@ -218,7 +216,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, p: Params,
             break
         res.layer_seconds[layer] = round(time.time() - t0, 3)
     if res.audit:
-        res.audit_frame(spark).write.mode("overwrite").parquet(wh.path("quality", "audit"))
+        replace_table(spark, wh.path("quality", "audit"), res.audit_frame(spark))
     return res
 
 
@@ -267,7 +265,7 @@ DEDUP_ONLY = ("raw_cust_info", "raw_prd_info", "raw_cust_az12", "raw_loc_a101",
 def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, DataFrame],
                reps: dict[str, DataFrame] | None, p: Params,
                silver: dict[str, DataFrame] | None = None, observed: dict | None = None,
-               bad_rows: dict[str, int] | None = None) -> DataFrame:
+               bad_rows: dict[str, int] | None = None, losses: dict[str, dict] | None = None) -> DataFrame:
     """All data-quality checks of a run as one DataFrame.
 
     With the written ``silver`` tables, DQ1 of the de-duplicate-only tables comes
@@ -297,6 +295,8 @@ def dq_results(spark: SparkSession, raw: dict[str, DataFrame], gold: dict[str, D
     parts += [quality.malformed_rows(spark, name, n) for name, n in (bad_rows or {}).items()]
     if silver is not None:
         parts.append(quality.values_lost(silver["clean_sales_details"], silver["clean_prd_info"]))
+    if losses:
+        parts.append(quality.observed_losses(spark, losses))
     if reps:
         parts.append(quality.segment_distribution(reps["report_customers"], "customer_segment", "cst_id",
                                                   "report_customers"))
