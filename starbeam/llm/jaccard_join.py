@@ -320,7 +320,8 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFram
     """Links (a, b) between nodes (id, name, print, n, marked, tokens) that join all that is linked; ``docs`` is (id, print, text) of all rows."""
     members = common.written(coarse_regions(nodes, percent))
     wanted = common.written(nodes.select(F.col("id").alias("node"), "name", F.col("print").alias("mark")).join(members.select(F.col("id").alias("node")).distinct(), "node"))
-    texts = docs.join(wanted, (F.col("id") == F.col("name")) & (F.col("print") == F.col("mark"))).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
+    # one plan at every size: the candidates grow with the corpus
+    texts = docs.join(wanted.hint("merge"), (F.col("id") == F.col("name")) & (F.col("print") == F.col("mark"))).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
     texts = common.written(texts.withColumn("size", F.octet_length("text")))
     sizes = texts.select("id", "size")
     found, round_no = None, 0
