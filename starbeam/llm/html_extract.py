@@ -17,13 +17,19 @@
    all nodes with text below it have an importance under ``LEAST`` on at least ``PAGES`` pages. In
    articles, headings and the parts of lists and tables go only with the branch around them.
    Headings and inline elements of an article stay whatever their class or id, and slug ids
-   ("related-work") name no furniture there.
+   ("related-work") name no furniture there. A class names furniture by its last word ("share-prices"
+   does not) unless it says that a page has or lacks some ("has-sidebar"). A branch named by class, or
+   a form, that holds the page's main element or all its articles with half of its text stays; so does
+   a form around the page's headings and half of its text.
 5. Of the text that is left (named furniture apart, all text if everything is noisy), the zone is
    the articles if they hold at least half of its characters, else main if that does, else all.
 
 Low-importance nodes travel to the pages by a join on host and salt, so pages of a hot host are
 spread; the list per host has at most the nodes of its templates.
 
+Character references are decoded text node by text node, so tags never join halves of one. Scripts,
+styles and templates leave nothing between the text around them, other embedded elements a blank.
+
 Defined results: null or empty html gives an empty text; a page of an unparsable url belongs to the
 host ''; unclosed elements close at the end, an unclosed tag or comment at the end is dropped;
 repeated rows each give a row; null ids are kept; further columns are ignored.
@@ -44,6 +50,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from starbeam.llm import common
 
 PAGES, LEAST, GAMMA, SALTS = 4, 0.2, 0.9, 16
+BY_NAME, BY_TAG = 1, 2
 
 #: HTML element classes.
 RAW = ("script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "math", "select", "button", "object", "video", "audio", "canvas", "noframes", "xmp")
@@ -54,12 +61,17 @@ BLOCKS = frozenset(
 #: element -> open elements that its start closes, up to the given borders.
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 FURNITURE_TAGS = frozenset(("nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "search"))
+FORMS = frozenset(("form", "fieldset"))
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie cookies copyright disclaimer disqus footer gdpr header hidden login masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets alert complementary contentinfo".split()
 )
+#: Of these the ones that are as often the topic of a paragraph; on a paragraph of an article they name nothing.
+TOPIC_WORDS = frozenset("alert banner copyright header hidden login menu recommended related reply replies respond rss share sharing skip social tags".split())
+#: First words of classes that say what a page has or lacks.
+PREDICATES = frozenset("has have with without no not".split())
 #: Words that stand beside furniture words in the id of a furniture element; any other word makes the id a slug.
 LAYOUT_WORDS = frozenset(
-    "area articles bar block body bottom box button buttons center col column container content div form global group head heading holder icon icons inner item items left link links list lower main message module outer page panel post posts primary right row secondary section site stories strip text thread title top upper wrap wrapper".split()
+    "area articles bar block body bottom box button buttons center col column container content div form global group head heading holder icon icons inner item items left link links list lower main message module outer page panel placeholder post posts primary rail region right row secondary section site slot space stories strip text thread title top unit upper wrap wrapper zone".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose text many pages of a template share ("Ingredients", column titles) though it belongs to each page's text.
@@ -70,6 +82,8 @@ _TOKEN = re.compile(
 )
 #: One attribute, values included, so that no name is looked for inside another name or value.
 _ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s]+)))?""")
+#: Raw elements that show nothing, so that the text before and after them is one.
+UNSHOWN = frozenset(("script", "style", "title", "noscript", "template", "noframes"))
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 _WORDS = re.compile(r"[a-z]+")
 
@@ -80,12 +94,29 @@ def node_key(parent: int, presentation: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{parent} {presentation}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _class_names(values: str, tag: str, inside: bool) -> set[str]:
+    """Furniture words that the class names in ``values`` stand for: the last word decides, "ad-slot" and "nav__item" by a word before it."""
+    named: set[str] = set()
+    for value in values.split():
+        words = _WORDS.findall(value)
+        if not words or words[0] in PREDICATES:
+            continue
+        while len(words) > 1 and words[-1] not in FURNITURE_WORDS and (words[-1] in LAYOUT_WORDS or len(words[-1]) < 3):
+            words.pop()
+        if words[-1] in FURNITURE_WORDS:
+            named.add(words[-1])
+    if inside:
+        named -= TOPIC_WORDS if tag == "p" else {"header"}
+    return named
+
+
 @functools.lru_cache(maxsize=1 << 16)
-def presentation(tag: str, attributes: str, inside: bool = False) -> tuple[str, bool, bool]:
+def presentation(tag: str, attributes: str, inside: bool = False) -> tuple[str, int, bool]:
     """(presentation, names furniture, is hidden) of an element; ``inside`` an article or main element or not.
 
-    A tag or role names furniture everywhere, a class word on blocks, and outside of articles also on
-    headings and inline elements. An id word does on blocks only; where ids are slugs (in articles and
+    Furniture is ``BY_TAG`` by tag or role, ``BY_NAME`` by class or id or as a form, else 0. A tag or role
+    names furniture everywhere, a class on blocks, and outside of articles also on headings and inline
+    elements. An id word does on blocks only; where ids are slugs (in articles and
     on sections) every word of the id must be one of furniture or layout.
     """
     values: dict[str, str] = {}
@@ -94,12 +125,16 @@ def presentation(tag: str, attributes: str, inside: bool = False) -> tuple[str,
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")))
     role, own, by_id = (_WORDS.findall(" ".join(values.get(name, "") for name in names)) for names in (("role",), ("class", "itemprop"), ("id",)))
     text = tag in HEADINGS or tag not in BLOCKS
-    named = set(role)
+    named: set[str] = set()
     if not (text and inside):
-        named.update(own)
+        named.update(_class_names(f"{values.get('class', '')} {values.get('itemprop', '')}", tag, inside))
     if not text and not ((inside or tag in ("section", "article")) and not FURNITURE_WORDS.union(LAYOUT_WORDS).issuperset(by_id)):
         named.update(by_id)
-    furniture = tag in FURNITURE_TAGS or (tag not in ("html", "body", "main", "article") or "comment" in named) and not FURNITURE_WORDS.isdisjoint(named)
+    furniture = 0
+    if tag not in ("html", "body", "main", "article") or "comment" in named:
+        furniture = BY_TAG if not FURNITURE_WORDS.isdisjoint(role) else BY_NAME if not FURNITURE_WORDS.isdisjoint(named) else 0
+    if tag in FURNITURE_TAGS:
+        furniture = max(furniture, BY_NAME if tag in FORMS else BY_TAG)
     words = {*role, *own, *by_id}
     return f"{tag}.{'.'.join(sorted(words))}" if words else tag, furniture, hidden
 
@@ -110,7 +145,7 @@ class Page:
     __slots__ = ("keys", "parents", "tags", "labels", "furniture", "inside", "blocks")
 
     def __init__(self, source: str):
-        self.keys, self.parents, self.tags, self.labels, self.furniture, self.inside, self.blocks = [0], [-1], [""], [""], [False], [False], []
+        self.keys, self.parents, self.tags, self.labels, self.furniture, self.inside, self.blocks = [0], [-1], [""], [""], [0], [False], []
         # pieces of the line that each open element has so far: an inline element does not end the line around it
         stack, lines, n = [0], [[]], len(source)
 
@@ -120,7 +155,7 @@ class Page:
                 first -= 1
             for k in range(first, len(stack)):
                 if lines[k]:
-                    joined = " ".join(html.unescape("".join(lines[k])).split())
+                    joined = " ".join("".join(lines[k]).split())
                     lines[k].clear()
                     if joined:
                         self.blocks.append((stack[k], joined))
@@ -134,10 +169,10 @@ class Page:
         while position < n:
             m = _TOKEN.search(source, position)
             if m is None:
-                lines[-1].append(source[position:])
+                lines[-1].append(html.unescape(source[position:]))
                 break
             if m.start() > position:
-                lines[-1].append(source[position : m.start()])
+                lines[-1].append(html.unescape(source[position : m.start()]))
             position = m.end()
             if m.group(2) is None:
                 continue
@@ -161,7 +196,8 @@ class Page:
                 if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
                     end = _RAW_END[tag].search(source, position)
                     position = end.end() if end else n
-                lines[-1].append(" ")
+                if tag not in UNSHOWN:
+                    lines[-1].append(" ")
                 continue
             if tag in VOID:
                 if tag in ("br", "hr"):
@@ -183,7 +219,7 @@ class Page:
             self.parents.append(parent)
             self.tags.append(tag)
             self.labels.append(label)
-            self.furniture.append(furniture or hidden or tag == "header" and not inside)
+            self.furniture.append(BY_TAG if hidden or tag == "header" and not inside else furniture)
             self.inside.append(inside or tag in ("article", "main"))
             stack.append(len(self.keys) - 1)
             lines.append([])
@@ -206,21 +242,45 @@ class Page:
                     close(k)
                     break
 
+    def _cut(self) -> list[bool]:
+        """Is the element furniture? One named by class or a form is not if it holds the page's main text (see 4. above)."""
+        n = len(self.keys)
+        sizes, articles, mains, headings = [0] * n, [0] * n, [0] * n, [0] * n
+        for i, t in self.blocks:
+            sizes[i] += len(t)
+        for i in range(n - 1, -1, -1):
+            if not self.furniture[i]:
+                articles[i] += self.tags[i] == "article"
+                mains[i] += self.tags[i] == "main"
+                headings[i] += self.tags[i] == "h1"
+            if i and self.furniture[i] != BY_TAG:
+                for own in (sizes, articles, mains, headings):
+                    own[self.parents[i]] += own[i]
+
+        def holds(i: int) -> bool:
+            half = 2 * sizes[i] >= sizes[0]
+            if mains[i] or half and articles[i] and articles[i] == articles[0]:
+                return True
+            return half and self.tags[i] in FORMS and headings[i] > 0 and headings[i] == headings[0] and not articles[0] + mains[0]
+
+        return [f == BY_TAG or f == BY_NAME and not holds(i) for i, f in enumerate(self.furniture)]
+
     def text(self, low: frozenset[int] = frozenset()) -> str:
         """The text of the branches that stay, in the zone that holds most of it."""
         n = len(self.keys)
+        furniture = self._cut()
         filled, keeps, noisy = [False] * n, [False] * n, [False] * n
         for i, _ in self.blocks:
             filled[i] = True
         for i in range(n - 1, 0, -1):
             noisy[i] = self.keys[i] in low and not keeps[i]
-            if filled[i] and not self.furniture[i]:
+            if filled[i] and not furniture[i]:
                 filled[self.parents[i]] = True
                 keeps[self.parents[i]] |= not noisy[i]
         gone, weak, zones = [False] * n, [False] * n, {"article": [False] * n, "main": [False] * n}
         for i in range(1, n):
             p = self.parents[i]
-            gone[i] = gone[p] or self.furniture[i]
+            gone[i] = gone[p] or furniture[i]
             weak[i] = weak[p] or noisy[i] and not (self.inside[i] and self.tags[i] in PARTS)
             for name, zone in zones.items():
                 zone[i] = zone[p] or self.tags[i] == name

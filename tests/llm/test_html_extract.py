@@ -90,3 +90,22 @@ def test_copies_on_a_host_are_no_furniture(spark):
     two = [(i, f"https://site.example/{i}", f"<article><h1>T{i % 2}</h1><p>text of {i % 2}</p><p>end of {i % 2}</p></article>") for i in range(10)]
     assert texts(spark, two)[3][0] == "T1\ntext of 1\nend of 1"
     assert texts(spark, two[1::2])[3][0] == "T1\ntext of 1\nend of 1"
+
+
+@pytest.mark.parametrize("body,expected", [
+    ("<div class='content has-sidebar'><article><p>story here</p></article></div>", "story here"),
+    ("<div class='sidebar-left'><main><p>story here and on</p></main><div class='sidebar'>no</div></div>", "story here and on"),
+    ("<article><div class='entry-header'><h1>T</h1></div><p class='social'>x</p><div class='share-prices'>up</div><p class='advert'>no</p><div class='ad-slot'>no</div></article>", "T\nx\nup"),
+    ("<form id='aspnet'><div class='nav__item'>no</div><article><h1>T</h1><p>a story of some length, longer than all the furniture around it</p></article></form>", "T\na story of some length, longer than all the furniture around it"),
+    ("<article><p>short</p></article><section class='reader-comments'><article><p>a comment that is longer than the article it stands under</p></article></section>", "short"),
+    ("<div><p>AT&<b>amp;</b>T un<script>x</script>do<style>p{}</style>ing</p></div>", "AT&amp;T undoing"),
+    ("<div><p>before<svg><text>no</text></svg>after</p></div>", "before after"),
+])
+def test_names_that_are_no_furniture(spark, body, expected):
+    assert texts(spark, [(1, "https://a.example/x", FRAME % body)])[1] == (expected, len(expected))
+
+
+def test_page_inside_a_form(spark):
+    page = "<body><form><nav>n</nav><h1>T</h1><p>the story of this page</p><fieldset><label>mail</label></fieldset></form></body>"
+    assert texts(spark, [(1, "https://a.example/x", page)])[1][0] == "T\nthe story of this page"
+    assert texts(spark, [(1, "https://a.example/x", "<body><form><p>mail</p></form><p>text</p></body>")])[1][0] == "text"
