@@ -5,8 +5,8 @@ Base kinds (leftmost, non-overlapping, per kind): ``assign`` (a keyword, ``:`` o
 
 Added kind ``entropy``: candidate strings are maximal runs of ``[A-Za-z0-9+/_=-]`` of at least
 ``WINDOW`` characters, whatever they consist of. A window of ``WINDOW`` characters slides over each;
-the number of each character in the window is kept in an array and one character enters and one
-leaves at a step, which changes the sum of n log2 n by two differences. The Shannon entropy
+one character leaves and one enters at a step, and only the counts of these two change the sum of
+n log2 n, which is kept from step to step. The Shannon entropy
 log2(W) - sum / W is compared with the threshold of the candidate's character class (decimal,
 hexadecimal, letters, other). Overlapping windows above it merge to one span. Candidates that match an
 allow-list pattern (identifiers such as UUIDs, dates and times, paths of words, camel-case names,
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WINDOW = 20
 THRESHOLDS = {"decimal": 3.0, "hexadecimal": 3.0, "letters": 3.8, "other": 3.8}
-ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
+UNIT = 1 << 40
 _MONTH, _DAY, _YEAR = "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])", "(?:19|20)[0-9]{2}"
 _DATE = f"(?:{_YEAR}[/_-]?{_MONTH}[/_-]?{_DAY}|{_DAY}[/_-]{_MONTH}[/_-]{_YEAR}|{_MONTH}[/_-]{_DAY}[/_-]{_YEAR})"
 _TIME = "(?:[01][0-9]|2[0-3])[_-]?[0-5][0-9](?:[_-]?[0-5][0-9][0-9]{0,6})?"
@@ -71,51 +71,60 @@ def allowed(candidate: Column, pattern: str) -> Column:
     return candidate.rlike(f"^{head}") & rest.rlike(f"^{tail}$")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def high_windows(candidate: Column, window: int = WINDOW, thresholds: dict[str, float] = THRESHOLDS) -> Column:
-    """Array of (first, end) of the merged windows of an ASCII string whose entropy reaches its class's threshold."""
-    codes = F.transform(F.filter(F.split(candidate, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET)))
-    weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 2)])
+    """Array of (first, end) of the merged windows of an ASCII string whose entropy reaches its class's threshold.
+
+    The state is the window's text, its sum of n log2 n as an integer in units of 1 / ``UNIT`` (so that no
+    step rounds), the open span and the closed ones. A step changes the sum by the counts of the leaving
+    and of the entering character and costs the same in a run of any length.
+    """
+    weight = F.array(*[F.lit(round(n * math.log2(n) * UNIT) if n else 0).cast("long") for n in range(window + 2)])
     least = (
         F.when(candidate.rlike("^[0-9]+$"), thresholds["decimal"])
         .when(candidate.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), thresholds["hexadecimal"])
         .when(candidate.rlike("^[A-Za-z]+$"), thresholds["letters"])
         .otherwise(thresholds["other"])
     )
-    most = (F.lit(math.log2(window)) - least) * window + F.lit(1e-9)
-    zero = F.array_repeat(F.lit(0), len(ALPHABET) + 1)
-
-    def f(n: Column) -> Column:
-        return F.get(weight, n)
-
-    def step(state: Column, pair: Column) -> Column:
-        entering, leaving = pair["entering"], pair["leaving"]
-        n_in, n_out = F.get(state["counts"], entering), F.get(state["counts"], leaving)
-        n_out = n_out + (entering == leaving).cast("int")
-        added = state["sum"] + f(n_in + 1) - f(n_in)
-        total = F.when(leaving == 0, added).otherwise(added + f(n_out - 1) - f(n_out))
-        counts = F.transform(
-            state["counts"], lambda n, k: n + (k == entering).cast("int") - ((k == leaving) & (leaving > 0)).cast("int")
-        )
-        end = state["end"] + 1
-        high = (end >= window) & (total <= most)
-        first = F.greatest(end - window, F.lit(0))
-        joins = high & (F.size(state["spans"]) > 0) & (F.coalesce(state["last"], F.lit(-1)) >= first)
-        spans = F.when(high & ~joins, F.concat(state["spans"], F.array(first))).otherwise(state["spans"])
-        ends = F.when(joins, F.concat(F.slice(state["ends"], 1, F.size(state["ends"]) - 1), F.array(end))).when(high, F.concat(state["ends"], F.array(end))).otherwise(state["ends"])
-        return F.struct(
-            counts.alias("counts"), total.alias("sum"), end.alias("end"), spans.alias("spans"), ends.alias("ends"), F.when(high, end).otherwise(state["last"]).alias("last")
+    most = ((F.lit(math.log2(window)) - least) * window * UNIT + UNIT * 1e-9).cast("long")
+    span = "struct<first:int,end:int>"
+
+    def change(count: Column, by: int) -> Column:
+        return F.get(weight, count + by) - F.get(weight, count)
+
+    def number(text: Column, char: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+
+    def slide(state: Column, char: Column) -> Column:
+        """(text, sum, end) after the leaving character went and ``char`` came."""
+        full = F.length(state["text"]) == window
+        left = F.when(full, F.substring(state["text"], 2, window)).otherwise(state["text"])
+        kept = F.when(full, state["sum"] + change(number(state["text"], F.substring(state["text"], 1, 1)), -1)).otherwise(state["sum"])
+        return _let(
+            F.struct(left.alias("text"), kept.alias("sum")),
+            lambda w: F.struct(F.concat(w["text"], char).alias("text"), (w["sum"] + change(number(w["text"], char), 1)).alias("sum"), (state["end"] + 1).alias("end")),
         )
 
-    n = F.size(codes)
-    leaving = F.concat(F.array_repeat(F.lit(0), window), F.slice(codes, 1, F.greatest(n - window, F.lit(0))))
-    pairs = F.zip_with(codes, leaving, lambda a, b: F.struct(a.alias("entering"), b.alias("leaving")))
-    nothing = F.array().cast("array<int>")
+    def step(state: Column, char: Column) -> Column:
+        def seen(w: Column) -> Column:
+            first = w["end"] - window
+            high = (first >= 0) & (w["sum"] <= state["most"])
+            new = high & (state["open"].isNull() | (state["open"]["end"] < first))
+            opened = F.when(new, F.struct(first.alias("first"), w["end"].alias("end"))).when(high, F.struct(state["open"]["first"].alias("first"), w["end"].alias("end"))).otherwise(state["open"])
+            closed = F.when(new & state["open"].isNotNull(), F.concat(state["spans"], F.array(state["open"]))).otherwise(state["spans"])
+            return F.struct(w["text"].alias("text"), w["sum"].alias("sum"), w["end"].alias("end"), state["most"].alias("most"), opened.cast(span).alias("open"), closed.cast(f"array<{span}>").alias("spans"))
+
+        return _let(slide(state, char), seen)
+
     start = F.struct(
-        zero.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("end"), nothing.alias("spans"), nothing.alias("ends"), F.lit(None).cast("int").alias("last")
-    )
-    return F.aggregate(
-        pairs, start, step, lambda s: F.zip_with(s["spans"], s["ends"], lambda a, b: F.struct(a.alias("first"), b.alias("end")))
+        F.lit("").alias("text"), F.lit(0).cast("long").alias("sum"), F.lit(0).alias("end"), most.alias("most"), F.lit(None).cast(span).alias("open"), F.array().cast(f"array<{span}>").alias("spans")
     )
+    chars = F.filter(F.split(candidate, ""), lambda c: c != "")
+    return F.aggregate(chars, start, step, lambda s: F.when(s["open"].isNull(), s["spans"]).otherwise(F.concat(s["spans"], F.array(s["open"]))))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, allow: tuple[str, ...] = ALLOW) -> DataFrame:

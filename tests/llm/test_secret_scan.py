@@ -134,3 +134,11 @@ def test_allow_list_equals_its_patterns(spark, tail):
         got = [r.hit for r in df.select(S.allowed(df.t, pattern).alias("hit")).collect()]
         wrong = [(t, g) for t, g in zip(texts, got) if g != bool(re.search(pattern, t)) and (g or pattern != S.ALLOW[2])]
         assert not wrong, (pattern, wrong[:5])
+
+
+def test_long_random_run_against_brute_force(make_docs):
+    """A window costs the same wherever it is: a run of 150,000 characters, high and low stretches in turn, equals brute force."""
+    rnd = random.Random(5)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    run = "".join("".join(rnd.choice(alphabet[: rnd.choice([3, 14, 16, 64])]) for _ in range(50)) for _ in range(3000))
+    assert entropy_spans(make_docs([(1, run), (2, "x" * 50_000 + "+")])) == {1: spans_of(run), 2: []}
