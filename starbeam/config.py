@@ -42,6 +42,9 @@ COUNTRY_CODES = {
 PRODUCT_LINES = {"R": "Road", "M": "Mountain", "S": "Other Sales", "T": "Touring"}
 PRODUCT_LINE_MISSING = "n/a"
 
+# CRM columns that may hold the ERP id.
+CUSTOMER_KEYS = ("cst_id", "cst_key")
+
 UNKNOWN_TEXT = "Unknown"
 
 # Forms of date text tried in this order after the ISO forms.
@@ -83,8 +86,11 @@ class Params:
     bottom_products: int = 5
     top_customers_ranked: int = 10
     fewest_order_customers: int = 10
-    # minimum share of CRM customers that must find their ERP record
+    # CRM column that is matched with the ERP ids, and the least share of customers that must find theirs
+    customer_join_key: str = "cst_id"
     min_customer_match_rate: float = 0.0
+    # unit cost of the profit: a column of the sales lines or else of the product dimension
+    profit_cost: str = "prd_cost"
     role_overrides: dict = field(default_factory=dict)
 
 

@@ -22,6 +22,13 @@ from starbeam.sources.schemas import ROLES, canonical_names, resolve, resolve_al
 # ---------------------------------------------------------------- generic rules
 
 
+def _each(df: DataFrame, roles, rule) -> DataFrame:
+    """CLN16: ``rule`` on every present column of the roles, aliases beside the first name included; without one
+    the table is unchanged."""
+    cols = [c for role in roles for c in resolve_all(df.columns, role)]
+    return df.withColumns({c: rule(c) for c in cols}) if cols else df
+
+
 def normalise_headers(df: DataFrame) -> DataFrame:
     """CLN1: every column name lower-cased and stripped."""
     return df.toDF(*[c.lower().strip() for c in df.columns])
@@ -35,26 +42,17 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 def recode_gender(df: DataFrame, role: str = "customer_gender") -> DataFrame:
     """CLN3 / CLN13: M / F (and the words) to Male / Female; N/A, NAS -> null."""
-    c = resolve(df.columns, role)
-    if c is None:
-        return df
-    return df.withColumn(c, text.recode(c, config.GENDER_CODES, config.GENDER_NULL_CODES))
+    return _each(df, [role], lambda c: text.recode(c, config.GENDER_CODES, config.GENDER_NULL_CODES))
 
 
 def recode_marital(df: DataFrame) -> DataFrame:
     """CLN4: S / M (and the words) to Single / Married."""
-    c = resolve(df.columns, "customer_marital")
-    if c is None:
-        return df
-    return df.withColumn(c, text.recode(c, config.MARITAL_CODES))
+    return _each(df, ["customer_marital"], lambda c: text.recode(c, config.MARITAL_CODES))
 
 
 def coerce_integer_key(df: DataFrame, role: str = "customer_id") -> DataFrame:
     """CLN5: the key as BIGINT ('11000.0' -> 11000); anything else -> null."""
-    c = resolve(df.columns, role)
-    if c is None:
-        return df
-    return df.withColumn(c, numeric.try_integer(c))
+    return _each(df, [role], numeric.try_integer)
 
 
 def coerce_decimal_or_zero(df: DataFrame, columns, kind: str = PRICE) -> DataFrame:
@@ -81,14 +79,12 @@ def split_compound_product_key(df: DataFrame) -> DataFrame:
 
 def coerce_dates(df: DataFrame, roles) -> DataFrame:
     """CLN8: free-form date text -> DATE; invalid -> null."""
-    cols = [c for c in (resolve(df.columns, r) for r in roles) if c is not None]
-    return df.withColumns({c: dates.parse_date(c) for c in cols}) if cols else df
+    return _each(df, roles, dates.parse_date)
 
 
 def parse_compact_dates(df: DataFrame, roles) -> DataFrame:
     """CLN9: yyyymmdd (number or text) -> DATE; ``0`` or an impossible day -> null."""
-    cols = [c for c in (resolve(df.columns, r) for r in roles) if c is not None]
-    return df.withColumns({c: dates.parse_yyyymmdd(c) for c in cols}) if cols else df
+    return _each(df, roles, dates.parse_yyyymmdd)
 
 
 def add_sales_amount(df: DataFrame) -> DataFrame:
@@ -113,27 +109,22 @@ def drop_null_keys(df: DataFrame) -> DataFrame:
 
 def null_future_dates(df: DataFrame, as_of: dt.date) -> DataFrame:
     """CLN12: a birth date after ``as_of`` becomes null."""
-    c = resolve(df.columns, "erp_birthdate")
-    if c is None:
-        return df
-    return df.withColumn(c, dates.not_after(c, as_of))
+    return _each(df, ["erp_birthdate"], lambda c: dates.not_after(c, as_of))
 
 
 def standardise_country(df: DataFrame) -> DataFrame:
     """CLN14: strip; country codes to names; missing or blank -> Unknown."""
-    c = resolve(df.columns, "location_country")
-    if c is None:
-        return df
-    stripped = text.strip(c)
-    named = text.lookup(stripped, config.COUNTRY_CODES, default=stripped)
-    return df.withColumn(c, F.when(stripped.isNull() | (stripped == ""), F.lit(config.UNKNOWN_TEXT))
-                         .otherwise(named))
+    def named(c: str) -> Column:
+        stripped = text.strip(c)
+        known = text.lookup(stripped, config.COUNTRY_CODES, default=stripped)
+        return F.when(stripped.isNull() | (stripped == ""), F.lit(config.UNKNOWN_TEXT)).otherwise(known)
+
+    return _each(df, ["location_country"], named)
 
 
 def fill_missing_text(df: DataFrame) -> DataFrame:
     """CLN15: category text fields: missing -> Unknown, then stripped."""
-    cols = resolve_all(df.columns, "category_text")
-    return df.withColumns({c: text.fill_text(c, config.UNKNOWN_TEXT) for c in cols}) if cols else df
+    return _each(df, ["category_text"], lambda c: text.fill_text(c, config.UNKNOWN_TEXT))
 
 
 # ---------------------------------------------------------------- table cleaners
@@ -172,12 +163,10 @@ def loss_measures(name: str, columns: list[str], as_of: dt.date) -> dict[str, Co
     ``missing`` (null or blank), ``null`` and ``zero`` (present, but unreadable and replaced), ``short`` keys, ``overflow``, ``future``."""
     out = {}
     for rule, role, read, instead in READS.get(name, ()):
-        c = resolve(columns, role)
-        if c is None:
-            continue
-        present = F.coalesce(text.strip(F.col(c).cast("string")) != "", F.lit(False))
-        out[f"{rule}_{c}_missing"] = F.count_if(~present)
-        out[f"{rule}_{c}_{instead}"] = F.count_if(present & read(c).isNull())
+        for c in resolve_all(columns, role):
+            present = F.coalesce(text.strip(F.col(c).cast("string")) != "", F.lit(False))
+            out[f"{rule}_{c}_missing"] = F.count_if(~present)
+            out[f"{rule}_{c}_{instead}"] = F.count_if(present & read(c).isNull())
     if name == "raw_prd_info" and (key := resolve(columns, "product_key")):
         out[f"CLN7_{key}_short"] = F.count_if(F.size(text.split_segments(key, "-")) < 3)
     if name == "raw_sales_details":
@@ -212,10 +201,8 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation
     dropped for a missing key (no extra pass over the data)."""
     out = base_clean(df, watch)
     out = parse_compact_dates(out, ("sales_order_date", "sales_ship_date", "sales_due_date"))
-    qty = resolve(out.columns, "sales_quantity")
-    out = coerce_decimal_or_zero(out, [qty] if qty else [], QUANTITY)
-    money = [c for c in (resolve(out.columns, r) for r in ("sales_price", "sales_total")) if c]
-    out = coerce_decimal_or_zero(out, money)
+    out = coerce_decimal_or_zero(out, ROLES["sales_quantity"], QUANTITY)
+    out = coerce_decimal_or_zero(out, ROLES["sales_price"] + ROLES["sales_total"])
     out = add_sales_amount(out)
     out = coerce_integer_key(out, "sales_customer")
     if observation is not None:

@@ -3,13 +3,14 @@ its integrity checks (silver -> gold)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbeam import config
 from starbeam.config import Params
 from starbeam.functions import text
-from starbeam.functions.numeric import AMOUNT
+from starbeam.functions.numeric import AMOUNT, PRICE
+from starbeam.operators.joins import salted_left_join
 from starbeam.operators.keys import keep_first, surrogate_key
 
 
@@ -48,9 +49,9 @@ def _enrich(left: DataFrame, right: DataFrame, left_key, right_key: str) -> Data
 
 def dim_customers(crm: DataFrame, demographics: DataFrame, locations: DataFrame, p: Params) -> DataFrame:
     """DIM4: CRM customers (latest per id) left join ERP demographics left join ERP
-    locations, on the text form of the id against the ERP ids without their prefix.
-    ERP columns whose names clash with CRM columns are dropped."""
-    crm = keep_latest_customer(crm).withColumn("_merge_key", F.col("cst_id").cast("string"))
+    locations, on the text form of ``p.customer_join_key`` against the ERP ids without
+    their prefix. ERP columns whose names clash with CRM columns are dropped."""
+    crm = keep_latest_customer(crm).withColumn("_merge_key", _merge_key(p.customer_join_key))
     demo = keep_first_by_key(normalise_erp_key(demographics, "cid"), "cid")
     loc = keep_first_by_key(normalise_erp_key(locations, "cid"), "cid").withColumnRenamed("cid", "loc_cid")
     out = _enrich(crm, demo, F.col("_merge_key"), "cid")
@@ -59,6 +60,32 @@ def dim_customers(crm: DataFrame, demographics: DataFrame, locations: DataFrame,
     return out.drop(*drop)
 
 
+def _merge_key(column: str) -> Column:
+    return text.remove_prefix_token(F.col(column).cast("string"), "NAS")
+
+
+def join_key_rates(crm: DataFrame, demographics: DataFrame, candidates: tuple[str, ...] = config.CUSTOMER_KEYS) -> DataFrame:
+    """(join_key, customers, matched, match_rate): how many of the customers each candidate key would find in the
+    ERP, before any table is joined. One pass over the customers; keys meet the distinct ERP ids, so no hot key."""
+    present = [c for c in candidates if c in crm.columns]
+    keys = F.array(*[F.struct(F.lit(c).alias("join_key"), _merge_key(c).alias("_k")) for c in present])
+    pairs = keep_latest_customer(crm).select(F.explode(keys).alias("k")).select("k.*")
+    counted = pairs.groupBy("join_key", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = normalise_erp_key(demographics, "cid").select(F.col("cid").alias("_cid")).where(F.col("_cid").isNotNull()).distinct()
+    joined = counted.join(known, counted["_k"] == known["_cid"], "left").groupBy("join_key").agg(
+        F.sum("_n").alias("customers"), F.coalesce(F.sum(F.when(F.col("_cid").isNotNull(), F.col("_n"))), F.lit(0)).alias("matched"))
+    return joined.withColumn("match_rate", F.round(F.try_divide(F.col("matched"), F.col("customers")), 4))
+
+
+def check_join_key(rates: DataFrame, p: Params) -> None:
+    """Raise if the join key finds fewer customers than ``p.min_customer_match_rate``, naming every candidate's rate."""
+    found = {r["join_key"]: r["match_rate"] for r in rates.collect()}  # a row per candidate
+    own = found.get(p.customer_join_key)
+    if own is not None and own < p.min_customer_match_rate:
+        named = ", ".join(f"{k} {v}" for k, v in sorted(found.items()))
+        raise ValueError(f"customer match rate of {p.customer_join_key} below {p.min_customer_match_rate}: {named}")
+
+
 def customer_match_rate(dim: DataFrame) -> DataFrame:
     """DIM5: customers after the merge and how many found their ERP record."""
     return dim.agg(
@@ -148,13 +175,20 @@ def date_range(dates: DataFrame) -> DataFrame:
 
 
 def add_profit(fact: DataFrame, products: DataFrame, p: Params,
-               key: str = "sls_prd_key", product_key: str = "prd_key", cost: str = "prd_cost") -> DataFrame:
-    """DIM14: profit = sales amount - unit cost x quantity, unit cost from the product
-    dimension (left join: a sale without a product has null profit)."""
-    costs = products.select(F.col(product_key).alias("_pk"), F.col(cost).alias("_unit_cost"))
-    joined = fact.join(costs, fact[key] == costs["_pk"], "left")
-    profit = (F.col("sales_amount") - F.col("_unit_cost") * F.col("sls_quantity")).try_cast(AMOUNT)
-    return joined.withColumn("profit", profit).drop("_pk", "_unit_cost")
+               key: str = "sls_prd_key", product_key: str = "prd_key") -> DataFrame:
+    """DIM14: profit = sales amount - unit cost x quantity. The unit cost is ``p.profit_cost``: a column of
+    the sales lines if they have it (no join then), else of the product dimension (left join: a sale without
+    a product has null profit). Every line stays, so hot products are salted instead of aggregated."""
+    def profit(cost: Column) -> Column:
+        return (F.col("sales_amount") - cost * F.col("sls_quantity")).try_cast(AMOUNT)
+
+    if p.profit_cost in fact.columns:
+        return fact.withColumn("profit", profit(F.coalesce(F.col(p.profit_cost).try_cast(PRICE), F.lit(0).cast(PRICE))))
+    if p.profit_cost not in products.columns:
+        raise KeyError(f"no cost column {p.profit_cost!r} among the sales or products: {fact.columns}, {products.columns}")
+    costs = products.select(F.col(product_key).alias("_pk"), F.col(p.profit_cost).alias("_unit_cost"))
+    joined = salted_left_join(fact, costs, key, "_pk")
+    return joined.withColumn("profit", profit(F.col("_unit_cost"))).drop("_pk", "_unit_cost")
 
 
 def fact_totals(fact: DataFrame) -> DataFrame:

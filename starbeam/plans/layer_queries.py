@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from starbeam import config
 from starbeam.config import Params
 from starbeam.operators import cleaning, dimensions, quality, reports
+from starbeam.operators.distinct import rollup_distinct
+from starbeam.operators.running import Over, running_over
 from starbeam.plans import warehouse
 from starbeam.session import apply_required_conf, ensure_checkpoint_dir
 from starbeam.sources import raw_adapter
@@ -104,6 +106,22 @@ def _dq7(L: _Layers) -> DataFrame:
         quality.segment_distribution(rp, "product_segment", "prd_key", "report_products"))
 
 
+def _running_orders(L: _Layers) -> DataFrame:
+    """WN3-WN8 over all orders in time order: running sum and mean, rolling sum of seven orders, the order before."""
+    orders = table(L.spark, L.sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    out = running_over(orders, [F.asc("o_orderdate"), F.asc("o_orderkey")], [
+        Over("running_price", "sum", "price"), Over("running_avg", "avg", "price"), Over("rolling_price", "sum", "price", 7), Over("previous_price", "lag", "price")])
+    return _dbl(out, "price", "running_price", "rolling_price", "previous_price")
+
+
+def _distinct_customers(L: _Layers) -> DataFrame:
+    """AG4: distinct customers per month, year (month 0) and in all (year and month 0), from one scan."""
+    dated = L.fact().where(F.col("sls_order_dt").isNotNull())
+    fact = dated.select(F.year("sls_order_dt").alias("order_year"), F.month("sls_order_dt").alias("order_month"), "sls_cust_id")
+    rolled = rollup_distinct(fact, ["order_year", "order_month"], "sls_cust_id", "customers")
+    return rolled.select(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("order_year", "order_month")], "customers")
+
+
 def _src1(L: _Layers) -> DataFrame:
     """SRC1: products written as CSV with quotes, commas and line breaks in a field, and read back."""
     part = table(L.spark, L.sf_dir, "part")
@@ -116,6 +134,8 @@ def _src1(L: _Layers) -> DataFrame:
 _SALES_MONEY = ("sls_quantity", "sls_sales", "sls_price", "sales_amount")
 
 BUILDERS = {
+    "ag04_distinct_rollup": _distinct_customers,
+    "wn03_running_orders": _running_orders,
     "cln01_header_normalise": lambda L: cleaning.normalise_headers(L.raw["raw_cust_info"]),
     "cln02_exact_dedup": lambda L: cleaning.drop_exact_duplicates(cleaning.normalise_headers(L.raw["raw_cust_info"])),
     "cln03_recode_gender": lambda L: L.silver["clean_cust_info"].select("cst_id", "cst_key", "cst_gndr"),
@@ -140,6 +160,7 @@ BUILDERS = {
         dimensions.normalise_erp_key(L.silver["clean_cust_az12"], "cid"), "cid"),
     "dim03_normalise_erp_key": lambda L: dimensions.normalise_erp_key(L.silver["clean_cust_az12"], "cid"),
     "dim04_dim_customers": lambda L: L.dim_customers(),
+    "dim04_join_key_rates": lambda L: dimensions.join_key_rates(L.silver["clean_cust_info"], L.silver["clean_cust_az12"]),
     "dim05_match_rate": lambda L: dimensions.customer_match_rate(L.dim_customers()),
     "dim06_active_products": lambda L: _dbl(dimensions.active_products(L.silver["clean_prd_info"]), "prd_cost"),
     "dim07_latest_versions": lambda L: _dbl(dimensions.latest_product_versions(L.silver["clean_prd_info"]),
@@ -395,6 +416,20 @@ FROM clean_sales_details""",
         "dim02_keep_first_by_key": f"{head} SELECT * FROM demo",
         "dim03_normalise_erp_key": f"{head} SELECT * FROM norm_cust_az12",
         "dim04_dim_customers": f"{head} SELECT * FROM dim_customers",
+        "ag04_distinct_rollup": f"""{head} SELECT COALESCE(order_year, 0) AS order_year, COALESCE(order_month, 0) AS order_month, COUNT(DISTINCT sls_cust_id) AS customers
+FROM (SELECT YEAR(sls_order_dt) AS order_year, MONTH(sls_order_dt) AS order_month, sls_cust_id FROM fact WHERE sls_order_dt IS NOT NULL) t
+GROUP BY ROLLUP (order_year, order_month)""",
+        "wn03_running_orders": """SELECT o_orderkey, o_orderdate, CAST(price AS DOUBLE) AS price, CAST(SUM(price) OVER w AS DOUBLE) AS running_price,
+  CAST(SUM(price) OVER w AS DOUBLE) / COUNT(price) OVER w AS running_avg,
+  CAST(SUM(price) OVER (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_price,
+  CAST(LAG(price) OVER w AS DOUBLE) AS previous_price
+FROM (SELECT o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders) t
+WINDOW w AS (ORDER BY o_orderdate, o_orderkey)""",
+        "dim04_join_key_rates": f"""{head}, keys AS (
+  SELECT 'cst_id' AS join_key, CAST(cst_id AS VARCHAR) AS k FROM crm UNION ALL SELECT 'cst_key', TRIM(REPLACE(cst_key, 'NAS', '')) FROM crm)
+SELECT join_key, COUNT(*) AS customers, COUNT(*) FILTER (WHERE k IN (SELECT cid FROM norm_cust_az12 WHERE cid IS NOT NULL)) AS matched,
+  ROUND(CAST(COUNT(*) FILTER (WHERE k IN (SELECT cid FROM norm_cust_az12 WHERE cid IS NOT NULL)) AS DOUBLE) / COUNT(*), 4) AS match_rate
+FROM keys GROUP BY join_key""",
         "dim05_match_rate": f"""{head} SELECT rows_after_merge, rows_matched,
   ROUND(CAST(rows_matched AS DOUBLE) / rows_after_merge, 4) AS match_rate
 FROM (SELECT COUNT(*) AS rows_after_merge, COUNT(*) FILTER (WHERE cid IS NOT NULL) AS rows_matched FROM dim_customers) t""",

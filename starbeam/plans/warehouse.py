@@ -25,6 +25,8 @@ from starbeam.plans.table_store import replace_table
 from starbeam.sources.csv_source import BAD_ROW
 
 FACT_PARTITION = "order_year"
+# Unit cost columns that sales lines may carry.
+LINE_COSTS = ("unit_cost", "sls_cost", "cost")
 AUDIT_SCHEMA = ("layer string, table_name string, rows_in bigint, rows_written bigint, rows_removed bigint, "
                 "columns int, seconds double, error string")
 
@@ -113,12 +115,10 @@ class Warehouse:
 
     def gold(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         p = self.p
+        dimensions.check_join_key(dimensions.join_key_rates(silver["clean_cust_info"], silver["clean_cust_az12"]), p)
         dim_c = dimensions.dim_customers(silver["clean_cust_info"], silver["clean_cust_az12"],
                                          silver["clean_loc_a101"], p)
         dim_c = self.write("gold", "dim_customers", dim_c)
-        rate = dimensions.customer_match_rate(dim_c).first()
-        if rate["match_rate"] is not None and rate["match_rate"] < p.min_customer_match_rate:
-            raise ValueError(f"customer match rate {rate['match_rate']} below {p.min_customer_match_rate}")
         dim_p = self.write("gold", "dim_products",
                            dimensions.dim_products(silver["clean_prd_info"], silver["clean_px_cat_g1v2"], p))
         star_products = star_products_view(dim_p)
@@ -158,8 +158,9 @@ class Warehouse:
 
 def fact_from_silver(sales: DataFrame) -> DataFrame:
     """DIM13: the fact's columns from the cleaned sales lines."""
-    columns = ("sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt",
-               "sls_due_dt", "sls_quantity", "sls_price", "sls_sales", "sales_amount")
+    columns = ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt",
+               "sls_due_dt", "sls_quantity", "sls_price", "sls_sales", "sales_amount"]
+    columns += [c for c in LINE_COSTS if c in sales.columns]
     optional = {"sls_ship_dt": "date", "sls_due_dt": "date", "sls_sales": PRICE}
     return sales.select(*[F.lit(None).cast(optional[c]).alias(c) if c in optional and c not in sales.columns else c
                           for c in columns])
