@@ -4,7 +4,8 @@
     python -m starbeam --source testdata --sf-dir /root/testdata/sf0.01 --out WAREHOUSE --full
 
 Prints the audit (one line per written table), the seconds per layer and the total;
-exits non-zero when a layer fails. ``--extracts DIR`` also writes the CSV extracts.
+exits non-zero when a layer fails. ``--extracts DIR`` also writes the CSV extracts. ``--restart`` takes
+the tables whose inputs, parameters and code have not changed as they stand under ``--out``.
 
     python -m starbeam --out WAREHOUSE --no-build --sql "SELECT cat, SUM(sales_amount) FROM fact_sales ..."
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+from dataclasses import replace
 
 from starbeam.config import DEFAULT, FIXTURE
 from starbeam.plans import warehouse
@@ -33,6 +35,8 @@ def main(argv=None) -> int:
     ap.add_argument("--with-analytics", action="store_true")
     ap.add_argument("--full", action="store_true")
     ap.add_argument("--extracts", help="folder for the CSV extracts")
+    ap.add_argument("--restart", action="store_true", help="leave tables alone that would come out the same")
+    ap.add_argument("--collation", help="collation of the gold layer's text, such as UNICODE_CI_AI (default: bytes)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--no-build", action="store_true", help="use the tables already under --out")
     ap.add_argument("--sql", help="SQL text to run over the warehouse views")
@@ -54,12 +58,12 @@ def main(argv=None) -> int:
     if args.no_build:
         return _run_sql(spark, args) if args.sql else 0
 
-    missing = None
+    missing, paths = None, {}
     if args.source == "csv":
         from starbeam.sources.csv_source import load_sources
 
         load = load_sources(spark, args.root)
-        raw, missing, params = load.tables, load.missing, DEFAULT
+        raw, missing, paths, params = load.tables, load.missing, load.paths, DEFAULT
         for name, path in load.missing.items():
             print(f"missing source {name}: {path}")
     else:
@@ -67,15 +71,16 @@ def main(argv=None) -> int:
 
         raw, params = raw_adapter.raw_tables(spark, args.sf_dir), FIXTURE
 
+    params = replace(params, collation=args.collation)
     t0 = time.time()
     res = warehouse.run(spark, raw, args.out, params, with_reports=args.with_reports,
-                        with_analytics=args.with_analytics, full=args.full, missing_sources=missing)
-    for layer, table, rows_in, rows, removed, cols, secs, error in res.audit:
+                        with_analytics=args.with_analytics, full=args.full, missing_sources=missing, restart=args.restart, source_files=paths)
+    for layer, table, rows_in, rows, removed, cols, secs, error, reused in res.audit:
         if error:
             print(f"{layer:10s} {table:32s} FAILED {error}")
             continue
         cleaned = f" in={rows_in:,d} removed={removed:,d}" if rows_in is not None else ""
-        print(f"{layer:10s} {table:32s} rows={rows:>12,d} cols={cols:3d} {secs:8.2f}s{cleaned}")
+        print(f"{layer:10s} {table:32s} rows={rows:>12,d} cols={cols:3d} {secs:8.2f}s{cleaned}{' as it stood' if reused else ''}")
     for layer, secs in res.layer_seconds.items():
         print(f"layer {layer:10s} {secs:8.2f}s")
     print(f"total {time.time() - t0:.2f}s {'OK' if res.ok else 'FAILED at ' + str(res.failed_layer)}")
@@ -100,7 +105,7 @@ def _run_sql(spark, args) -> int:
         if os.path.exists(path) or "://" in path:
             gold[name] = read_table(spark, path)
     reports = {k: gold.pop(k) for k in ("report_customers", "report_products") if k in gold}
-    warehouse.register_views(warehouse.star_from_gold(gold), reports)
+    warehouse.register_views(warehouse.star_from_gold(gold, args.collation), reports)
     result = spark.sql(args.sql)
     if args.sql_out:
         result.write.mode("overwrite").parquet(args.sql_out)

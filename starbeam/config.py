@@ -91,6 +91,10 @@ class Params:
     min_customer_match_rate: float = 0.0
     # unit cost of the profit: a column of the sales lines or else of the product dimension
     profit_cost: str = "prd_cost"
+    # form of dates such as 3/4/2012: "vote" (each column's own values decide), "day" or "month"
+    date_order: str = "vote"
+    # collation of keys, groups and order of the gold layer's text (such as UNICODE_CI_AI); None compares bytes
+    collation: str | None = None
     role_overrides: dict = field(default_factory=dict)
 
 

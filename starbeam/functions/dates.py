@@ -32,6 +32,25 @@ def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column
     return F.coalesce(F.try_to_timestamp(text).cast("date"), *[F.try_to_date(text, f) for f in formats])
 
 
+# Day, month and year as numbers with one kind of sign between them.
+_NUMBERS = r"^[0-9]{1,2}([/.\-])[0-9]{1,2}\1[0-9]{4}$"
+
+
+def parse_numbers(c: Column | str, form: Column | str) -> Column:
+    """``31/12/2012`` (also with points or hyphens) to DATE, read day-first or month-first; anything else is null."""
+    text = F.trim(_col(c).cast("string"))
+    plain = F.when(text.rlike(_NUMBERS), F.regexp_replace(text, r"[.\-]", "/"))
+    by_day, by_month = F.try_to_date(plain, "d/M/yyyy"), F.try_to_date(plain, "M/d/yyyy")
+    if isinstance(form, str):
+        return by_day if form == "day" else by_month
+    return F.when(form == "day", by_day).otherwise(by_month)
+
+
+def parse_in_form(c: Column | str, form: Column | str) -> Column:
+    """Date or timestamp text to DATE: year-first forms, then numbers in the column's ``form`` (``day`` or ``month``)."""
+    return F.coalesce(parse_date(c, ("yyyy/M/d",)), parse_numbers(c, form))
+
+
 def calendar_months(later: Column | str, earlier: Column | str) -> Column:
     """Calendar-month distance: (year * 12 + month) of ``later`` minus ``earlier``.
 

@@ -77,9 +77,14 @@ def split_compound_product_key(df: DataFrame) -> DataFrame:
     })
 
 
-def coerce_dates(df: DataFrame, roles) -> DataFrame:
-    """CLN8: free-form date text -> DATE; invalid -> null."""
-    return _each(df, roles, dates.parse_date)
+def _date_rule(forms: dict | None):
+    """How CLN8 reads a column: in its voted form where one is given (``date_order``), else ISO and month-first."""
+    return lambda c: dates.parse_in_form(c, forms[c]) if forms and c in forms else dates.parse_date(c)
+
+
+def coerce_dates(df: DataFrame, roles, forms: dict | None = None) -> DataFrame:
+    """CLN8: free-form date text -> DATE; invalid -> null. ``forms`` has the date form of columns (``date_order.vote``)."""
+    return _each(df, roles, _date_rule(forms))
 
 
 def parse_compact_dates(df: DataFrame, roles) -> DataFrame:
@@ -158,11 +163,17 @@ READS = {
 }
 
 
-def loss_measures(name: str, columns: list[str], as_of: dt.date) -> dict[str, Column]:
+def date_columns(name: str, columns) -> list[str]:
+    """The free-form date columns (CLN8) of a raw table."""
+    return [c for rule, role, _, _ in READS.get(name, ()) if rule == "CLN8" for c in resolve_all(columns, role)]
+
+
+def loss_measures(name: str, columns: list[str], as_of: dt.date, forms: dict | None = None) -> dict[str, Column]:
     """Counts of the values of a de-duplicated raw table that cleaning cannot keep, one measure a rule, column and kind:
     ``missing`` (null or blank), ``null`` and ``zero`` (present, but unreadable and replaced), ``short`` keys, ``overflow``, ``future``."""
-    out = {}
+    out, date_of = {}, _date_rule(forms)
     for rule, role, read, instead in READS.get(name, ()):
+        read = date_of if rule == "CLN8" else read
         for c in resolve_all(columns, role):
             present = F.coalesce(text.strip(F.col(c).cast("string")) != "", F.lit(False))
             out[f"{rule}_{c}_missing"] = F.count_if(~present)
@@ -175,7 +186,7 @@ def loss_measures(name: str, columns: list[str], as_of: dt.date) -> dict[str, Co
             amount = F.coalesce(_quantity(q), F.lit(0).cast(QUANTITY)) * F.coalesce(_money(p), F.lit(0).cast(PRICE))
             out["CLN10_sales_amount_overflow"] = F.count_if(amount.try_cast(AMOUNT).isNull())
     if name == "raw_cust_az12" and (c := resolve(columns, "erp_birthdate")):
-        out[f"CLN12_{c}_future"] = F.count_if(dates.parse_date(c) > F.lit(as_of))
+        out[f"CLN12_{c}_future"] = F.count_if(date_of(c) > F.lit(as_of))
     return out
 
 
@@ -186,13 +197,13 @@ def clean_cust_info(df: DataFrame, as_of: dt.date | None = None, watch=None) ->
     return coerce_integer_key(out, "customer_id")
 
 
-def clean_prd_info(df: DataFrame, as_of: dt.date | None = None, watch=None) -> DataFrame:
+def clean_prd_info(df: DataFrame, as_of: dt.date | None = None, watch=None, forms=None) -> DataFrame:
     out = base_clean(df, watch)
     out = coerce_decimal_or_zero(out, ROLES["product_cost"])
     out = split_compound_product_key(out)
     if "prd_id" in out.columns:
         out = out.withColumn("prd_id", numeric.try_integer("prd_id"))
-    return coerce_dates(out, ("product_start", "product_end"))
+    return coerce_dates(out, ("product_start", "product_end"), forms)
 
 
 def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation=None, watch=None) -> DataFrame:
@@ -214,9 +225,9 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation
     return drop_null_keys(out)
 
 
-def clean_cust_az12(df: DataFrame, as_of: dt.date, watch=None) -> DataFrame:
+def clean_cust_az12(df: DataFrame, as_of: dt.date, watch=None, forms=None) -> DataFrame:
     out = base_clean(df, watch)
-    out = coerce_dates(out, ("erp_birthdate",))
+    out = coerce_dates(out, ("erp_birthdate",), forms)
     out = null_future_dates(out, as_of)
     return recode_gender(out, "erp_gender")
 
@@ -245,11 +256,14 @@ def canonical(name: str, df: DataFrame, overrides: dict | None = None) -> DataFr
     return df.withColumnsRenamed(canonical_names(df.columns, name, overrides))
 
 
-def clean(name: str, df: DataFrame, as_of: dt.date, overrides: dict | None = None, losses=None, **options) -> tuple[str, DataFrame]:
+def clean(name: str, df: DataFrame, as_of: dt.date, overrides: dict | None = None, losses=None, forms: dict | None = None, **options) -> tuple[str, DataFrame]:
     """(silver name, cleaned table). ``losses`` is an Observation that gets the ``loss_measures``
-    of the table during whatever action runs the result (no extra pass over the data)."""
+    of the table during whatever action runs the result (no extra pass over the data). ``forms`` has the date form
+    of columns by vote; columns without one are read ISO and month-first."""
     target, fn = CLEANERS[name]
     frame = canonical(name, df, overrides)
-    if losses is not None and (measures := loss_measures(name, frame.columns, as_of)):
+    if forms and date_columns(name, frame.columns):
+        options["forms"] = forms
+    if losses is not None and (measures := loss_measures(name, frame.columns, as_of, forms)):
         options["watch"] = (losses, [c.alias(m) for m, c in measures.items()])
     return target, fn(frame, as_of, **options)

@@ -115,6 +115,14 @@ def observed_losses(spark, observed: dict[str, dict]) -> DataFrame:
     return spark.createDataFrame(rows, "check_id string, check_name string, table_name string, metric string, value bigint")
 
 
+def date_orders(spark, votes: dict[str, list[dict]]) -> DataFrame:
+    """DQ11: per raw table and free-form date column, the values that only one form can read, those that either can, and
+    whether the column's form is a guess (``date_order``)."""
+    rows = [("DQ11", "date_order", cleaning.CLEANERS[name][0], f"{v['column_name']}_{m}", int(v[m]))
+            for name, found in votes.items() for v in found for m in ("day_first", "month_first", "either", "ambiguous")]
+    return spark.createDataFrame(rows, "check_id string, check_name string, table_name string, metric string, value bigint")
+
+
 def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """DQ4: fact rows without a customer / product (DIM16)."""
     oc = dimensions.orphan_counts(fact, customers, products)

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from starbeam import config
 from starbeam.config import Params
-from starbeam.operators import cleaning, dimensions, quality, reports
+from starbeam.operators import cleaning, date_order, dimensions, quality, reports
+from starbeam.operators.collation import collated_star
 from starbeam.operators.distinct import rollup_distinct
 from starbeam.operators.running import Over, running_over
-from starbeam.plans import warehouse
+from starbeam.plans import analytics, warehouse
 from starbeam.session import apply_required_conf, ensure_checkpoint_dir
-from starbeam.sources import raw_adapter
+from starbeam.sources import raw_adapter, testdata
 from starbeam.sources.csv_source import read_csv
 from starbeam.sources.testdata import table
 
@@ -122,6 +123,43 @@ def _distinct_customers(L: _Layers) -> DataFrame:
     return rolled.select(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("order_year", "order_month")], "customers")
 
 
+_SHIPPED = ("ship_day", "ship_month", "ship_points", "ship_unclear")
+
+
+def _ship_texts(L: _Layers) -> DataFrame:
+    """The ship dates of all lines as text: day-first with unreadable ones, month-first, with points, and without any vote."""
+    lines = table(L.spark, L.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("d"))
+    texts = (F.when(F.col("l_linenumber") == 7, F.lit("n/k")).otherwise(F.date_format("d", "dd/MM/yyyy")), F.date_format("d", "MM-dd-yyyy"),
+             F.date_format("d", "d.M.yyyy"), F.when(F.day("d") <= 12, F.date_format("d", "d/M/yyyy")).otherwise(F.col("d").cast("string")))
+    return lines.select("l_orderkey", "l_linenumber", *[t.alias(name) for name, t in zip(_SHIPPED, texts, strict=True)])
+
+
+#: Spellings of the product categories and keys in the collation queries: accents and capitals.
+_PLAIN, _MARKED = "aeiouAEIOU", "áéíóúÁÉÍÓÚ"
+
+
+def _spelled_star(L: _Layers):
+    """The star with product keys and categories in several spellings: lines partly in capitals, products in small letters or with accents."""
+    star = testdata.star(L.spark, L.sf_dir)
+    key, marked = F.concat(F.lit("Item-"), F.col("prd_key").cast("string")), lambda c: F.translate(c, _PLAIN, _MARKED)
+    kind = F.col("prd_key") % 3
+    products = star.products.select(
+        F.when(kind == 0, F.lower(key)).when(kind == 1, marked(key)).otherwise(key).alias("prd_key"), "prd_nm",
+        F.when(kind == 0, F.lower("cat")).when(kind == 1, marked(F.col("cat"))).otherwise(F.col("cat")).alias("cat"), "subcat", "prd_cost")
+    of_line = F.concat(F.when(F.col("sls_prd_key") % 2 == 0, F.lit("ITEM-")).otherwise(F.lit("Item-")), F.col("sls_prd_key").cast("string"))
+    return warehouse.Star(fact=star.fact.withColumn("sls_prd_key", of_line), customers=star.customers, products=products,
+                          lines=star.lines.withColumn("sls_prd_key", of_line))
+
+
+def _collated_revenue(collation: str | None):
+    """Q12 over the spelled star: joins, groups and order with and without a collation."""
+    def build(L: _Layers) -> DataFrame:
+        star = _spelled_star(L)
+        found = analytics.q12_revenue_by_category(collated_star(star, collation) if collation else star, L.p)
+        return found.withColumn("category", F.collate("category", "UTF8_BINARY"))
+    return build
+
+
 def _src1(L: _Layers) -> DataFrame:
     """SRC1: products written as CSV with quotes, commas and line breaks in a field, and read back."""
     part = table(L.spark, L.sf_dir, "part")
@@ -145,6 +183,10 @@ BUILDERS = {
         "sls_ord_num", "sls_prd_key", "sls_quantity", "sls_price", "sls_sales"), "sls_quantity", "sls_price", "sls_sales"),
     "cln07_split_product_key": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_key", "cat_id"),
     "cln08_coerce_dates": lambda L: L.silver["clean_prd_info"].select("prd_id", "prd_start_dt", "prd_end_dt"),
+    "cln08_date_votes": lambda L: date_order.vote(_ship_texts(L), _SHIPPED),
+    "cln08_dates_by_vote": lambda L: date_order.read_by_vote(_ship_texts(L), _SHIPPED),
+    "jn01_collated_revenue": _collated_revenue("UNICODE_CI_AI"),
+    "jn01_bytewise_revenue": _collated_revenue(None),
     "cln09_parse_compact_dates": lambda L: L.silver["clean_sales_details"].select(
         "sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_due_dt"),
     "cln10_sales_amount": lambda L: _dbl(L.silver["clean_sales_details"].select(
@@ -371,6 +413,32 @@ def _losses(p: Params) -> str:
     return " UNION ALL ".join(parts)
 
 
+_SHIP_SQL = "shipped AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d FROM lineitem)"
+
+
+def _votes_sql() -> str:
+    """The votes of the four text columns, each from its texts."""
+    day = "(CAST(day(d) AS VARCHAR) || '/' || CAST(month(d) AS VARCHAR) || '/' || CAST(year(d) AS VARCHAR))"
+    texts = {"ship_day": "CASE WHEN l_linenumber = 7 THEN 'n/k' ELSE strftime(d, '%d/%m/%Y') END", "ship_month": "strftime(d, '%m-%d-%Y')",
+             "ship_points": f"replace({day}, '/', '.')", "ship_unclear": f"CASE WHEN day(d) <= 12 THEN {day} ELSE CAST(d AS VARCHAR) END"}
+    numbers = "replace(replace(t, '.', '/'), '-', '/')"
+    parts = []
+    for name, text in texts.items():
+        kinds = f"""SELECT TRY_CAST(t AS DATE) IS NOT NULL AND t LIKE '____-%' AS y, TRY_STRPTIME({numbers}, '%d/%m/%Y') IS NOT NULL AS dd,
+  TRY_STRPTIME({numbers}, '%m/%d/%Y') IS NOT NULL AS mm, t IS NULL AS none FROM (SELECT {text} AS t FROM shipped) x"""
+        parts.append(f"""SELECT '{name}' AS column_name, COUNT(*) FILTER (WHERE none) AS missing, COUNT(*) FILTER (WHERE y) AS year_first,
+  COUNT(*) FILTER (WHERE NOT y AND dd AND NOT mm) AS day_first, COUNT(*) FILTER (WHERE NOT y AND mm AND NOT dd) AS month_first,
+  COUNT(*) FILTER (WHERE NOT y AND dd AND mm) AS either, COUNT(*) FILTER (WHERE NOT none AND NOT y AND NOT dd AND NOT mm) AS unreadable FROM ({kinds}) k""")
+    return f"""WITH {_SHIP_SQL}, votes AS ({' UNION ALL '.join(parts)})
+SELECT *, CASE WHEN day_first > month_first THEN 'day' ELSE 'month' END AS date_form, either > 0 AND day_first = month_first AS ambiguous FROM votes"""
+
+
+_SPELLED_SQL = f"""{testdata.SQL_STAR}, spelled_products AS (
+  SELECT CASE prd_key % 3 WHEN 0 THEN lower('Item-' || prd_key) WHEN 1 THEN translate('Item-' || prd_key, '{_PLAIN}', '{_MARKED}') ELSE 'Item-' || prd_key END AS prd_key,
+         CASE prd_key % 3 WHEN 0 THEN lower(cat) WHEN 1 THEN translate(cat, '{_PLAIN}', '{_MARKED}') ELSE cat END AS cat FROM dim_products
+), spelled_fact AS (SELECT CASE WHEN sls_prd_key % 2 = 0 THEN 'ITEM-' ELSE 'Item-' END || sls_prd_key AS sls_prd_key, sales_amount FROM fact_sales)"""
+
+
 def oracle_sql(p: Params) -> dict[str, str]:
     from starbeam.plans.oracle import report_customers_cte, report_products_cte
 
@@ -416,6 +484,14 @@ FROM clean_sales_details""",
         "dim02_keep_first_by_key": f"{head} SELECT * FROM demo",
         "dim03_normalise_erp_key": f"{head} SELECT * FROM norm_cust_az12",
         "dim04_dim_customers": f"{head} SELECT * FROM dim_customers",
+        "cln08_date_votes": _votes_sql(),
+        "cln08_dates_by_vote": f"""WITH {_SHIP_SQL} SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN d END AS ship_day, d AS ship_month, d AS ship_points,
+  CASE WHEN day(d) <= 12 THEN make_date(year(d), day(d), month(d)) ELSE d END AS ship_unclear FROM shipped""",
+        "jn01_collated_revenue": f"""{_SPELLED_SQL} SELECT MIN(pr.cat) AS category, CAST(SUM(f.sales_amount) AS DOUBLE) AS total_revenue
+FROM spelled_fact f LEFT JOIN spelled_products pr ON lower(f.sls_prd_key) = lower(strip_accents(pr.prd_key)) GROUP BY lower(strip_accents(pr.cat))
+ORDER BY total_revenue DESC""",
+        "jn01_bytewise_revenue": f"""{_SPELLED_SQL} SELECT pr.cat AS category, CAST(SUM(f.sales_amount) AS DOUBLE) AS total_revenue
+FROM spelled_fact f LEFT JOIN spelled_products pr ON f.sls_prd_key = pr.prd_key GROUP BY pr.cat ORDER BY total_revenue DESC""",
         "ag04_distinct_rollup": f"""{head} SELECT COALESCE(order_year, 0) AS order_year, COALESCE(order_month, 0) AS order_month, COUNT(DISTINCT sls_cust_id) AS customers
 FROM (SELECT YEAR(sls_order_dt) AS order_year, MONTH(sls_order_dt) AS order_month, sls_cust_id FROM fact WHERE sls_order_dt IS NOT NULL) t
 GROUP BY ROLLUP (order_year, order_month)""",

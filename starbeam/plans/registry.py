@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starbeam.config import FIXTURE, Params
 from starbeam.operators import reports
+from starbeam.operators.collation import collated_star
 from starbeam.plans import analytics, oracle
 from starbeam.session import apply_required_conf
 from starbeam.sources import testdata
@@ -18,7 +19,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def _on_star(fn, p: Params) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_required_conf(spark)
-        return fn(testdata.star(spark, sf_dir), p)
+        star = testdata.star(spark, sf_dir)
+        return fn(collated_star(star, p.collation) if p.collation else star, p)
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run

@@ -129,6 +129,7 @@ class SourceLoad:
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     missing: dict[str, str] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
 
     @property
     def ok(self) -> bool:
@@ -145,5 +146,6 @@ def load_sources(spark: SparkSession, root: str, files: Mapping[str, str] = RAW_
         if not _exists(spark, path):
             out.missing[name] = path
             continue
+        out.paths[name] = path
         out.tables[name] = read_csv(spark, path, schemas.get(name) if schemas else None, keep_bad_rows=True)
     return out

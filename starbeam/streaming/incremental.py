@@ -10,6 +10,11 @@ failure replaces its own output instead of duplicating it; the checkpoint folder
 A row equal to one of an earlier batch is dropped too: every stored row keeps the
 hash of its raw fields (``ROW_HASH``), and a batch is anti-joined with the hashes of
 the other batches, so the table holds the rows that one batch run would give.
+
+A file's header must hold the expected names in their order: a file with other or reordered columns fails the batch
+(nothing of it is written; it is read again when the stream restarts). A row with too few or too many fields keeps its text
+in ``BAD_ROW``, as in the batch reader, and goes with that text to the batch's folder under ``<target>_bad_rows``; the
+fields that could be read are cleaned as usual.
 """
 
 from __future__ import annotations
@@ -19,15 +24,17 @@ import os
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starbeam.operators import cleaning
-from starbeam.sources.csv_source import CSV_OPTIONS, na_tokens_to_null
+from starbeam.sources.csv_source import BAD_ROW, CSV_OPTIONS, na_tokens_to_null
 from starbeam.sources.schemas import RAW_SCHEMAS
 
 
 def sales_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw sales CSV files as a stream (explicit text schema, null markers -> NULL)."""
-    reader = spark.readStream.schema(RAW_SCHEMAS["raw_sales_details"]).options(**CSV_OPTIONS, multiLine="true")
+    """Raw sales CSV files as a stream (explicit text schema, checked headers, malformed rows marked, null markers -> NULL)."""
+    schema = StructType([*RAW_SCHEMAS["raw_sales_details"].fields, StructField(BAD_ROW, StringType())])
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, multiLine="true", enforceSchema="false", columnNameOfCorruptRecord=BAD_ROW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return na_tokens_to_null(reader.csv(landing_dir))
@@ -36,6 +43,10 @@ def sales_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
 ROW_HASH = "row_hash"
 
 
+def bad_rows_dir(target_dir: str) -> str:
+    return target_dir.rstrip("/") + "_bad_rows"
+
+
 def spark_files(spark: SparkSession, target_dir: str, batch_id: int) -> DataFrame | None:
     """The rows of the other batches, if there are any."""
     try:
@@ -47,7 +58,10 @@ def spark_files(spark: SparkSession, target_dir: str, batch_id: int) -> DataFram
 
 def _writer(target_dir: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumn(ROW_HASH, F.sha2(F.to_json(F.struct(*batch.columns), {"ignoreNullFields": "false"}), 256))
+        # written anew with a replayed batch, and before its rows, so that no row is there without its mark
+        batch.where(F.col(BAD_ROW).isNotNull()).select(BAD_ROW).write.mode("overwrite").parquet(os.path.join(bad_rows_dir(target_dir), f"batch_id={batch_id}"))
+        fields = [c for c in batch.columns if c != BAD_ROW]
+        marked = batch.withColumn(ROW_HASH, F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256))
         cleaned = cleaning.clean_sales_details(marked)
         others = spark_files(batch.sparkSession, target_dir, batch_id)
         if others is not None:
