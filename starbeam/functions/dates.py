@@ -20,27 +20,43 @@ def _lit_date(d: dt.date | Column) -> Column:
     return d if isinstance(d, Column) else F.lit(d)
 
 
+# A text that a pattern cannot read costs an exception, many times the price of a date: only texts in the shape of
+# the pattern, with a month and a day that some date has, are given to the parser.
+_DAY, _MONTH = "0[1-9]|[12][0-9]|3[01]", "0[1-9]|1[0-2]"
+_COMPACT = f"^[0-9]{{4}}({_MONTH})({_DAY})$"
+_FIELDS = {"yyyy": "[+-]?[0-9]{4,}", "M": "0*([1-9]|1[0-2])", "d": "0*([1-9]|[12][0-9]|3[01])"}
+
+
+def _shaped(text: Column, pattern: str) -> Column:
+    """``text`` where it can be a date of ``pattern`` (fields of ``_FIELDS`` between slashes), else null."""
+    fields = [_FIELDS.get(f) for f in pattern.split("/")]
+    return text if None in fields else F.when(text.rlike(f"^{'/'.join(fields)}$"), text)
+
+
 def parse_yyyymmdd(c: Column | str) -> Column:
     """Integer or text ``yyyymmdd`` (also ``20110101.0``) to DATE; anything else (``0``, bad day) is null."""
     text = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0*$", "")
-    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    return F.when(text.rlike(_COMPACT), F.try_to_date(text, "yyyyMMdd"))
 
 
 def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Free-form date or timestamp text to DATE: ISO forms, then ``formats`` in order; invalid is null."""
     text = F.trim(_col(c).cast("string"))
-    return F.coalesce(F.try_to_timestamp(text).cast("date"), *[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(F.try_to_timestamp(text).cast("date"), *[F.try_to_date(_shaped(text, f), f) for f in formats])
 
 
-# Day, month and year as numbers with one kind of sign between them.
-_NUMBERS = r"^[0-9]{1,2}([/.\-])[0-9]{1,2}\1[0-9]{4}$"
+# Day and month as numbers in either order, then the year, with one kind of sign between them.
+_NUMBERS = {
+    "day": r"^(0?[1-9]|[12][0-9]|3[01])([/.\-])(0?[1-9]|1[0-2])\2([0-9]{4})\z",
+    "month": r"^(0?[1-9]|1[0-2])([/.\-])(0?[1-9]|[12][0-9]|3[01])\2([0-9]{4})\z",
+}
+_ISO = {"day": "$4-$3-$1", "month": "$4-$1-$3"}
 
 
 def parse_numbers(c: Column | str, form: Column | str) -> Column:
     """``31/12/2012`` (also with points or hyphens) to DATE, read day-first or month-first; anything else is null."""
     text = F.trim(_col(c).cast("string"))
-    plain = F.when(text.rlike(_NUMBERS), F.regexp_replace(text, r"[.\-]", "/"))
-    by_day, by_month = F.try_to_date(plain, "d/M/yyyy"), F.try_to_date(plain, "M/d/yyyy")
+    by_day, by_month = (F.when(text.rlike(_NUMBERS[f]), F.regexp_replace(text, _NUMBERS[f], _ISO[f]).try_cast("date")) for f in ("day", "month"))
     if isinstance(form, str):
         return by_day if form == "day" else by_month
     return F.when(form == "day", by_day).otherwise(by_month)

@@ -25,22 +25,25 @@ DAY, MONTH = "day", "month"
 COUNTS = ("missing", "year_first", "day_first", "month_first", "either", "unreadable")
 
 
-def _kinds(c: str) -> dict[str, Column]:
-    """Count name -> does the value of the column have that form."""
+def _kind(c: str) -> Column:
+    """The form of a value of the column, as its place in ``COUNTS``; each way to read it is tried once."""
     text = F.trim(F.col(c).cast("string"))
     present = F.coalesce(text != "", F.lit(False))
     by_day, by_month = (dates.parse_numbers(text, order).isNotNull() for order in (DAY, MONTH))
     by_year = dates.parse_date(text, ("yyyy/M/d",)).isNotNull()
-    numbers = present & ~by_year
-    return {
-        "missing": ~present, "year_first": present & by_year, "day_first": numbers & by_day & ~by_month,
-        "month_first": numbers & by_month & ~by_day, "either": numbers & by_day & by_month, "unreadable": numbers & ~by_day & ~by_month,
-    }
+    place = {name: F.lit(i) for i, name in enumerate(COUNTS)}
+    return (F.when(~present, place["missing"]).when(by_year, place["year_first"])
+            .when(by_day, F.when(by_month, place["either"]).otherwise(place["day_first"]))
+            .when(by_month, place["month_first"]).otherwise(place["unreadable"]))
 
 
 def vote(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row a column: its counts, ``date_form`` (day or month) and ``ambiguous``; one aggregate over ``df``."""
-    sums = df.agg(*[F.count_if(kind).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, kind in _kinds(c).items()])
+    """One row a column: its counts, ``date_form`` (day or month) and ``ambiguous``; one aggregate over ``df``.
+    The values of all columns are one column of rows, so the code that reads them does not grow with the columns
+    (generated code beyond a size is not compiled by the JVM)."""
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("no"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])))
+    kinds = values.select("no", _kind("value").alias("kind"))
+    sums = kinds.agg(*[F.count_if((F.col("no") == i) & (F.col("kind") == k)).alias(f"{name}_{i}") for i in range(len(columns)) for k, name in enumerate(COUNTS)])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{name}_{i}").alias(name) for name in COUNTS]) for i, c in enumerate(columns)])
     day, month = F.col("day_first"), F.col("month_first")
     return sums.select(F.inline(rows)).select(

@@ -68,3 +68,24 @@ def test_without_a_vote_columns_are_read_as_before(spark):
     rows = {r.cid: r.bdate for r in cleaning.clean("raw_cust_az12", raw, DEFAULT.as_of, losses=seen)[1].collect()}
     assert rows == {"1": dt.date(1980, 12, 31), "2": None} and seen.get["CLN8_bdate_null"] == 1
     assert spark.createDataFrame([("1.2.2012",)], "c string").select(dates.parse_date("c")).first()[0] is None
+
+
+def test_texts_of_another_form_do_not_reach_the_parser(spark):
+    """An exception a text is what made large columns slow: each pattern sees texts of its shape only, and the votes
+    of a column read it once whatever the number of columns."""
+    texts = ["31/02/2012", "2012/02/30", "2012/1/2", " 1.2.2012 ", "1/2/2012\n", "13/13/2012", "0/1/2012", "1/2/12", "12012/1/2", "2012/001/02", "n/k", "2012-1-2", "", None]
+    df = frame(spark, texts, texts[::-1])
+    plan = lambda found: found._jdf.queryExecution().optimizedPlan().toString()
+    read, voted = plan(date_order.read_by_vote(df, df.columns)), plan(date_order.vote(df, df.columns))
+    assert read.count("gettimestamp(") == read.count("gettimestamp(CASE WHEN RLIKE(") and voted.count("gettimestamp(") == 1
+    read = [r.d for r in df.select(dates.parse_in_form("c0", "month").alias("d")).collect()]
+    day = dt.date
+    assert read == [None, None, day(2012, 1, 2), day(2012, 1, 2), None, None, None, None, None, day(2012, 1, 2), None, day(2012, 1, 2), None, None]
+    vote = date_order.vote(df, df.columns).collect()
+    assert [(v.missing, v.year_first, v.day_first, v.month_first, v.either, v.unreadable) for v in vote] == [(2, 3, 0, 0, 1, 8)] * 2
+
+
+def test_compact_dates_without_such_a_day_are_null(spark):
+    df = frame(spark, ["20120229", "20120230", "20121301", "20120100", "00000000", "20120131.0", "0", None])
+    assert [r.d for r in df.select(dates.parse_yyyymmdd("c0").alias("d")).collect()] == [dt.date(2012, 2, 29), None, None, None, None, dt.date(2012, 1, 31), None, None]
+    assert "^[0-9]{4}(0[1-9]|1[0-2])" in df.select(dates.parse_yyyymmdd("c0"))._jdf.queryExecution().optimizedPlan().toString()
