@@ -19,8 +19,14 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A task that joins and groups needs 20 to 50 times its shuffled bytes as sort and hash pages.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
 }
 
+#: Partitions that a shuffle starts with at least; adaptive execution merges them up to the advisory size. With the
+#: cluster's own, possibly small, number the rows of one task would grow with the input.
+INITIAL_PARTITIONS = 200
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starbeam") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
@@ -45,6 +51,9 @@ def apply_required_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings the queries assume on an existing session."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    own = [int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(initial, None) or 0)]
+    spark.conf.set(initial, str(max(INITIAL_PARTITIONS, *own)))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
