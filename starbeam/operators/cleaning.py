@@ -216,6 +216,9 @@ def clean_sales_details(df: DataFrame, as_of: dt.date | None = None, observation
     out = coerce_decimal_or_zero(out, ROLES["sales_price"] + ROLES["sales_total"])
     out = add_sales_amount(out)
     out = coerce_integer_key(out, "sales_customer")
+    # always true, and not moved by the optimiser: without it the filters of later steps run before the rows are
+    # exchanged, with all parsing in them written out again, and readers with different filters share no exchange
+    out = out.where(F.spark_partition_id() >= 0)
     if observation is not None:
         missing = F.lit(False)
         for k in sales_key_columns(out):
