@@ -187,7 +187,9 @@ def add_profit(fact: DataFrame, products: DataFrame, p: Params,
     if p.profit_cost not in products.columns:
         raise KeyError(f"no cost column {p.profit_cost!r} among the sales or products: {fact.columns}, {products.columns}")
     costs = products.select(F.col(product_key).alias("_pk"), F.col(p.profit_cost).alias("_unit_cost"))
-    joined = salted_left_join(fact, costs, key, "_pk")
+    # a hash of every column would have every column parsed, also those that the caller does not read
+    deal_by = [c for c in ("sls_ord_num", "sls_quantity", "sales_amount") if c in fact.columns]
+    joined = salted_left_join(fact, costs, key, "_pk", deal_by=deal_by)
     return joined.withColumn("profit", profit(F.col("_unit_cost"))).drop("_pk", "_unit_cost")
 
 

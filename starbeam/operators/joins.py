@@ -76,16 +76,16 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, tracked: int = T
     return top.select("_n", F.explode("_top").alias("_t")).where(F.col("_t.count") >= F.col("_n") * share).select(F.col("_t.item").alias("_hot"))
 
 
-def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, salts: int = SALTS, share: float = HOT_SHARE) -> DataFrame:
+def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, salts: int = SALTS, share: float = HOT_SHARE, deal_by: Sequence[str] | None = None) -> DataFrame:
     """``fact LEFT JOIN dim`` on the keys, row by row, for joins that cannot be aggregated first.
 
-    Rows of a hot key are dealt to ``salts`` groups by the hash of the whole row and its input partition (the
-    same on a retry), the dimension's rows of hot keys are copied to each of them, and rows of other keys
+    Rows of a hot key are dealt to ``salts`` groups by the hash of the whole row (or of its columns ``deal_by``, where
+    the others are not needed) and its input partition (the same on a retry), the dimension's rows of hot keys are copied to each of them, and rows of other keys
     are joined plainly in the same exchange. The hot keys, at most ``1 / share``, are broadcast; the dimension
     never is by force. Whether a key counts as hot changes the plan's balance only, never the result.
     """
     hot = F.broadcast(hot_keys(fact, fact_key, share))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns], F.spark_partition_id()), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in deal_by or fact.columns], F.spark_partition_id()), F.lit(salts)).cast("int")
     left = fact.withColumn("_salt", salt).join(hot, F.col(fact_key) == F.col("_hot"), "left").withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.col("_salt")).otherwise(F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.join(hot, F.col(dim_key) == F.col("_hot"), "left").withColumn("_salt_d", F.explode(copies)).drop("_hot")

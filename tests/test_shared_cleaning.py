@@ -20,3 +20,9 @@ def test_dates_are_parsed_after_the_exchange(spark, sf_small):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     before = plan[plan.index("Aggregate [sls_ord_num" if "Aggregate [sls_ord_num" in plan else "Aggregate [sls_prd_key"):]
     assert "RLIKE(" in plan and "RLIKE(" not in before and "atleastnnonnulls" not in before
+
+
+def test_profit_parses_only_the_columns_that_it_needs(spark, sf_small):
+    found = registry.all_queries(FIXTURE)["dim14_profit"](spark, sf_small)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE(trim(sls_cust_id" in plan and not any(f"RLIKE(trim({c}" in plan for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt"))
