@@ -23,7 +23,7 @@ def _lit_date(d: dt.date | Column) -> Column:
 # A text that a pattern cannot read costs an exception, many times the price of a date: only texts in the shape of
 # the pattern, with a month and a day that some date has, are given to the parser.
 _DAY, _MONTH = "0[1-9]|[12][0-9]|3[01]", "0[1-9]|1[0-2]"
-_COMPACT = f"^[0-9]{{4}}({_MONTH})({_DAY})$"
+_COMPACT = rf"^[0-9]{{4}}({_MONTH})({_DAY})(\.0*)?\z"
 _FIELDS = {"yyyy": "[+-]?[0-9]{4,}", "M": "0*([1-9]|1[0-2])", "d": "0*([1-9]|[12][0-9]|3[01])"}
 
 
@@ -35,8 +35,9 @@ def _shaped(text: Column, pattern: str) -> Column:
 
 def parse_yyyymmdd(c: Column | str) -> Column:
     """Integer or text ``yyyymmdd`` (also ``20110101.0``) to DATE; anything else (``0``, bad day) is null."""
-    text = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0*$", "")
-    return F.when(text.rlike(_COMPACT), F.try_to_date(text, "yyyyMMdd"))
+    text = F.trim(_col(c).cast("string"))
+    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike(_COMPACT), iso.try_cast("date"))
 
 
 def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:

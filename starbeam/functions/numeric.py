@@ -20,7 +20,7 @@ def try_integer(c: Column | str) -> Column:
     """Text or number to BIGINT, digit by digit (no float in between, so ids above 2^53
     stay apart). ``'11000.0'`` -> 11000; non-integral, too large or bad -> null."""
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.substring_index(text, ".", 1).try_cast("bigint"))
 
 
 def half_even(c: Column | str, digits: int) -> Column:

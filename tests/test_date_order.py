@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 
 from starbeam.config import DEFAULT
-from starbeam.functions import dates
+from starbeam.functions import dates, numeric
 from starbeam.operators import cleaning, date_order
 from starbeam.plans.warehouse import Warehouse
 
@@ -89,3 +89,10 @@ def test_compact_dates_without_such_a_day_are_null(spark):
     df = frame(spark, ["20120229", "20120230", "20121301", "20120100", "00000000", "20120131.0", "0", None])
     assert [r.d for r in df.select(dates.parse_yyyymmdd("c0").alias("d")).collect()] == [dt.date(2012, 2, 29), None, None, None, None, dt.date(2012, 1, 31), None, None]
     assert "^[0-9]{4}(0[1-9]|1[0-2])" in df.select(dates.parse_yyyymmdd("c0"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_compact_date_or_key_is_matched_once(spark):
+    df = frame(spark, ["20120131.00", "20120131.0.0", "20120131\n", "20120131."], ["12.0", "+7.", "1.5", "9007199254740993"])
+    both = df.select(dates.parse_yyyymmdd("c0").alias("d"), numeric.try_integer("c1").alias("n"))
+    assert [tuple(r) for r in both.collect()] == [(dt.date(2012, 1, 31), 12), (None, 7), (None, None), (dt.date(2012, 1, 31), 9007199254740993)]
+    assert "regexp_replace" not in both._jdf.queryExecution().optimizedPlan().toString()
